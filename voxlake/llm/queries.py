@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, packing, simhash, token_files
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +20,30 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def mixing_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of each document in the mix, and the words that the mix takes from it."""
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+def token_files_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in Arrow shards of equal-length sequences, read back from the files."""
+    docs = read(spark, sf_dir, "documents")
+    return token_files.read_documents(token_files.write_shards(docs), docs.schema["doc_id"].dataType.simpleString())
+
+
+def packing_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in the packed sequences."""
+    out = packing.pack_documents(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash_near_dedup": simhash_near_dedup}
+    return {
+        "op2_simhash_near_dedup": simhash_near_dedup,
+        "op4_mixing_pivotal": mixing_pivotal,
+        "op5_token_files_arrow": token_files_arrow,
+        "op9_packing_sum_of_squares": packing_sum_of_squares,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
