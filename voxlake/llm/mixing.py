@@ -31,9 +31,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     src = table(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
     # the rank of each source without one global window: a range partition's offset plus the rank within it
     ranged = table(src.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "ranged")
-    part = ranged.groupBy("part").count().alias("p")
-    before = part.join(F.broadcast(part.select(F.col("part").alias("o"), F.col("count").alias("c"))), F.expr("o < part"), "left")
-    before = before.groupBy("part").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("before"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition, no more
+    before = ranged.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     rank = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
     ranked = ranged.withColumn("rank", rank).join(F.broadcast(before), "part")  # a row a partition
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.pmod(F.col("rank") + F.col("before"), F.lit(len(WEIGHTS))) + 1).cast("int"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, token_files
+from . import line_dedup, mixing, packing, quality_model, simhash, token_files
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,14 +37,33 @@ def packing_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+#: Ids that the classifiers never learn from; a null id counts as the empty text.
+HELD_OUT = "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 5 = 0"
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; one fifth of the ids is held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels, where=f"not ({HELD_OUT})")
+    out = quality_model.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
+
+
+def line_dedup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the repeats of lines that spread over sources."""
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_near_dedup": simhash_near_dedup,
+        "op3_quality_classifier": quality_classifier,
         "op4_mixing_pivotal": mixing_pivotal,
         "op5_token_files_arrow": token_files_arrow,
+        "op6_line_dedup_spread": line_dedup_spread,
         "op9_packing_sum_of_squares": packing_sum_of_squares,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_line_dedup_spread": line_dedup.SQL}

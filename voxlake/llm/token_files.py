@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import new_path, prepare, table
 from .tokens import crc32, default_path, encoder, in_parts
@@ -145,9 +146,8 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def read_documents(manifest: DataFrame, id_type: str = "long") -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the shards; one task reads a shard."""
-    totals = manifest.select("shard", "n_tokens").alias("t")
-    first = manifest.alias("m").join(F.broadcast(totals), F.expr("t.shard < m.shard"), "left")  # one row a shard
-    first = first.groupBy("m.shard", "m.path").agg(F.coalesce(F.sum("t.n_tokens"), F.lit(0)).alias("first"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row a shard, no more
+    first = manifest.withColumn("first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).select("shard", "path", "first")
     first = first.repartition(max(1, manifest.count()), "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
