@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality_model, simhash, token_files
+from . import line_dedup, mixing, packing, quality_model, simhash, token_files, vector_forest, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,16 @@ def packing_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def warc_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records, read back from the archives chunk by chunk."""
+    return warc.page_records(warc.write_archives(warc.plan_records(read(spark, sf_dir, "pages"))))
+
+
+def embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate vectors."""
+    return vector_forest.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 #: Ids that the classifiers never learn from; a null id counts as the empty text.
 HELD_OUT = "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 5 = 0"
 
@@ -56,12 +66,14 @@ def line_dedup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc_chunked": warc_chunked,
         "op2_simhash_near_dedup": simhash_near_dedup,
         "op3_quality_classifier": quality_classifier,
         "op4_mixing_pivotal": mixing_pivotal,
         "op5_token_files_arrow": token_files_arrow,
         "op6_line_dedup_spread": line_dedup_spread,
         "op9_packing_sum_of_squares": packing_sum_of_squares,
+        "op10_embedding_forest": embedding_forest,
     }
 
 
