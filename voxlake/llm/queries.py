@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality_model, simhash, token_files, vector_forest, warc
+from . import line_dedup, mixing, packing, quality_model, rules, simhash, token_files, vector_forest, warc
+from .common import table
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,13 @@ def embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_forest.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rules and the learned decision list."""
+    stats = table(rules.statistics(read(spark, sf_dir, "documents")), "statistics")
+    out = rules.judge(stats, rules.fit(stats, read(spark, sf_dir, "labels")))
+    return out.select("doc_id", *rules.BASE, "base_failed", "kept")
+
+
 #: Ids that the classifiers never learn from; a null id counts as the empty text.
 HELD_OUT = "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 5 = 0"
 
@@ -72,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing_pivotal": mixing_pivotal,
         "op5_token_files_arrow": token_files_arrow,
         "op6_line_dedup_spread": line_dedup_spread,
+        "op7_quality_rules": quality_rules,
         "op9_packing_sum_of_squares": packing_sum_of_squares,
         "op10_embedding_forest": embedding_forest,
     }
