@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality_model, rules, simhash, token_files, vector_forest, warc
+from . import line_dedup, mixing, packing, pii, quality_model, rules, simhash, token_files, vector_forest, warc
 from .common import table
 
 
@@ -55,6 +55,11 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *rules.BASE, "base_failed", "kept")
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.digest(pii.find(read(spark, sf_dir, "documents")))
+
+
 #: Ids that the classifiers never learn from; a null id counts as the empty text.
 HELD_OUT = "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 5 = 0"
 
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files_arrow": token_files_arrow,
         "op6_line_dedup_spread": line_dedup_spread,
         "op7_quality_rules": quality_rules,
+        "op8_personal_data": personal_data,
         "op9_packing_sum_of_squares": packing_sum_of_squares,
         "op10_embedding_forest": embedding_forest,
     }
