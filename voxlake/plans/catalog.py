@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+class Tables:
+    """The tables of one folder, read when they are asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable:
+    """Register a function of Tables under its name, with the SQL that it must agree with, if there is any."""
+
+    def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        key = name or fn.__name__
+        QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
+        if sql:
+            SQL[key] = sql.strip()
+        return fn
+
+    return register
+
+
+for part in ("segments", "text", "curation", "vectors", "spatial", "signal", "streams"):
+    importlib.import_module(f"voxlake.plans.{part}") if importlib.util.find_spec(f"voxlake.plans.{part}") else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     return SQL
+
+
+def entry(spark: SparkSession, folder: str) -> DataFrame:
+    return QUERIES["speaker_timeline"](spark, folder)
