@@ -40,7 +40,9 @@ def spreading(lines: DataFrame, sites: int = SITES, lg: int = LG) -> DataFrame:
     seen = table(seen.select("l1", "l2", "first", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= 2 if sites >= 3 else F.lit(True)), "line-sites")
     band = max(1.0, ERRORS * 1.04 / 2 ** (lg / 2) * sites)
     near = seen.filter(F.abs(F.col("sites") - sites) <= band).select("l1", "l2", "first")
-    exact = lines.join(near, ["l1", "l2"]).select("l1", "l2", "first", "site").distinct().groupBy("l1", "l2", "first").count()
+    few = lines.join(near, ["l1", "l2"]).select("l1", "l2", "first", "site")
+    # dealt anew behind the join, so that the join's other side may hold a very frequent line and be split
+    exact = few.repartition("l1", "l2", "site").distinct().groupBy("l1", "l2", "first").count()
     return seen.filter(F.col("sites") - sites > band).select("l1", "l2", "first").union(exact.filter(F.col("count") >= sites).select("l1", "l2", "first"))
 
 
