@@ -1,16 +1,19 @@
 """WARC archives as chunked record tables.
 
 Archives are written by the tasks that hold the payloads and read back as a table of chunks: (file, record,
-chunk, bytes, running digest). A reader never holds more than one chunk of a payload; the digest travels
-from chunk to chunk, so the last chunk of a record carries the digest of all of it.
+chunk, bytes, running digest). Each record is a gzip member of its own, as in .warc.gz files. A reader never
+holds more than one chunk of a payload; the digest travels from chunk to chunk, so the last chunk of a
+record carries the digest of all of it.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import new_path, prepare, table
 from .token_files import place
 
-#: Bytes of a payload that a reader holds at once, and of an archive before the next one begins.
+#: Bytes of a payload that a reader holds at once, and of a compressed archive before the next one begins.
 CHUNK, ARCHIVE = 1 << 20, 256 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
@@ -59,6 +62,13 @@ def write_archives(records: DataFrame, archive: int = ARCHIVE) -> DataFrame:
     prepare(spark)
     folder = new_path(spark, "warc")
 
+    def member(first: bytes, payload: memoryview) -> Iterator[bytes]:
+        z = zlib.compressobj(1, zlib.DEFLATED, 31)
+        yield z.compress(first)
+        for at in range(0, len(payload), CHUNK):
+            yield z.compress(payload[at : at + CHUNK])
+        yield z.compress(b"\r\n\r\n") + z.flush()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = path = None
         count = size = 0
@@ -67,17 +77,16 @@ def write_archives(records: DataFrame, archive: int = ARCHIVE) -> DataFrame:
             cols = [b.column(c).to_pylist() for c in ("page_id", "url", "digest", "bytes", "kind", "refers_to")]
             for i, (page, url, digest, full, kind, refers) in enumerate(zip(*cols, strict=True)):
                 if out is None:
-                    path = f"{folder}/{uuid.uuid4().hex}.warc"
+                    path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                     store, at = place(path)
                     store.create_dir(at.rpartition("/")[0])
                     out, count, size = store.open_output_stream(at), 0, 0
                 text = base64.b32encode(bytes.fromhex(digest)).decode()
-                payload = b"" if kind == "revisit" else memoryview(b.column("html")[i].as_buffer())
-                first = head(kind, page, count, url, text, len(payload), full, refers)
-                out.write(first)
-                out.write(payload)
-                out.write(b"\r\n\r\n")
-                count, size = count + 1, size + len(first) + len(payload) + 4
+                payload = memoryview(b"" if kind == "revisit" else b.column("html")[i].as_buffer())
+                for part in member(head(kind, page, count, url, text, len(payload), full, refers), payload):
+                    out.write(part)
+                    size += len(part)
+                count += 1
                 if size >= archive:
                     out.close()
                     done.append((path, count))
@@ -94,7 +103,7 @@ def write_archives(records: DataFrame, archive: int = ARCHIVE) -> DataFrame:
 def read_records(path: str, chunk: int = CHUNK) -> Iterator[tuple[int, dict[str, str], int, bytes, str, bool]]:
     """(record, headers, chunk number, bytes, base-32 SHA-1 of the payload so far, last) of one archive."""
     store, at = place(path)
-    with store.open_input_stream(at, buffer_size=1 << 16) as f:
+    with store.open_input_stream(at, buffer_size=1 << 16) as raw, gzip.GzipFile(fileobj=raw, mode="rb") as f:
         held = b""
 
         def need(mark: bytes) -> bytes | None:
