@@ -72,3 +72,13 @@ def apply_model_rows(t: Tables) -> DataFrame:
 
     out = apply_model(t.documents.select("doc_id", "text"), load, T.StructType([T.StructField("chars", T.LongType())]))
     return out.select("doc_id", "chars", "success", "error")
+
+
+@query()
+def stream_turn_merge(t: Tables) -> DataFrame:
+    """Turn merging as a stream, one state per recording; turns come once the watermark has closed them."""
+    from .segments import GAP
+
+    start = F.unix_micros("ts") / F.lit(1e6)
+    e = events_stream(t).select(F.col("user_id").alias("recording"), F.col("event_type").alias("speaker"), start.alias("start_time"), (start + F.col("value")).alias("end_time"), F.col("event_id").alias("seq"), "ts")
+    return finish(J.merge_stream(e, GAP, "1 minute"), "turns")

@@ -191,3 +191,40 @@ def sentence_map(t: Tables) -> DataFrame:
     s = s.withColumn("s", F.coalesce(F.try_element_at(known, F.col("s")), F.col("s")))
     g = s.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("x"))
     return g.select("conv_id", "turn", F.array_join("x.s", " ").alias("mapped"))
+
+
+@query()
+def expand_numbers(t: Tables) -> DataFrame:
+    from ..functions.numbers import expand_numbers as words
+
+    return t.documents.select("doc_id", words(F.col("text"), F.col("lang")).alias("expanded"))
+
+
+@query()
+def english_normalize(t: Tables) -> DataFrame:
+    from ..functions import numbers
+
+    return t.documents.filter("lang = 'en'").select("doc_id", numbers.english_normalize(F.col("text")).alias("norm"))
+
+
+@query()
+def english_number_words(t: Tables) -> DataFrame:
+    """Order sizes spelled as words and read back as digits."""
+    from ..functions.numbers import expand_numbers as words
+    from ..functions.numbers import number_digits
+
+    n = F.col("l_quantity").cast("long") * 37 + F.col("l_linenumber")
+    spelled = t.lineitem.select("l_orderkey", "l_linenumber", n.alias("n"), words(n.cast("string"), F.lit("en")).alias("spelled"))
+    return spelled.select("l_orderkey", "l_linenumber", "n", "spelled", number_digits("spelled").alias("digits"))
+
+
+@query("SELECT doc_id, count(*) > 0 AS some, string_agg(w, ' ') AS text FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS w FROM documents) GROUP BY doc_id")
+def text_chunks(t: Tables) -> DataFrame:
+    """Texts cut by the table function and joined again."""
+    from ..functions.tables import register
+
+    register(t.spark)
+    t.documents.createOrReplaceTempView("voxlake_documents")
+    c = t.spark.sql("SELECT doc_id, chunk, piece FROM voxlake_documents, LATERAL text_chunks(text, 200)")
+    g = c.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "piece"))).alias("x"))
+    return g.select("doc_id", (F.size("x") > 0).alias("some"), F.array_join("x.piece", " ").alias("text"))
