@@ -37,7 +37,7 @@ ROUNDS, TRUST, SEEDS = 3, 0.6, 3
 
 def left_word(gap: Column) -> Column:
     """Last token of the text before a match; null if there is none."""
-    return F.nullif(F.regexp_extract(gap, rf"([^{BETWEEN}]++)[{BETWEEN}]*+$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(gap, rf"(?<![^{BETWEEN}])([^{BETWEEN}]++)[{BETWEEN}]*+$", 1), F.lit(""))
 
 
 def _digits(c: Column) -> Column:
