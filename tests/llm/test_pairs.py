@@ -17,12 +17,12 @@ def plain_fingerprint(text, width=3):
 
 def groups(items, linked):
     """Smallest id that links reach for each item (id, value)."""
+    near_by = [[j for j, (_, b) in enumerate(items) if linked(a, b)] for _, a in items]
     label = list(range(len(items)))
-    for _ in items:
-        for i, (_, a) in enumerate(items):
-            for j, (_, b) in enumerate(items):
-                if linked(a, b):
-                    label[i] = label[j] = min(label[i], label[j])
+    changed = True
+    while changed:
+        new = [min([label[i], *(label[j] for j in near_by[i])]) for i in range(len(items))]
+        changed, label = new != label, new
     out = []
     for k in label:
         ids = [items[i][0] for i in range(len(items)) if label[i] == k and items[i][0] is not None]

@@ -147,7 +147,7 @@ def plain_spans(text):
     return sorted(out)
 
 
-TEXTS = ["a@b.c_x@y.z 1.2.3.4.5.6.7.8", "1.2.3.999 0255.0.0.1", "4111 1111 1111 1111 x 4111-1111-1111-1112", "+1 (988) 555-2485 +33.1.22.33.44.55", "9" * 20_000, "a" * 50_000, "é😀 x@y.zz é 10.0.0.1", "@@ a@b a@b.c. x@y.z@w.q.r", None, "", "1 " * 20_000, "+1" + "(" * 3000, "x" * 3000 + "@", "a.b@" * 2000]
+TEXTS = ["a@b.c_x@y.z 1.2.3.4.5.6.7.8", "1.2.3.999 0255.0.0.1", "4111 1111 1111 1111 x 4111-1111-1111-1112", "+1 (988) 555-2485 +33.1.22.33.44.55", "9" * 20_000, "a" * 5_000, "é😀 x@y.zz é 10.0.0.1", "@@ a@b a@b.c. x@y.z@w.q.r", None, "", "1 " * 5_000, "+1" + "(" * 3000, "x" * 3000 + "@", "a.b@" * 2000]
 
 
 def test_spans(spark, docs, none):

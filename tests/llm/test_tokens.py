@@ -189,14 +189,17 @@ def test_mix(spark, docs, none, clash):
     assert set(copies.values()) == {0}
 
 
-def test_rounding_keeps_expectations(spark):
-    """Over many seeds a document's share of copies is the rate of its source."""
-    df = spark.createDataFrame([(i, "w " * (1 + i % 5), s) for i, s in enumerate("ab" * 20)], "doc_id long, text string, source string")
-    n = np.zeros(40)
-    for seed in range(12):
-        for r in mixing.mix(df, seed=seed).collect():
-            n[r.doc_id] += r.copies
-    assert abs(n[0::2].mean() / 12 - 2 / 3) < 0.1 and abs(n[1::2].mean() / 12 - 4 / 3) < 0.1
+def test_rounding_keeps_expectations():
+    """Over many draws every document's share of extra copies is its fraction, whatever its size."""
+    rng = np.random.default_rng(8)
+    p, size, n = [0.2, 0.7, 0.5, 0.9, 0.4], [3, 10, 1, 7, 4], np.zeros(5)
+    for _ in range(3000):
+        b = pa.RecordBatch.from_pydict({"source": ["s"] * 5, "block": [0] * 5, "size": size, "p": p, "u": rng.random(5).tolist(), "i": list(range(5))})
+        for out in mixing._round(iter([b]), True):
+            for i, x in zip(out.column("i").to_pylist(), out.column("p").to_pylist(), strict=True):
+                assert x in (0.0, 1.0)
+                n[i] += x
+    assert np.abs(n / 3000 - p).max() < 0.05
 
 
 PAGES = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/2\r\nX: y", "<p>x</p>"), (3, None, None), (4, "u", ""), (5, "u", "é" * 70_000), (6, "u", "WARC/1.1\r\n\r\n\r\n\r\nWARC"), (None, "u", "<p>x</p>"), (None, "u", "only"), (7, "u", "é" * 70_000), (7, "u", "é" * 70_000)]
