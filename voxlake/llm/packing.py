@@ -3,7 +3,8 @@
 A document that is longer than a sequence is cut into full pieces and a rest. A piece goes where the sum,
 over all gap sizes, of the squared number of open sequences with that gap becomes smallest: into an open
 sequence or a new one. Groups of pieces are packed in parallel; the pieces in sequences that a group
-leaves unfilled meet those of other groups at the next level of a tree, until one group is left.
+leaves unfilled meet those of other groups in the next round. No group outgrows its size; rounds end with
+one group, or when another round would fill hardly any sequence more (lengths that don't fit each other).
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from .common import new_path, prepare, table
 from .tokens import crc32, default_path, encoder, in_parts
 
 CAPACITY, END = 4096, 1
-#: Pieces in a group, and groups whose unfilled sequences meet at the next level.
-GROUP, FAN = 100_000, 16
+#: Pieces in a group, the share of pieces that a round must bring to rest if another is to follow, and rounds
+#: that a sequence's id has room for.
+GROUP, GAIN, ROUNDS = 100_000, 0.1, 31
 
 
 class SumOfSquares:
@@ -117,8 +119,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
     offset: the pieces of a sequence lie side by side from offset 0. The rows of a group are spread by hash
     of all that tells pieces apart and, for rows repeated in full, by their place in the input."""
     items = items.withColumns({"sequence_id": F.lit(-1).cast("long"), "offset": F.lit(0).cast("long"), "fill": F.lit(0).cast("long")})
-    n = items.count()
-    groups = n // group + 1
+    before = items.count()
+    groups = before // group + 1
     live = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id() % 64), F.lit(groups)))
     live = table(live, "pieces")
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in live.schema)
@@ -131,11 +133,13 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
         if full is not None:
             done = full.withColumns({"sequence_id": F.monotonically_increasing_id(), "fill": F.col("length")})
             done = table(done, "full-pieces")
-        if groups == 1:
+        unfilled = out.filter(F.col("fill") < capacity)
+        left = unfilled.count() if groups > 1 else 0
+        if groups == 1 or left > (1 - GAIN) * before or level + 1 == ROUNDS:
             return done.union(out).drop("grp", "fill")
         done = done.union(out.filter(F.col("fill") == capacity))
-        live = out.filter(F.col("fill") < capacity).withColumn("grp", F.floor(F.col("grp") / FAN)).select(*live.columns)
-        groups, level = -(-groups // FAN), level + 1
+        before, groups, level = left, min(groups - 1, left // group + 1), level + 1
+        live = unfilled.withColumn("grp", F.col("grp") % groups).select(*live.columns)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
