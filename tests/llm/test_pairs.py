@@ -165,3 +165,27 @@ def test_query_columns(spark):
     out = queries.queries()["op2_simhash_near_dedup"](spark, "/root/testdata/sf0.001")
     assert out.columns[:3] == ["doc_id", "fingerprint", "component_id"]
     assert out.filter(~F.rlike("fingerprint", F.lit("^[0-9a-f]{16}$"))).count() == 0
+
+
+def test_a_forest_of_several_rounds(spark, monkeypatch):
+    """Rounds of two levels on small samples: leaves stay small, and hardly a pair is lost."""
+    monkeypatch.setattr(vector_forest, "LEVELS", 2)
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal((1500, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    same = base[0] + rng.standard_normal((300, 32)) * 0.001  # a group that no direction splits
+    x = np.vstack([base, base[:500] + rng.standard_normal((500, 32)) * 0.2 / np.sqrt(32), same])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cid long, v array<double>")
+    sizes = [r["count"] for r in vector_forest.grow(df, leaf=16, sample=128).groupBy("leaf").count().collect()]
+    assert len(sizes) > 64 and max(sizes) < 700
+    got = vector_forest.near_vectors(df, "cid", "v", leaf=16, sample=128).agg(F.sum("n_links")).first()[0]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((u @ u.T) >= 0.95).sum() - len(u)
+    assert 0.98 * want <= got <= want
+
+
+def test_pairs_that_share_several_leaves_count_once():
+    unit = np.eye(6)[[0, 0, 0, 1, 1, 2]]
+    leaves = [np.array(x) for x in ([1, 9], [1, 9], [2, 9], [3, 9], [3, 4, 9], [9])]
+    link = vector_forest._compare(unit, np.zeros(6, int), leaves, 9, False, 0.95)
+    assert sorted(map(tuple, np.argwhere(link).tolist())) == [(0, 2), (1, 2), (2, 0), (2, 1)]

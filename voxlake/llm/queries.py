@@ -93,4 +93,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup_spread": line_dedup.SQL}
+    return {"op1_warc_chunked": warc.SQL, "op6_line_dedup_spread": line_dedup.SQL, "op10_embedding_forest": vector_forest.SQL}

@@ -4,6 +4,10 @@ Each tree splits the vectors again and again by a random direction at the median
 split go down both sides (spill), so that near pairs seldom part. Vectors are compared within the leaves of
 all trees, every pair is verified by its exact cosine, and links found in any tree are united. Vectors that
 are equal are one class from the start and are never compared with each other.
+
+Trees grow in rounds of up to LEVELS levels. In each round the split points of every leaf that is still too
+large are fitted by a task of its own, on a sample of bounded size, so leaves stay small at any number of
+vectors. All nodes of one level of a tree share their direction.
 """
 
 from __future__ import annotations
@@ -17,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import components, prepare, table
 
-#: Classes that the split points are fitted on, at most.
-SAMPLE = 20_000
+#: Classes that the split points of one leaf are fitted on, about.
+SAMPLE = 16_384
 TREES, LEAF = 4, 512
 #: Half the width of the spill, in standard deviations of a just similar pair's difference along a random direction.
 SPILL = 0.75
@@ -26,45 +30,92 @@ SIMILAR = 0.95
 #: Vectors compared in one block; larger leaves are dealt out as pairs of blocks.
 BLOCK = 2048
 SEED = 5
-
-
-class Forest:
-    """Directions and split points of all trees, and the two leaves' side of each vector."""
-
-    def __init__(self, sample: np.ndarray, rows: int, similar: float = SIMILAR, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL):
-        rng = np.random.default_rng(SEED)
-        dim = sample.shape[1]
-        depth = int(np.ceil(np.log2(max(1, rows / leaf))))
-        self.depth = max(0, min(depth, int(np.log2(max(1, len(sample) / 32)))))  # 32 sampled vectors a leaf
-        self.spill = spill * np.sqrt((2 - 2 * similar) / dim)
-        nodes = (1 << self.depth) - 1
-        self.directions = rng.standard_normal((trees, nodes, dim))
-        self.directions /= np.linalg.norm(self.directions, axis=2, keepdims=True)
-        self.points = np.zeros((trees, nodes))
-        for t in range(trees):
-            at = {0: np.arange(len(sample))}
-            for node in range(nodes):
-                own = at.pop(node, np.zeros(0, int))
-                x = sample[own] @ self.directions[t, node]
-                self.points[t, node] = np.median(x) if len(x) else 0.0
-                at[2 * node + 1], at[2 * node + 2] = own[x <= self.points[t, node]], own[x > self.points[t, node]]
-
-    def leaves(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) of every leaf that a row of unit vectors reaches; leaves of all trees are numbered through."""
-        rows, found = [], []
-        first = (1 << self.depth) - 1
-        for t in range(len(self.directions)):
-            at, node = np.arange(len(unit)), np.zeros(len(unit), np.int64)
-            for _ in range(self.depth):
-                off = np.empty(len(at))
-                for k in np.unique(node):
-                    own = node == k
-                    off[own] = unit[at[own]] @ self.directions[t, k] - self.points[t, k]
-                left, right = off <= self.spill, off > -self.spill
-                at, node = np.concatenate([at[left], at[right]]), np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
-            rows.append(at)
-            found.append(node - first + (t << self.depth))
-        return np.concatenate(rows), np.concatenate(found).astype(np.int32)
+#: Levels of a round, and rounds that a leaf's number has room for.
+LEVELS, ROUNDS = 8, 7
+#: Quantiles that a node may be split at, in order of choice, and the share of a node that a side may hold.
+CUTS, SIDE = (0.5, 0.4, 0.6, 0.3, 0.7, 0.2, 0.8), 0.8
+
+
+def directions(leaf: int, turn: int, dim: int) -> np.ndarray:
+    """Unit directions (as columns) of the levels below a leaf of the given round; leaf >> LEVELS * turn is its tree."""
+    d = np.random.default_rng([SEED, leaf >> LEVELS * turn, turn]).standard_normal((dim, LEVELS))
+    return d / np.linalg.norm(d, axis=0)
+
+
+def split_points(x: np.ndarray, depth: int, spill: float) -> np.ndarray:
+    """Split points of the nodes of a subtree in heap order, from a sample's projections (row, level). A node
+    whose sides would both be nearly as large as itself has NaN: it isn't split at that level."""
+    points, at = np.full((1 << depth) - 1, np.nan), {0: np.arange(len(x))}
+    for node in range(len(points)):
+        own = at.pop(node)
+        own_x = x[own, (node + 1).bit_length() - 1]
+        for c in np.quantile(own_x, CUTS) if len(own) else ():
+            if max((own_x <= c + spill).sum(), (own_x > c - spill).sum()) <= SIDE * len(own):
+                points[node] = c
+                break
+        right = own_x > points[node]  # never where the point is NaN
+        at[2 * node + 1], at[2 * node + 2] = own[~right], own[right]
+    return points
+
+
+def descend(x: np.ndarray, points: np.ndarray, spill: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf of the subtree) of every leaf that the rows reach, from their projections (row, level)."""
+    at, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+    depth = len(points).bit_length()
+    for level in range(depth):
+        off = x[at, level] - points[node]
+        left, right = ~(off > spill), off > -spill
+        at, node = np.concatenate([at[left], at[right]]), np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
+    return at, node - len(points)
+
+
+def grow_below(at: DataFrame, own: DataFrame, turn: int, half: float, leaf: int, sample: int) -> DataFrame | None:
+    """(cid, leaf) after splitting all leaves of at that are too large; None if there is nothing to split. half is
+    half the spill's width times the square root of the dimension."""
+    large = table(at.groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") > max(4 * leaf, 1)), "large-leaves")
+
+    def fit(t: pa.Table) -> pa.Table:
+        number, size = t.column("leaf")[0].as_py(), t.column("size")[0].as_py()
+        unit = _matrix(t.column("v").combine_chunks())
+        depth = min(LEVELS, int(np.ceil(np.log2(size / leaf))))
+        points = split_points(unit @ directions(number, turn, unit.shape[1]), depth, half / np.sqrt(unit.shape[1]))
+        found = [] if np.isnan(points).all() else [points]
+        return pa.table({"leaf": pa.array([number][: len(found)], pa.int64()), "points": pa.array(found, pa.list_(pa.float64()))})
+
+    # which rows a sample holds is decided by hash before their vectors are looked up
+    some = at.join(large, "leaf").filter(F.pmod(F.xxhash64("cid", "leaf"), F.col("size")) < sample)
+    model = table(some.join(own, "cid").select("leaf", "size", "v").groupBy("leaf").applyInArrow(fit, "leaf long, points array<double>"), "split-points")
+    if model.isEmpty():
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            number, points = b.column("leaf").to_numpy(), b.column("points")
+            rows, leaves = [], []
+            for k in np.unique(number).tolist():
+                mine = np.flatnonzero(number == k)
+                unit = _matrix(b.column("v").take(pa.array(mine)))
+                split = points[int(mine[0])].values.to_numpy()
+                row, child = descend(unit @ directions(k, turn, unit.shape[1]), split, half / np.sqrt(unit.shape[1]))
+                rows.append(mine[row])
+                leaves.append((k << LEVELS) + child)
+            if rows:
+                yield pa.RecordBatch.from_arrays([b.column("cid").take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(leaves))], ["cid", "leaf"])
+
+    below = at.join(model, "leaf").join(own, "cid").select("cid", "leaf", "points", "v").mapInArrow(run, "cid long, leaf long")
+    rest = at.join(model, "leaf", "left_anti").select("cid", F.shiftleft("leaf", LEVELS).alias("leaf"))
+    return table(below.union(rest), "leaves")
+
+
+def grow(own: DataFrame, similar: float = SIMILAR, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE) -> DataFrame:
+    """(cid, leaf): all leaves of all trees that each row of own (cid, v) reaches."""
+    at = table(own.select("cid", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("leaf")), "leaves")
+    for turn in range(ROUNDS):
+        below = grow_below(at, own, turn, spill * np.sqrt(2 - 2 * similar), leaf, sample)
+        if below is None:
+            break
+        at = below
+    return at
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -81,14 +132,20 @@ def _compare(unit: np.ndarray, side: np.ndarray, leaves: list, leaf: int, mixed:
     np.fill_diagonal(link, False)
     if mixed:
         link &= side[:, None] != side[None, :]
-    if link.any():
-        size = np.fromiter(map(len, leaves), np.int64, len(leaves))
-        flat, owner = np.concatenate(leaves), np.repeat(np.arange(len(leaves)), size)
-        early = flat < leaf
-        number, column = np.unique(flat[early], return_inverse=True)
-        member = np.zeros((len(leaves), len(number)), np.float32)
-        member[owner[early], column] = 1
-        link &= member @ member.T == 0
+    rows = np.flatnonzero(link.any(axis=1))  # the others have no pair that could be counted twice
+    if len(rows):
+        size = np.fromiter((len(leaves[r]) for r in rows), np.int64, len(rows))
+        flat, owner = np.concatenate([leaves[r] for r in rows]), np.repeat(np.arange(len(rows)), size)
+        flat, owner = flat[flat < leaf], owner[flat < leaf]
+        _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+        column, owner = np.unique(column[count[column] > 1], return_inverse=True)[1], owner[count[column] > 1]
+        shared = np.zeros((len(rows), len(rows)), bool)
+        for at in range(0, int(column.max(initial=-1)) + 1, BLOCK):  # so many earlier leaves at once
+            now = (column >= at) & (column < at + BLOCK)
+            member = np.zeros((len(rows), BLOCK), np.float32)
+            member[owner[now], column[now] - at] = 1
+            shared |= member @ member.T > 0
+        link[np.ix_(rows, rows)] &= ~shared
     return link
 
 
@@ -124,23 +181,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     ids = table(rows.select("vec_id", "h1", "h2"), "vectors")
     own = rows.filter("good").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.any_value("v").alias("v"))
     own = table(own.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    count = own.count()
-    sample = own.select("v").orderBy(F.xxhash64("h1", "h2")).limit(SAMPLE)
-    sample = _matrix(pa.Table.from_batches(sample.toArrow().to_batches()).column(0).combine_chunks()) if count else np.ones((1, 1))
-    model = spark.sparkContext.broadcast(Forest(sample, count, similar, **forest))  # a bounded number of nodes
-
-    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                row, leaf = model.value.leaves(_matrix(b.column("v")))
-                order = np.argsort(row, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))])
-                leaves = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(leaf[order]))
-                yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), b.column("v"), leaves], ["cid", "n", "v", "leaves"])
-
-    met = table(own.select("cid", "n", "v").mapInArrow(descend, "cid long, n long, v array<double>, leaves array<int>"), "leaves")
+    leaves = grow(own.select("cid", "v"), similar, **forest).groupBy("cid").agg(F.collect_list("leaf").alias("leaves"))
+    met = table(own.select("cid", "n", "v").join(leaves, "cid"), "leaves")
     sizes = met.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()
-    sizes = F.broadcast(sizes.select("leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks")))  # a row a leaf of the model
+    sizes = sizes.select("leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks"))
     met = met.select("cid", "n", "v", "leaves", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
     met = met.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     met = met.select("leaf", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cid", "n", "v", "leaves")
@@ -183,3 +227,23 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     out = ids.join(own, F.expr("h1 = g1 and h2 = g2"), "left")
     comp = F.when(F.col("g1").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), F.col("vec_id").eqNullSafe(comp).alias("kept"))
+
+
+#: All pairs. A table of at most 4 * LEAF classes is one leaf of each tree, so the forest then meets them all.
+SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+fine AS (
+  SELECT vec_id, e FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id
+  WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {SIMILAR}),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON least.a = vec_id LEFT JOIN degree ON degree.a = vec_id
+"""

@@ -179,3 +179,19 @@ def page_records(archives: DataFrame) -> DataFrame:
     last = chunks(archives, data=False).filter("last")
     same = F.assert_true((F.col("kind") == "revisit") | (F.col("digest_so_far") == F.col("payload_digest")), "a payload does not have its digest")
     return last.withColumn("ok", same).filter("ok is null").select("page_id", "payload_bytes", F.when(F.col("kind") == "revisit", F.col("payload_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
+#: What the query returns, from the pages themselves: digests of five hexadecimal digits at a time make four letters.
+SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS hex,
+             max(page_id) OVER (PARTITION BY html) AS best FROM p)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST((CAST(concat('0x', substr(hex, i // 4 * 5 + 1, 5)) AS INTEGER) >> (15 - i % 4 * 5)::INTEGER) & 31 AS INTEGER) + 1, 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM best OR best IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM best THEN best END AS refers_to
+FROM d
+"""
