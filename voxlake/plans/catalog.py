@@ -34,7 +34,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable:
     return register
 
 
-for part in ("segments", "text", "curation", "vectors", "spatial", "signal", "streams"):
+for part in ("segments", "text", "curation", "vectors", "spatial", "signal", "streams", "files"):
     importlib.import_module(f"voxlake.plans.{part}") if importlib.util.find_spec(f"voxlake.plans.{part}") else None
 
 
