@@ -127,7 +127,8 @@ def identifiers(found: DataFrame, texts: DataFrame) -> DataFrame:
     graph = table(graph, "graph")
     words = table(graph.select("left").distinct(), "contexts")
     token = texts.select(F.explode(F.split("text", f"[{BETWEEN}]+")).alias("left"))
-    often = table(token.join(words, "left").groupBy("left").agg(F.count("*").alias("all")), "context-counts")
+    # counted before the join: frequent words then meet in a row a task, however many texts hold them
+    often = table(token.groupBy("left").agg(F.count("*").alias("all")).join(words, "left"), "context-counts")
     trusted = graph.groupBy("value").agg(F.max("seed").alias("seed")).select("value", "seed", F.col("seed").cast("double").alias("c"))
     for _ in range(ROUNDS):
         seen = graph.select("left", "value", "n").join(trusted, "value")
