@@ -186,6 +186,6 @@ def test_a_forest_of_several_rounds(spark, monkeypatch):
 
 def test_pairs_that_share_several_leaves_count_once():
     unit = np.eye(6)[[0, 0, 0, 1, 1, 2]]
-    leaves = [np.array(x) for x in ([1, 9], [1, 9], [2, 9], [3, 9], [3, 4, 9], [9])]
-    link = vector_forest._compare(unit, np.zeros(6, int), leaves, 9, False, 0.95)
+    earlier = [np.array(x, int) for x in ([1], [1], [2], [3], [3, 4], [])]
+    link = vector_forest._compare(unit, np.zeros(6, int), earlier, False, 0.95)
     assert sorted(map(tuple, np.argwhere(link).tolist())) == [(0, 2), (1, 2), (2, 0), (2, 1)]

@@ -23,9 +23,11 @@ from .common import components, prepare, table
 
 #: Classes that the split points of one leaf are fitted on, about.
 SAMPLE = 16_384
-TREES, LEAF = 4, 512
+#: Trees, and the size that leaves are split to. Copies of a vector grow with the spill at every level, so many
+#: trees with little spill cost less in deep forests than few trees with much.
+TREES, LEAF = 6, 512
 #: Half the width of the spill, in standard deviations of a just similar pair's difference along a random direction.
-SPILL = 0.75
+SPILL = 0.4
 SIMILAR = 0.95
 #: Vectors compared in one block; larger leaves are dealt out as pairs of blocks.
 BLOCK = 2048
@@ -126,17 +128,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _compare(unit: np.ndarray, side: np.ndarray, leaves: list, leaf: int, mixed: bool, similar: float) -> np.ndarray:
-    """Boolean links of one block or pair of blocks: similar pairs whose first common leaf is this one."""
+def _compare(unit: np.ndarray, side: np.ndarray, earlier: list, mixed: bool, similar: float) -> np.ndarray:
+    """Boolean links of one block or pair of blocks: similar pairs that share none of the leaves before this one."""
     link = unit @ unit.T >= similar
     np.fill_diagonal(link, False)
     if mixed:
         link &= side[:, None] != side[None, :]
     rows = np.flatnonzero(link.any(axis=1))  # the others have no pair that could be counted twice
     if len(rows):
-        size = np.fromiter((len(leaves[r]) for r in rows), np.int64, len(rows))
-        flat, owner = np.concatenate([leaves[r] for r in rows]), np.repeat(np.arange(len(rows)), size)
-        flat, owner = flat[flat < leaf], owner[flat < leaf]
+        size = np.fromiter((len(earlier[r]) for r in rows), np.int64, len(rows))
+        flat, owner = np.concatenate([earlier[r] for r in rows]), np.repeat(np.arange(len(rows)), size)
         _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
         column, owner = np.unique(column[count[column] > 1], return_inverse=True)[1], owner[count[column] > 1]
         shared = np.zeros((len(rows), len(rows)), bool)
@@ -172,7 +173,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     """
     spark = vectors.sparkSession
     prepare(spark)
-    rows = vectors.select(F.col(id_col).alias("vec_id"), F.transform(F.col(vec_col), lambda x: F.when(x == 0, F.lit(0)).otherwise(x).cast("double")).alias("v"))
+    kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"  # as narrow as they come
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.transform(F.col(vec_col), lambda x: F.when(x == 0, F.lit(0)).otherwise(x).cast(kind)).alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("dim", F.when(fine, F.size("v")))
     top = rows.filter("dim is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
@@ -187,7 +189,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     sizes = sizes.select("leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks"))
     met = met.select("cid", "n", "v", "leaves", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
     met = met.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    met = met.select("leaf", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cid", "n", "v", "leaves")
+    met = met.select("leaf", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cid", "n", "v", F.expr("filter(leaves, x -> x < leaf)").alias("earlier"))
     met = met.repartition("leaf", "p", "q").sortWithinPartitions("leaf", "p", "q")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +198,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks()
             cid, n = t.column("cid").to_numpy(), t.column("n").to_numpy()
-            leaf, p, q = now
-            link = _compare(_matrix(t.column("v").combine_chunks()), t.column("own").to_numpy(), [x.values.to_numpy() for x in t.column("leaves")], leaf, p != q, similar)
+            _, p, q = now
+            link = _compare(_matrix(t.column("v").combine_chunks()), t.column("own").to_numpy(), [x.values.to_numpy() for x in t.column("earlier")], p != q, similar)
             links = link @ n
             root = _forest_of(link)
             some = np.flatnonzero(links)
@@ -229,7 +231,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), F.col("vec_id").eqNullSafe(comp).alias("kept"))
 
 
-#: All pairs. A table of at most 4 * LEAF classes is one leaf of each tree, so the forest then meets them all.
+#: All pairs. A table of at most 4 * LEAF different vectors is one leaf of each tree, so the forest then meets them all.
 SQL = f"""
 WITH RECURSIVE v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
