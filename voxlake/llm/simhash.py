@@ -236,7 +236,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without near duplicates: of each group the row of smallest id (nulls last) stays."""
-    found = near_duplicates(docs, id_col, text_col)
+    return first_of(docs, near_duplicates(docs, id_col, text_col), id_col, text_col)
+
+
+def first_of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that come first in their group; found has (doc_id, t1, t2, root) of every row."""
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
     kept = found.groupBy("root").agg(F.min(first).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.t1").alias("__t1"), F.col("k.t2").alias("__t2"))
     t = F.coalesce(F.col(text_col), F.lit(""))
