@@ -213,3 +213,19 @@ def test_dense_groups_are_not_split_apart():
             member[row, leaf] = 1
             found |= member @ member.T > 0
         assert (found & want).sum() >= 0.995 * want.sum() > 100_000
+
+
+def test_vectors_of_several_lengths(spark):
+    """Each length has its own forest, split or not: equal and similar vectors link at every length."""
+    rng = np.random.default_rng(17)
+    rows = []
+    for dim, n in ((16, 60), (8, 40), (3, 1)):
+        for v in rng.standard_normal((n, dim)):
+            rows += [(len(rows) + k, (v + rng.standard_normal(dim) * s).tolist(), 0) for k, s in enumerate((0, 0, 0.02))]
+    df = spark.createDataFrame(rows, VECS)
+    got = vector_forest.near_vectors(df, leaf=16, trees=6).collect()
+    kept = [(i, np.array(np.float32(v), float)) for i, v, _ in rows]
+    linked = lambda a, b: len(a) == len(b) and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.95
+    links = [sum(linked(a, b) for j, b in kept if i != j) for i, a in kept]
+    comp = groups(kept, linked)
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, n, c) for (i, _), n, c in zip(kept, links, comp, strict=True)]

@@ -77,9 +77,9 @@ def descend(x: np.ndarray, points: np.ndarray, spill: float) -> tuple[np.ndarray
 
 
 def grow_below(at: DataFrame, own: DataFrame, turn: int, half: float, leaf: int, sample: int) -> DataFrame | None:
-    """(cid, leaf) after splitting all leaves of at that are too large; None if there is nothing to split. half is
+    """(cid, dim, leaf) after splitting all leaves of at that are too large; None if there is nothing to split. half is
     half the spill's width times the square root of the dimension."""
-    large = table(at.groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") > max(4 * leaf, 1)), "large-leaves")
+    large = table(at.groupBy("dim", "leaf").agg(F.count("*").alias("size")).filter(F.col("size") > max(4 * leaf, 1)), "large-leaves")
 
     def fit(t: pa.Table) -> pa.Table:
         number, size = t.column("leaf")[0].as_py(), t.column("size")[0].as_py()
@@ -87,36 +87,38 @@ def grow_below(at: DataFrame, own: DataFrame, turn: int, half: float, leaf: int,
         depth = min(LEVELS, int(np.ceil(np.log2(size / leaf))))
         points = split_points(unit @ directions(number, turn, unit.shape[1]), depth, half / np.sqrt(unit.shape[1]))
         found = [] if np.isnan(points).all() else [points]
-        return pa.table({"leaf": pa.array([number][: len(found)], pa.int64()), "points": pa.array(found, pa.list_(pa.float64()))})
+        return pa.table({"dim": pa.array([unit.shape[1]][: len(found)], pa.int32()), "leaf": pa.array([number][: len(found)], pa.int64()), "points": pa.array(found, pa.list_(pa.float64()))})
 
     # which rows a sample holds is decided by hash before their vectors are looked up
-    some = at.join(large, "leaf").filter(F.pmod(F.xxhash64("cid", "leaf"), F.col("size")) < sample)
-    model = table(some.join(own, "cid").select("leaf", "size", "v").groupBy("leaf").applyInArrow(fit, "leaf long, points array<double>"), "split-points")
+    some = at.join(large, ["dim", "leaf"]).filter(F.pmod(F.xxhash64("cid", "leaf"), F.col("size")) < sample)
+    model = table(some.join(own, "cid").select("dim", "leaf", "size", "v").groupBy("dim", "leaf").applyInArrow(fit, "dim int, leaf long, points array<double>"), "split-points")
     if model.isEmpty():
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            number, points = b.column("leaf").to_numpy(), b.column("points")
+            dim, number, points = b.column("dim").to_numpy(), b.column("leaf").to_numpy(), b.column("points")
             rows, leaves = [], []
-            for k in np.unique(number).tolist():
-                mine = np.flatnonzero(number == k)
+            for d, k in np.unique(np.stack([dim, number], axis=1), axis=0).tolist():
+                mine = np.flatnonzero((dim == d) & (number == k))
                 unit = _matrix(b.column("v").take(pa.array(mine)))
                 split = points[int(mine[0])].values.to_numpy()
                 row, child = descend(unit @ directions(k, turn, unit.shape[1]), split, half / np.sqrt(unit.shape[1]))
                 rows.append(mine[row])
                 leaves.append((k << LEVELS) + child)
             if rows:
-                yield pa.RecordBatch.from_arrays([b.column("cid").take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(leaves))], ["cid", "leaf"])
+                taken = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([b.column("cid").take(taken), b.column("dim").take(taken), pa.array(np.concatenate(leaves))], ["cid", "dim", "leaf"])
 
-    below = at.join(model, "leaf").join(own, "cid").select("cid", "leaf", "points", "v").mapInArrow(run, "cid long, leaf long")
-    rest = at.join(model, "leaf", "left_anti").select("cid", F.shiftleft("leaf", LEVELS).alias("leaf"))
+    below = at.join(model, ["dim", "leaf"]).join(own, "cid").select("cid", "dim", "leaf", "points", "v").mapInArrow(run, "cid long, dim int, leaf long")
+    rest = at.join(model, ["dim", "leaf"], "left_anti").select("cid", "dim", F.shiftleft("leaf", LEVELS).alias("leaf"))
     return table(below.union(rest), "leaves")
 
 
 def grow(own: DataFrame, similar: float = SIMILAR, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE) -> DataFrame:
-    """(cid, leaf): all leaves of all trees that each row of own (cid, v) reaches."""
-    at = table(own.select("cid", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("leaf")), "leaves")
+    """(cid, dim, leaf): all leaves of all trees that each row of own (cid, v) reaches. Vectors of each length have
+    trees of their own, whose leaves are numbered alike."""
+    at = table(own.select("cid", F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("leaf")), "leaves")
     for turn in range(ROUNDS):
         below = grow_below(at, own, turn, spill * np.sqrt(2 - 2 * similar), leaf, sample)
         if below is None:
@@ -173,29 +175,26 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     Two rows are linked if the forest meets them and their cosine in double precision is at least `similar`.
     n_links counts other rows that are linked directly, component_id is the smallest id that links reach, kept
     says that the id is that one. Null or zero vectors and vectors with null, NaN or infinite components have
-    no links, and so do vectors of another length than the most common one. Repeated rows link with each
-    other. An empty table gives an empty result; other columns are ignored.
+    no links; vectors of different lengths are not linked. Repeated rows link with each other. An empty table gives an empty result; other columns are ignored.
     """
     spark = vectors.sparkSession
     prepare(spark)
     kind = "float" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "double"  # as narrow as they come
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.transform(F.col(vec_col), lambda x: F.when(x == 0, F.lit(0)).otherwise(x).cast(kind)).alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
-    rows = rows.withColumn("dim", F.when(fine, F.size("v")))
-    top = rows.filter("dim is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    rows = rows.withColumn("good", F.coalesce(F.col("dim") == (top["dim"] if top else 0), F.lit(False)))
+    rows = rows.withColumn("good", fine)
     rows = rows.withColumns({"h1": F.when(F.col("good"), F.xxhash64("v")), "h2": F.when(F.col("good"), F.xxhash64(F.lit(7919), "v"))})
     ids = table(rows.select("vec_id", "h1", "h2"), "vectors")
     own = rows.filter("good").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.any_value("v").alias("v"))
     own = table(own.withColumn("cid", F.monotonically_increasing_id()), "classes")
     leaves = grow(own.select("cid", "v"), similar, **forest).groupBy("cid").agg(F.collect_list("leaf").alias("leaves"))
     met = table(own.select("cid", "n", "v").join(leaves, "cid"), "leaves")
-    sizes = met.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count()
-    sizes = sizes.select("leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks"))
-    met = met.select("cid", "n", "v", "leaves", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
+    sizes = met.select(F.size("v").alias("dim"), F.explode("leaves").alias("leaf")).groupBy("dim", "leaf").count()
+    sizes = sizes.select("dim", "leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks"))
+    met = met.select("cid", "n", "v", "leaves", F.size("v").alias("dim"), F.explode("leaves").alias("leaf")).join(sizes, ["dim", "leaf"])
     met = met.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    met = met.select("leaf", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cid", "n", "v", F.expr("filter(leaves, x -> x < leaf)").alias("earlier"))
-    met = met.repartition("leaf", "p", "q").sortWithinPartitions("leaf", "p", "q")
+    met = met.select("dim", "leaf", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cid", "n", "v", F.expr("filter(leaves, x -> x < leaf)").alias("earlier"))
+    met = met.repartition("dim", "leaf", "p", "q").sortWithinPartitions("dim", "leaf", "p", "q")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
@@ -203,7 +202,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks()
             cid, n = t.column("cid").to_numpy(), t.column("n").to_numpy()
-            _, p, q = now
+            *_, p, q = now
             link = _compare(_matrix(t.column("v").combine_chunks()), t.column("own").to_numpy(), [x.values.to_numpy() for x in t.column("earlier")], p != q, similar)
             links = link @ n
             root = _forest_of(link)
@@ -211,7 +210,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
             return pa.RecordBatch.from_arrays([pa.array(cid[some]), pa.array(cid[root[some]]), pa.array(links[some].astype(np.int64))], ["cid", "to", "links"])
 
         for b in batches:
-            keys = np.stack([b.column(c).to_numpy() for c in ("leaf", "p", "q")], axis=1) if b.num_rows else np.zeros((0, 3), int)
+            keys = np.stack([b.column(c).to_numpy() for c in ("dim", "leaf", "p", "q")], axis=1) if b.num_rows else np.zeros((0, 4), int)
             cuts = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), b.num_rows]
             for a, z in zip(cuts, cuts[1:], strict=False):
                 if z > a:
