@@ -36,12 +36,13 @@ def test_pieces_encode_like_whole_texts(texts):
 
 
 def test_cache_turns_over(tok, monkeypatch):
-    monkeypatch.setattr(tokens, "HALF", 50)
+    monkeypatch.setattr(tokens, "KEPT", 50)
     tokens._loaded.clear()
     encode = tokens.encoder(tokens.default_path())
-    texts = [f"word{i} other{i % 7}, {'long' * 40} x{i}!" for i in range(200)]
+    texts = [f"word{i} other{i % 7}, {'long' * 90} x{i}! word{'e' * i}" for i in range(200)]
     for k in range(0, 200, 10):
         assert [x.tolist() for x in encode(texts[k : k + 10])] == [whole(tok, t) for t in texts[k : k + 10]]
+        assert len(encode.known) <= 60 and max(map(len, encode.known)) <= tokens.LONGEST
     tokens._loaded.clear()
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import new_path, prepare, table
-from .tokens import crc32, default_path, encoder, in_parts
+from .tokens import crc32, default_path, encoder, in_parts, with_end
 
 CAPACITY, END = 4096, 1
 #: Pieces in a group, the share of pieces that a round must bring to rest if another is to follow, and rounds
@@ -67,19 +67,21 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(model)
-        end = np.array([END], dtype=encode([""])[0].dtype)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            texts = in_parts(x.as_py() for x in b.column(1))
-            for i, ids in enumerate(ids for part in texts for ids in encode(part)):
-                ids = np.concatenate([ids, end])
-                for k, at in enumerate(range(0, len(ids), capacity)):
-                    part = ids[at : at + capacity]
-                    row.append(i)
-                    piece.append(k)
-                    start.append(at)
-                    length.append(len(part))
-                    crc.append(crc32(part))
+            i = 0
+            for part in in_parts(b.column(1)):
+                ids, sizes = with_end(*encode.flat(part), END)
+                ids, first = ids.astype("<u4"), 0
+                for size in sizes.tolist():
+                    for k, at in enumerate(range(0, size, capacity)):
+                        n = min(capacity, size - at)
+                        row.append(i)
+                        piece.append(k)
+                        start.append(at)
+                        length.append(n)
+                        crc.append(crc32(ids[first + at : first + at + n]))
+                    i, first = i + 1, first + size
             cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32"])
 

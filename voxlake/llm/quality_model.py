@@ -168,8 +168,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
         own = Scorer(shared.value)
         for b in batches:
             at = b.schema.get_field_index(text_col)
-            parts = in_parts("" if x is None else x for x in (v.as_py() for v in b.column(at)))
-            s = np.concatenate([np.zeros(0), *map(own.scores, parts)])
+            s = np.concatenate([np.zeros(0), *(own.scores(part.to_pylist()) for part in in_parts(b.column(at)))])
             if keep is not None:
                 yield b.filter(pa.array(s >= keep))
             else:

@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import new_path, prepare, table
-from .tokens import crc32, default_path, encoder, in_parts
+from .tokens import crc32, default_path, encoder, in_parts, with_end
 
 #: Ids in a sequence, and sequences in a record batch.
 LENGTH, ROWS = 2048, 256
 END = 1
+#: Bytes of text that a shard is meant for.
+SHARD = 128 << 20
 
 
 def place(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -113,30 +115,37 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Returns the manifest (shard int, path, n_docs, n_tokens), a written table; a path that it does not name
     comes from a task that failed and is not part of the data. Null texts are empty; null ids come first;
-    rows of one id are ordered by their text. An empty table gives an empty manifest.
+    rows of one id are ordered by their text, and repeated rows are written as often as they come. A text may
+    be of any length: a shard's writer holds one record batch beside the ids of one text. Other columns, of any
+    name, are ignored. An empty table gives an empty manifest. There is a shard for every SHARD bytes of text,
+    and at least spark.sql.shuffle.partitions of them. Texts, not ids, go through the range exchange: two bytes
+    an id are about as many as compressed text takes, and Spark runs a range exchange's input twice.
     """
     spark = docs.sparkSession
     prepare(spark)
     model, folder = tokenizer or default_path(), new_path(spark, "token-shards")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD))
     rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode, out, shard = encoder(model), None, TaskContext.get().partitionId()
-        end = np.array([END], dtype=encode([""])[0].dtype)
         for b in batches:
             if out is None and b.num_rows:
                 store, at = place(folder)
                 store.create_dir(at)
                 path = f"{folder}/{shard:06d}-{uuid.uuid4().hex}.arrow"
-                out = ShardWriter(path, end.dtype, b.column(0).type, length)
+                out = ShardWriter(path, encode.kind, b.column(0).type, length)
             doc_ids = iter(b.column(0).to_pylist())
-            for part in in_parts(x.as_py() for x in b.column(1)):
-                for ids in encode(part):
-                    out.add(next(doc_ids), np.concatenate([ids, end]))
+            for part in in_parts(b.column(1)):
+                ids, sizes = with_end(*encode.flat(part), END)
+                at = 0
+                for size in sizes.tolist():
+                    out.add(next(doc_ids), ids[at : at + size])
+                    at += size
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [out.count], "n_tokens": [out.total]})
