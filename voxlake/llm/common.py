@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space that separates words in every operator here: blank and \t \n \v \f \r.
@@ -15,20 +15,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package and keep Arrow batches of long texts small."""
+    """Let Python workers import this package. Arrow batches stay as the session has them: Spark itself ends a batch
+    with the row that passes spark.sql.execution.arrow.maxBytesPerBatch (64 MB if unset), so long texts do not add up."""
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if root not in paths.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests)."""
+    """The folder that driver and executors share. It must be named; only a local master, where there is one machine,
+    gets a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="voxlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -55,11 +57,33 @@ def drop(df: DataFrame) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def text_key(*cols: str) -> list:
+def text_key(*cols: str | Column) -> list[Column]:
     """128 bits that stand for the given columns' values: two hashes with different starts."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(7919), *cols)]
 
 
+def quoted(name: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def whole(df: DataFrame) -> Column:
+    """All columns of df as one struct `row`, so that no name of theirs meets a name of an operator's own."""
+    return F.struct(*map(quoted, df.columns)).alias("row")
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    """The given fields of `row` as columns again."""
+    return [F.col("row").getField(n).alias(n) for n in names]
+
+
+def rest_key(df: DataFrame, *known: str) -> Column:
+    """A hash of all columns but the known ones (maps, which have no order, are left out): tells rows apart whose
+    id and text are equal."""
+    others = [f.name for f in df.schema if f.name not in known and not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return F.xxhash64(F.lit(1), *map(quoted, others))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph.
 

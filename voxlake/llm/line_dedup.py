@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, table, text_key
+from .common import WORD, table, text_key, whole
 
 #: A line spreads if at least so many distinct sites have it, and counts if it has so many words.
 SITES, WORDS = 3, 3
@@ -25,7 +25,8 @@ BLANK = " \t\n\r\x0b\x0c"
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, words: int) -> DataFrame:
     """(doc_id, t1, t2, site, pos, l1, l2) of every line that counts; pos starts at 0."""
     t = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(7919), t).alias("t2"), F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("")).alias("site"), F.split(t, "\n", -1).alias("lines"))
+    t1, t2 = text_key(t)
+    own = docs.select(F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("")).alias("site"), F.split(t, "\n", -1).alias("lines"))
     own = own.select("doc_id", "t1", "t2", "site", F.posexplode("lines").alias("pos", "line"))
     own = own.withColumn("line", F.trim(F.col("line"), F.lit(BLANK)))
     least = WORD + (r"[\x20\x09-\x0D]+" + WORD) * (words - 1)
@@ -40,9 +41,10 @@ def spreading(lines: DataFrame, sites: int = SITES, lg: int = LG) -> DataFrame:
     seen = table(seen.select("l1", "l2", "first", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= 2 if sites >= 3 else F.lit(True)), "line-sites")
     band = max(1.0, ERRORS * 1.04 / 2 ** (lg / 2) * sites)
     near = seen.filter(F.abs(F.col("sites") - sites) <= band).select("l1", "l2", "first")
-    few = lines.join(near, ["l1", "l2"]).select("l1", "l2", "first", "site")
-    # dealt anew behind the join, so that the join's other side may hold a very frequent line and be split
-    exact = few.repartition("l1", "l2", "site").distinct().groupBy("l1", "l2", "first").count()
+    # one row a line and site before anything meets by line: a task writes a frequent line once for each site. Dealt
+    # anew behind the join, so that a line with very many sites can be split there; lines near the threshold have few
+    exact = lines.select("l1", "l2", "site").distinct().join(near, ["l1", "l2"])
+    exact = exact.repartition("l1", "l2").groupBy("l1", "l2", "first").count()
     return seen.filter(F.col("sites") - sites > band).select("l1", "l2", "first").union(exact.filter(F.col("count") >= sites).select("l1", "l2", "first"))
 
 
@@ -51,23 +53,24 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are cut at \\n and compared without ASCII white space at both ends; lines of fewer than `words`
     words never go. A null site is a site of its own. Lines are ordered by (id, position), null ids last; rows
-    repeated in full keep the same lines. A null text stays null and has no lines; columns of docs named
-    n_lines or n_removed are replaced; other columns of any name are kept as they are.
+    repeated in full keep the same lines. A null text stays null and has no lines; texts may be of any length.
+    Columns of docs named n_lines or n_removed are replaced; other columns, of any name, are kept as they are. An
+    empty table gives an empty result.
     """
-    lines = _lines(docs, id_col, text_col, site_col, words)
-    lines = table(lines, "lines")
+    lines = table(_lines(docs, id_col, text_col, site_col, words), "lines")
     spread = spreading(lines, sites).withColumnsRenamed({"l1": "m1", "l2": "m2"})
     gone = lines.join(spread, F.expr("l1 = m1 and l2 = m2 and not (doc_id <=> first.doc_id and pos = first.pos)"))
-    gone = gone.groupBy("doc_id", "t1", "t2").agg(F.collect_set("pos").alias("__gone"))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__a"), F.col("t2").alias("__b"), "__gone")
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    mine = docs.withColumns({"__t1": F.xxhash64(t), "__t2": F.xxhash64(F.lit(7919), t), "__id1": F.col(id_col)})
-    mine = mine.join(gone, F.expr("__t1 = __a and __t2 = __b and __id1 <=> __id"), "left")
-    n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(F.col(text_col), "\n", -1))).cast("long")
-    kept = F.array_join(F.filter(F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains("__gone", s["i"]))["x"], "\n")
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)
-    out = mine.select(*[F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed", text_col)], text.alias(text_col), n.alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"))
-    return out.withColumn("n_removed", F.greatest("n_removed", F.lit(0)).cast("long"))
+    gone = gone.groupBy("doc_id", "t1", "t2").agg(F.collect_set("pos").alias("gone"))
+    gone = gone.withColumnsRenamed({c: f"g_{c}" for c in ("doc_id", "t1", "t2")})
+    t1, t2 = text_key(F.coalesce(F.col(text_col), F.lit("")))
+    mine = docs.select(whole(docs), F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"))
+    mine = mine.join(gone, F.expr("t1 = g_t1 and t2 = g_t2 and doc_id <=> g_doc_id"), "left")
+    parts = F.split("text", "\n", -1)
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long")
+    kept = F.filter(F.transform(parts, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains("gone", s["i"]))["x"]
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    columns = [text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return mine.select(*columns, n.alias("n_lines"), F.coalesce(F.array_size("gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 SQL = rf"""

@@ -12,11 +12,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, prepare, table
+from .common import WORD, prepare, rest_key, table, text_key, unpacked, whole
 
 #: Documents in a block, and open documents that meet at the next level of the tree.
 BLOCK, FAN = 4096, 64
@@ -100,18 +100,21 @@ def _with(out: list) -> pa.RecordBatch:
     return t.set_column(t.schema.get_field_index("p"), "p", pa.array([float(p) for _, p in out])).to_batches()[0]
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, rest: Column | None = None) -> DataFrame:
     """(doc_id, t1, t2, source, size, source_size, target, copies, taken) for every input row.
 
     size: words of the text (null or empty: 0). Sources in code point order, null last, weigh 1, 2, 3,
     repeating, and share all words; a target stops at 3 times its source's words and the rest is shared
     again by weight. copies is 0 to 3 and taken is copies * size. Random numbers come from hashes of id and
-    text, so reruns agree; rows repeated in full are interchangeable. A source without words has target 0;
+    text (and of rest, a hash of other columns, if given), so reruns agree; rows repeated in full are
+    interchangeable. t1 and t2 stand for text and rest. Texts may be of any length; other columns, of any name, are
+    not looked at. A source without words has target 0;
     an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     t = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(7919), t).alias("t2"), F.col(source_col).cast("string").alias("source"), F.regexp_count(t, F.lit(WORD)).cast("long").alias("size"))
+    t1, t2 = text_key(t, *([] if rest is None else [rest]))
+    rows = docs.select(F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), F.col(source_col).cast("string").alias("source"), F.regexp_count(t, F.lit(WORD)).cast("long").alias("size"))
     rows = table(rows, "sizes")
     src = table(targets(rows.select("source", "size")), "targets")
     key = src.select(F.col("source").alias("s2"), "source_size", "target", (F.floor(F.col("n") / BLOCK) + 1).alias("blocks"))
@@ -140,11 +143,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of docs as often as the mix takes them."""
-    got = mix(docs, id_col, text_col, source_col).groupBy("doc_id", "t1", "t2", "source").agg(F.sum("copies").alias("__n"), F.count("*").alias("__rows"))
-    got = got.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__a"), F.col("t2").alias("__b"), F.col("source").alias("__s"), "__n", "__rows").filter("__n > 0")
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    mine = docs.withColumns({"__t1": F.xxhash64(t), "__t2": F.xxhash64(F.lit(7919), t), "__id1": F.col(id_col), "__s1": F.col(source_col).cast("string")})
-    mine = mine.dropDuplicates(["__t1", "__t2", "__id1", "__s1"])
-    mine = mine.join(got, F.expr("__t1 = __a and __t2 = __b and __id1 <=> __id and __s1 <=> __s"))
-    return mine.withColumn("__copy", F.explode(F.expr("sequence(1L, __n)"))).select(*docs.columns)
+    """The rows of docs as often as the mix takes them, with all their columns, whatever their names. Rows that differ
+    in any column are mixed each for itself; of rows repeated in full the copies add up."""
+    rest = rest_key(docs, id_col, text_col, source_col)
+    got = mix(docs, id_col, text_col, source_col, rest=rest).groupBy("doc_id", "t1", "t2", "source").agg(F.sum("copies").alias("n"))
+    got = got.filter("n > 0").withColumnsRenamed({c: f"g_{c}" for c in ("doc_id", "t1", "t2", "source")})
+    t1, t2 = text_key(F.coalesce(F.col(text_col), F.lit("")), rest)
+    mine = docs.select(whole(docs), F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), F.col(source_col).cast("string").alias("source"))
+    mine = mine.dropDuplicates(["t1", "t2", "doc_id", "source"])
+    mine = mine.join(got, F.expr("t1 = g_t1 and t2 = g_t2 and doc_id <=> g_doc_id and source <=> g_source"))
+    return mine.select("row", F.explode(F.expr("sequence(1L, n)"))).select(*unpacked(docs.columns))

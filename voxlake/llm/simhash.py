@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, prepare, table
+from .common import components, prepare, rest_key, table, text_key, unpacked, whole
 
 BITS, SEED, RADIUS = 64, 42, 2
 #: Shingle hashes that are summed at once, so a very long text needs no memory of its own size.
@@ -47,18 +47,20 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, t1, t2, fp): one row per input row; t1, t2 stand for the whole text, fp is signed."""
+    """(doc_id, t1, t2, t3, fp): one row per input row; t1, t2 stand for the whole text, t3 for the other columns;
+    fp is signed. Texts may be of any length: a batch's hashes are summed STEP at a time."""
     prepare(docs.sparkSession)
     t = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(7919), t).alias("t2"), t.alias("text"))
+    t1, t2 = text_key(t)
+    rows = docs.select(F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), rest_key(docs, id_col, text_col).alias("t3"), t.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t) for t in b.column(3).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(fp)], ["doc_id", "t1", "t2", "fp"])
+            fp = np.array([fingerprint(t.as_py()) for t in b.column(4)], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(fp)], ["doc_id", "t1", "t2", "t3", "fp"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, fp long")
+    return rows.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, t3 long, fp long")
 
 
 def bit_counts(fps: DataFrame) -> np.ndarray:
@@ -219,7 +221,7 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(doc_id, t1, t2, fp, root, component_id) for every input row.
+    """(doc_id, t1, t2, t3, fp, root, component_id) for every input row.
 
     Rows whose fingerprints differ in at most radius bits are linked; component_id is the smallest doc_id that
     links reach (null doc_ids do not count; null only if the whole component has none). Null and empty texts
@@ -231,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = components(links(own.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
     own = own.join(comp, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     best = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(own.join(best, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "t1", "t2", "fp", "root", "component_id")
+    return rows.join(own.join(best, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "t1", "t2", "t3", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,10 +242,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def first_of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs that come first in their group; found has (doc_id, t1, t2, root) of every row."""
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")
-    kept = found.groupBy("root").agg(F.min(first).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.t1").alias("__t1"), F.col("k.t2").alias("__t2"))
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    mine = docs.withColumns({"__t1": F.xxhash64(t), "__t2": F.xxhash64(F.lit(7919), t), "__id": F.col(id_col)})
-    mine = mine.join(kept.withColumnsRenamed({c: f"{c}k" for c in kept.columns}), F.expr("__t1 = __t1k and __t2 = __t2k and __id <=> __idk"), "left_semi")
-    return mine.dropDuplicates(["__t1", "__t2", "__id"]).select(*docs.columns)
+    """The rows of docs that come first in their group; found has (doc_id, t1, t2, t3, root) of every row. Rows of one
+    id are ordered by hashes of text and other columns; of rows repeated in full one stays. All columns of docs,
+    whatever their names, come back as they are."""
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2", "t3")
+    kept = found.groupBy("root").agg(F.min(first).alias("k")).select(*[F.col(f"k.{c}").alias(f"k_{c}") for c in ("doc_id", "t1", "t2", "t3")])
+    t1, t2 = text_key(F.coalesce(F.col(text_col), F.lit("")))
+    mine = docs.select(whole(docs), F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), rest_key(docs, id_col, text_col).alias("t3"))
+    mine = mine.join(kept, F.expr("t1 = k_t1 and t2 = k_t2 and t3 = k_t3 and doc_id <=> k_doc_id"), "left_semi")
+    return mine.dropDuplicates(["t1", "t2", "t3", "doc_id"]).select(*unpacked(docs.columns))

@@ -16,16 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, prepare, table
+from .common import components, drop, prepare, table
 
 #: Classes that the split points of one leaf are fitted on, about.
-SAMPLE = 16_384
+SAMPLE = 8_192
 #: Trees, and the size that leaves are split to. Copies of a vector grow with the spill at every level, so many
 #: trees with little spill cost less in deep forests than few trees with much.
-TREES, LEAF = 6, 512
+TREES, LEAF = 6, 1024
 #: Half the width of the spill, in standard deviations of a just similar pair's difference along a random direction.
 SPILL = 0.4
 SIMILAR = 0.95
@@ -34,6 +35,8 @@ BLOCK = 2048
 SEED = 5
 #: Levels of a round, and rounds that a leaf's number has room for.
 LEVELS, ROUNDS = 8, 7
+#: Leaves whose split points are broadcast in a round (2 kB each); where a round splits more, rows meet them by a join.
+MODELS = 4096
 #: Quantiles that a node may be split at, in order of choice, and the share of a node that a side may hold.
 CUTS, SIDE = (0.5, 0.4, 0.6, 0.3, 0.7, 0.2, 0.8), 0.8
 #: Share of a node that may lie within the spill of its split. More lies there where the vectors are not spread far
@@ -76,10 +79,12 @@ def descend(x: np.ndarray, points: np.ndarray, spill: float) -> tuple[np.ndarray
     return at, node - len(points)
 
 
-def grow_below(at: DataFrame, own: DataFrame, turn: int, half: float, leaf: int, sample: int) -> DataFrame | None:
-    """(cid, dim, leaf) after splitting all leaves of at that are too large; None if there is nothing to split. half is
-    half the spill's width times the square root of the dimension."""
-    large = table(at.groupBy("dim", "leaf").agg(F.count("*").alias("size")).filter(F.col("size") > max(4 * leaf, 1)), "large-leaves")
+def grow_below(at: DataFrame, turn: int, half: float, leaf: int, sample: int) -> DataFrame | None:
+    """at (cid, v, leaves and what else it has) after splitting all leaves that are too large; None if there is nothing to split. half is
+    half the spill's width times the square root of the dimension. A round reads and writes at once, side by side:
+    vectors are shuffled only for the samples."""
+    one = at.select("cid", "v", F.size("v").alias("dim"), F.explode("leaves").alias("leaf"))
+    large = table(one.groupBy("dim", "leaf").agg(F.count("*").alias("size")).filter(F.col("size") > max(4 * leaf, 1)), "large-leaves")
 
     def fit(t: pa.Table) -> pa.Table:
         number, size = t.column("leaf")[0].as_py(), t.column("size")[0].as_py()
@@ -89,40 +94,60 @@ def grow_below(at: DataFrame, own: DataFrame, turn: int, half: float, leaf: int,
         found = [] if np.isnan(points).all() else [points]
         return pa.table({"dim": pa.array([unit.shape[1]][: len(found)], pa.int32()), "leaf": pa.array([number][: len(found)], pa.int64()), "points": pa.array(found, pa.list_(pa.float64()))})
 
-    # which rows a sample holds is decided by hash before their vectors are looked up
-    some = at.join(large, ["dim", "leaf"]).filter(F.pmod(F.xxhash64("cid", "leaf"), F.col("size")) < sample)
-    model = table(some.join(own, "cid").select("dim", "leaf", "size", "v").groupBy("dim", "leaf").applyInArrow(fit, "dim int, leaf long, points array<double>"), "split-points")
-    if model.isEmpty():
+    some = one.join(large, ["dim", "leaf"]).filter(F.pmod(F.xxhash64("cid", "leaf"), F.col("size")) < sample)
+    model = table(some.select("dim", "leaf", "size", "v").groupBy("dim", "leaf").applyInArrow(fit, "dim int, leaf long, points array<double>"), "split-points")
+    n = model.count()
+    if not n:
         return None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shared = at.sparkSession.sparkContext.broadcast({(r["dim"], r["leaf"]): np.array(r["points"]) for r in model.collect()} if n <= MODELS else {})
+
+    def split(vectors: pa.ListArray, row: np.ndarray, leaves: np.ndarray, points: dict[tuple[int, int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of the next round for pairs of a row of vectors and a leaf."""
+        rows, out = [], []
+        dim = pc.list_value_length(vectors).to_numpy()[row]
+        for d, k in np.unique(np.stack([dim, leaves], axis=1), axis=0).tolist():
+            mine = row[(dim == d) & (leaves == k)]
+            if (d, k) in points:
+                unit = _matrix(vectors.take(pa.array(mine)))
+                at, child = descend(unit @ directions(k, turn, d), points[d, k], half / np.sqrt(d))
+            else:
+                at, child = np.arange(len(mine)), 0
+            rows.append(mine[at])
+            out.append((k << LEVELS) + child + np.zeros(len(at), np.int64))
+        return (np.concatenate(rows), np.concatenate(out)) if rows else (np.zeros(0, np.int64),) * 2
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v, leaves = b.column("v"), b.column("leaves")
+            row = np.repeat(np.arange(len(b)), pc.list_value_length(leaves).to_numpy())
+            row, out = split(v, row, leaves.flatten().to_numpy(), shared.value)
+            order = np.argsort(row, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(b)))]).astype(np.int32)
+            yield b.set_column(b.schema.get_field_index("leaves"), "leaves", pa.ListArray.from_arrays(pa.array(ends), pa.array(out[order])))
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            dim, number, points = b.column("dim").to_numpy(), b.column("leaf").to_numpy(), b.column("points")
-            rows, leaves = [], []
-            for d, k in np.unique(np.stack([dim, number], axis=1), axis=0).tolist():
-                mine = np.flatnonzero((dim == d) & (number == k))
-                unit = _matrix(b.column("v").take(pa.array(mine)))
-                split = points[int(mine[0])].values.to_numpy()
-                row, child = descend(unit @ directions(k, turn, unit.shape[1]), split, half / np.sqrt(unit.shape[1]))
-                rows.append(mine[row])
-                leaves.append((k << LEVELS) + child)
-            if rows:
-                taken = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([b.column("cid").take(taken), b.column("dim").take(taken), pa.array(np.concatenate(leaves))], ["cid", "dim", "leaf"])
-
-    below = at.join(model, ["dim", "leaf"]).join(own, "cid").select("cid", "dim", "leaf", "points", "v").mapInArrow(run, "cid long, dim int, leaf long")
-    rest = at.join(model, ["dim", "leaf"], "left_anti").select("cid", "dim", F.shiftleft("leaf", LEVELS).alias("leaf"))
-    return table(below.union(rest), "leaves")
+            points = {(d, k): p.values.to_numpy() for d, k, p in zip(b.column("dim").to_pylist(), b.column("leaf").to_pylist(), b.column("points"), strict=True) if p.is_valid}
+            row, out = split(b.column("v"), np.arange(len(b)), b.column("leaf").to_numpy(), points)
+            yield pa.RecordBatch.from_arrays([b.column("cid").take(pa.array(row)), pa.array(out)], ["cid", "leaf"])
+
+    if n <= MODELS:
+        below = at.mapInArrow(lists, at.schema)
+    else:
+        new = one.join(model, ["dim", "leaf"], "left").mapInArrow(single, "cid long, leaf long")
+        below = at.drop("leaves").join(new.groupBy("cid").agg(F.collect_list("leaf").alias("leaves")), "cid")
+    return table(below, "leaves")
 
 
 def grow(own: DataFrame, similar: float = SIMILAR, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, sample: int = SAMPLE) -> DataFrame:
-    """(cid, dim, leaf): all leaves of all trees that each row of own (cid, v) reaches. Vectors of each length have
-    trees of their own, whose leaves are numbered alike."""
-    at = table(own.select("cid", F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("leaf")), "leaves")
+    """own (cid, v and what else it has) with `leaves`: all leaves of all trees that each row reaches. Vectors of each length have trees of
+    their own, whose leaves are numbered alike."""
+    at = table(own.withColumn("leaves", F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))), "leaves")
     for turn in range(ROUNDS):
-        below = grow_below(at, own, turn, spill * np.sqrt(2 - 2 * similar), leaf, sample)
+        below = grow_below(at, turn, spill * np.sqrt(2 - 2 * similar), leaf, sample)
         if below is None:
             break
+        drop(at)
         at = below
     return at
 
@@ -187,11 +212,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     ids = table(rows.select("vec_id", "h1", "h2"), "vectors")
     own = rows.filter("good").groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.any_value("v").alias("v"))
     own = table(own.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    leaves = grow(own.select("cid", "v"), similar, **forest).groupBy("cid").agg(F.collect_list("leaf").alias("leaves"))
-    met = table(own.select("cid", "n", "v").join(leaves, "cid"), "leaves")
-    sizes = met.select(F.size("v").alias("dim"), F.explode("leaves").alias("leaf")).groupBy("dim", "leaf").count()
-    sizes = sizes.select("dim", "leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks"))
-    met = met.select("cid", "n", "v", "leaves", F.size("v").alias("dim"), F.explode("leaves").alias("leaf")).join(sizes, ["dim", "leaf"])
+    leaves = grow(own.select("cid", "n", "v"), similar, **forest)
+    met = leaves.select("cid", "n", "v", "leaves", F.size("v").alias("dim"), F.explode("leaves").alias("leaf"))
+    # only the leaves of several blocks are looked up: few, so vectors need not be shuffled for it
+    sizes = met.groupBy("dim", "leaf").count().filter(F.col("count") > BLOCK)
+    sizes = table(sizes.select("dim", "leaf", F.expr(f"cast(ceil(count / {BLOCK}) as int)").alias("blocks")), "block-counts")
+    met = met.join(sizes, ["dim", "leaf"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     met = met.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     met = met.select("dim", "leaf", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cid", "n", "v", F.expr("filter(leaves, x -> x < leaf)").alias("earlier"))
     met = met.repartition("dim", "leaf", "p", "q").sortWithinPartitions("dim", "leaf", "p", "q")
