@@ -164,9 +164,46 @@ def test_spans(spark, docs, none):
 
 def test_bootstrapping(spark):
     seeds = [f"contact: user{i}@mail.example.com please, and member {i}.7 of 9" for i in range(20)]
-    more = ["contact: XK-44-7781 please", "member 12345678 of the club", "see contact: XK-44-7781."]
+    more = ["Contact: XK-44-7781 please", "member 12345678 of the club", "see contact: XK-44-7781."]
     df = spark.createDataFrame(list(enumerate(seeds + more)), "doc_id long, text string")
     got = {r.doc_id: r.spans for r in pii.digest(pii.find(df)).collect()}
     assert got[20] == "id:9:19" and got[22] == "id:13:23"
     assert got[21] == ""  # `member` is not followed by personal data
-    assert pii.redact(df).filter("doc_id = 20").first().text == "contact: [id] please"
+    assert pii.redact(df).filter("doc_id = 20").first().text == "Contact: [id] please"
+
+
+def test_words_behind_and_shapes(spark, monkeypatch):
+    """Patterns of the word behind an instance; keys in the shape of a digest are found through their context only."""
+    key = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    texts = [f"10.1.2.{i} (gateway) is up" for i in range(9)] + ["ask node-17-b (gateway) or node-17-c", f"build {key(1)} done", f"build {key(2)}"]
+    texts += [f'secret = "{key(i)}", then' for i in range(10, 15)] + ["SECRET = 'hunter2-99'!", "a build of 20240101 and build 4, the build", f"again {key(12)}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {9: "id:4:13", 17: "id:10:20", 19: "id:6:46"} | {i: "id:10:50" for i in range(12, 17)}
+    for bound in (pii.CONTEXTS, 0):
+        monkeypatch.setattr(pii, "CONTEXTS", bound)
+        got = {r.doc_id: r.spans for r in pii.digest(pii.find(df)).collect()}
+        assert {i: s for i, s in got.items() if "id:" in s} == want
+
+
+def test_redaction_goes_by_row(spark, clash):
+    """Rows of one id, of none, and of clashing names are cut each by its own spans."""
+    df = spark.createDataFrame([(1, "a x@y.zz b"), (1, "a long 10.0.0.1 b"), (None, "mail x@y.zz"), (None, None), (2, "")], "doc_id long, text string")
+    got = sorted((tuple(r) for r in pii.redact(df).collect()), key=repr)
+    assert got == sorted([(1, "a [email] b"), (1, "a long [ip] b"), (None, "mail [email]"), (None, None), (2, "")], key=repr)
+    out = pii.redact(clash)
+    assert out.columns == clash.columns and out.count() == clash.count()
+    assert out.filter("doc_id = 1").first().text.endswith("mail [email] or [ip] now")
+
+
+def test_identifiers_in_the_documents(spark):
+    """The method finds the access keys of the given table, and hardly anything else."""
+    out = pii.digest(pii.find(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).filter("n_id > 0")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = right = 0
+    for r in out.join(docs, "doc_id").collect():
+        for kind, a, z in (x.split(":") for x in r.spans.split(",")):
+            if kind == "id":
+                found += 1
+                right += re.fullmatch("[0-9a-fA-F]{40}", r.text[int(a) : int(z)]) is not None
+    keys = sum(len(re.findall(r"(?i)\btoken = \"[0-9a-f]{40}", r.text or "")) for r in docs.collect())
+    assert found >= 10 and right >= 0.95 * found and right == keys

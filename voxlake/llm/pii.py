@@ -1,10 +1,11 @@
 r"""Personal data: fixed patterns, and identifiers that bootstrapping finds in the same contexts.
 
-The fixed patterns give seed spans. The word before a seed is a lexical pattern; identifier-like tokens
-that follow the same words are candidate instances. Patterns and instances score each other in rounds: a
-pattern's confidence is the share of all occurrences of its word, in the whole corpus, that a trusted
-instance follows, and an instance's is the chance that one of its trusted patterns is right. Instances of
-high confidence that no fixed pattern matches become spans of kind `id`. DataFrame functions only.
+The fixed patterns give seed spans; tokens in the shape of a digest or access key (SHAPE) are seeds too, but no
+spans by themselves. The words before and after a seed are lexical patterns; identifier-like tokens beside the
+same words are candidate instances. Patterns and instances score each other in rounds: a pattern's confidence
+is the share of all occurrences of its word, in the whole corpus, that a trusted instance stands beside, and an
+instance's is the chance that one of its trusted patterns is right. Instances that trusted patterns find and no
+fixed pattern matches become spans of kind `id`, wherever they occur. DataFrame functions only.
 
 Spans come from regular expressions anchored with \G, so each match goes on where the last one ended and a
 text is passed over once. Repeated groups are possessive: they need no stack, however long a run is.
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import prepare, table
+from .common import prepare, table, whole
 
 #: Kind: (what a text must hold to be searched at all, the expression). A match starts where no earlier
 #: start could match, so runs are looked at once.
@@ -32,12 +33,17 @@ BETWEEN = r"\s\"'=:<>()\[\],;|"
 #: A token with a digit that could be an identifier, of at least six characters.
 TOKEN = rf"(?<![^{BETWEEN}])(?=[^{BETWEEN}]*[0-9])[^{BETWEEN}]{{6,}}+"
 
+#: Seeds that are no spans of themselves: 32, 40 or 64 hexadecimal digits, letters and digits among them.
+SHAPE = r"^(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})$"
+#: Rounds, least confidence that is trusted, and different trusted instances that a pattern needs.
 ROUNDS, TRUST, SEEDS = 3, 0.6, 3
+#: Longest word, in characters, that makes a pattern, and patterns whose words are broadcast (a few MB); more are joined.
+LONGEST, CONTEXTS = 64, 50_000
 
 
 def left_word(gap: Column) -> Column:
-    """Last token of the text before a match; null if there is none."""
-    return F.nullif(F.regexp_extract(gap, rf"(?<![^{BETWEEN}])([^{BETWEEN}]++)[{BETWEEN}]*+$", 1), F.lit(""))
+    """Last token of the text before a match, in lower case; null if there is none."""
+    return F.lower(F.nullif(F.regexp_extract(gap, rf"(?<![^{BETWEEN}])([^{BETWEEN}]++)[{BETWEEN}]*+$", 1), F.lit("")))
 
 
 def _digits(c: Column) -> Column:
@@ -67,33 +73,39 @@ def passes(kind: str, value: Column) -> Column:
 
 
 def spans_of(rows: DataFrame) -> DataFrame:
-    """(row, rank, start, end, value, left) of seeds (rank 0 to 3, in the order of KINDS) and candidates
-    (rank 4) of rows (row, text). The text is read once: the matches of all kinds come from one projection."""
+    """(row, rank, pos, skip, size, value, left, right) of seeds (rank 0 to 3, in the order of KINDS) and candidates
+    (rank 4) of rows (row, text); left and right are the words beside them. The text is read once: the matches of all
+    kinds come from one projection."""
     patterns = [*KINDS.values(), ("[0-9]", TOKEN)]
     kinds = []
     for rank, (hint, pattern) in enumerate(patterns):
-        whole = F.lit(rf"\G([\s\S]*?)({pattern})")
-        pairs = F.arrays_zip(F.regexp_extract_all("text", whole, F.lit(1)).alias("gap"), F.regexp_extract_all("text", whole, F.lit(2)).alias("value"))
+        one = F.lit(rf"\G([\s\S]*?)({pattern})(?:(?=[{BETWEEN}]*+([^{BETWEEN}]{{1,{LONGEST}}}+)))?")
+        found = F.arrays_zip(*[F.regexp_extract_all("text", one, F.lit(k)).alias(n) for k, n in ((1, "gap"), (2, "value"), (3, "right"))])
         ask = F.contains(F.col("text"), F.lit(hint)) if hint == "@" else F.rlike("text", F.lit(hint))
-        cut = F.transform(pairs, lambda x: F.struct(F.char_length(x["gap"]).alias("skip"), F.char_length(x["value"]).alias("size"), x["value"].alias("value"), left_word(x["gap"]).alias("left")))
+        cut = F.transform(found, lambda x: F.struct(F.char_length(x["gap"]).alias("skip"), F.char_length(x["value"]).alias("size"), x["value"].alias("value"), left_word(x["gap"]).alias("left"), F.lower(F.nullif(x["right"], F.lit(""))).alias("right")))
         kinds.append(F.struct(F.lit(rank).alias("rank"), F.when(ask, cut).alias("found")))
     each = rows.select("row", F.explode(F.array(*kinds)).alias("k")).select("row", "k.rank", F.posexplode("k.found").alias("pos", "m"))
-    return each.select("row", "rank", "pos", "m.skip", "m.size", "m.value", "m.left")
+    return each.select("row", "rank", "pos", "m.*")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """(doc_id, spans array<struct<start int, rank int, end int>>) of every input row, ordered by start and
-    kind (rank 0 to 3: KINDS; 4: id). Positions are code points, ends are exclusive.
+    kind (rank 0 to 3: KINDS; 4: id); with keep, also `row`, all columns of docs as a struct. Positions are code
+    points, ends are exclusive.
 
-    Null and empty texts have no spans. Rows repeated in full get the same spans. Candidates that overlap a
-    fixed span are not looked at, and a candidate loses its final . ! and ?. An empty table gives an empty
-    result.
+    Null and empty texts have no spans; texts may be of any length. Rows repeated in full get the same spans. Candidates
+    that overlap a fixed span are not looked at, and a candidate loses its final . ! and ?. Columns of docs may have any
+    name. An empty table gives an empty result.
     """
-    prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    prepare(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.rlike(text, F.lit("[0-9@]")).alias("some"))
-    some = table(rows.filter("some").withColumn("row", F.monotonically_increasing_id()), "texts")
-    found = table(spans_of(some.select("row", "text")), "matches")
+    own = ["doc_id", "row"] if keep else ["doc_id"]
+    rows = docs.select(*([whole(docs)] if keep else []), F.col(id_col).alias("doc_id"), text.alias("text"), F.rlike(text, F.lit("[0-9@]")).alias("some"))
+    some = table(rows.filter("some").withColumn("at", F.monotonically_increasing_id()), "texts")
+    # dealt out by row: matching costs far more than the size of these files says
+    spread = some.select(F.col("at").alias("row"), "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row")
+    found = table(spans_of(spread), "matches")
     before = Window.partitionBy("row", "rank").orderBy("pos")
     found = found.withColumn("end", F.sum(F.col("skip") + F.col("size")).over(before)).withColumn("start", F.col("end") - F.col("size"))
     check = F.when(F.col("rank") == 4, F.lit(True))
@@ -111,34 +123,48 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     after = F.min(fixed_start).over(order.rowsBetween(1, Window.unboundedFollowing))
     same = F.min(fixed_start).over(Window.partitionBy("row", "start"))
     clash = (F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False)) | same.isNotNull()) & (F.col("rank") == 4)
-    found = table(found.withColumn("clash", clash).filter("not clash").select("row", "rank", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "value", "left"), "spans")
+    place = [F.col("row"), F.col("rank"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")]
+    found = table(found.withColumn("clash", clash).filter("not clash").select(*place, "value", "left", "right"), "spans")
     good = identifiers(found, rows.select("text"))
     extra = found.filter("rank = 4").join(good, "value", "left_semi")
     spans = found.filter("rank < 4").select("row", "start", "rank", "end").union(extra.select("row", "start", "rank", "end"))
-    spans = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end"))).alias("spans"))
+    spans = spans.groupBy(F.col("row").alias("at")).agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end"))).alias("spans"))
     none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    with_spans = some.select("doc_id", "row").join(spans, "row", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
-    return with_spans.union(rows.filter("not some").select("doc_id", none.alias("spans")))
+    with_spans = some.select("at", *own).join(spans, "at", "left").select(*own, F.coalesce("spans", none).alias("spans"))
+    return with_spans.union(rows.filter("not some").select(*own, none.alias("spans")))
+
+
+def occurrences(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """(word, all): how often each of the given words occurs in the whole corpus."""
+    token = texts.select(F.explode(F.split("text", f"[{BETWEEN}]+")).alias("word")).filter(F.char_length("word") <= LONGEST).select(F.lower("word").alias("word"))
+    if words.count() <= CONTEXTS:
+        token = token.join(F.broadcast(words), "word", "left_semi")
+    # counted before any join by word: frequent words then meet in a row a task, however many texts hold them
+    counts = token.groupBy("word").agg(F.count("*").alias("all"))
+    return table(counts.join(words, "word"), "context-counts")
 
 
 def identifiers(found: DataFrame, texts: DataFrame) -> DataFrame:
     """(value): candidate values that the rounds of scoring trust. found: of spans_of, texts: the whole corpus."""
-    graph = found.filter("left is not null").groupBy("left", "value").agg(F.count("*").alias("n"), F.max(F.col("rank") < 4).alias("seed"))
+    sides = F.array(*[F.struct(F.lit(k).alias("side"), F.col(k).alias("word")) for k in ("left", "right")])
+    graph = found.select("rank", "value", F.explode(sides).alias("p")).filter(F.col("p.word").isNotNull() & (F.char_length("p.word") <= LONGEST))
+    base = F.col("rank") < len(KINDS)
+    graph = graph.groupBy("p", "value").agg(F.count("*").alias("n"), F.max(base).alias("base"), F.max(base | F.rlike("value", F.lit(SHAPE))).alias("seed"))
     graph = table(graph, "graph")
-    words = table(graph.select("left").distinct(), "contexts")
-    token = texts.select(F.explode(F.split("text", f"[{BETWEEN}]+")).alias("left"))
-    # counted before the join: frequent words then meet in a row a task, however many texts hold them
-    often = table(token.groupBy("left").agg(F.count("*").alias("all")).join(words, "left"), "context-counts")
-    trusted = graph.groupBy("value").agg(F.max("seed").alias("seed")).select("value", "seed", F.col("seed").cast("double").alias("c"))
+    # a pattern with fewer instances than it needs trusted ones can be left out at once
+    enough = graph.groupBy("p").agg(F.count("*").alias("instances")).filter(F.col("instances") >= SEEDS).select("p")
+    graph = table(graph.join(enough, "p", "left_semi"), "patterns")
+    often = occurrences(texts, table(graph.select("p.word").distinct(), "contexts"))
+    trusted = graph.groupBy("value").agg(F.max("base").alias("base"), F.max("seed").alias("seed")).withColumns({"s": F.lit(0.0), "c": F.col("seed").cast("double")})
     for _ in range(ROUNDS):
-        seen = graph.select("left", "value", "n").join(trusted, "value")
-        pattern = seen.groupBy("left").agg(F.sum(F.col("n") * F.col("c")).alias("hits"), F.sum((F.col("c") >= TRUST).cast("int")).alias("different"))
-        pattern = pattern.filter(F.col("different") >= SEEDS).join(often, "left")
-        pattern = pattern.select("left", F.least(F.col("hits") / F.col("all"), F.lit(0.999)).alias("p")).filter(F.col("p") >= TRUST)
-        score = graph.select("left", "value").join(pattern, "left").groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.col("p"))))).alias("s"))
-        trusted = trusted.select("value", "seed").join(score, "value", "left")
-        trusted = table(trusted.select("value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("s", F.lit(0.0))).alias("c")), "trusted")
-    return trusted.filter((F.col("c") >= TRUST) & ~F.col("seed")).select("value")
+        seen = graph.select("p", "value", "n").join(trusted.select("value", "c"), "value")
+        pattern = seen.groupBy("p").agg(F.sum(F.col("n") * F.col("c")).alias("hits"), F.sum((F.col("c") >= TRUST).cast("int")).alias("different"))
+        pattern = pattern.filter(F.col("different") >= SEEDS).withColumn("word", F.col("p.word")).join(often, "word")
+        pattern = pattern.select("p", F.least(F.col("hits") / F.col("all"), F.lit(0.999)).alias("c")).filter(F.col("c") >= TRUST)
+        score = graph.select("p", "value").join(pattern, "p").groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.col("c"))))).alias("s"))
+        trusted = trusted.select("value", "base", "seed").join(score, "value", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
+        trusted = table(trusted.withColumn("c", F.when(F.col("seed"), 1.0).otherwise(F.col("s"))), "trusted")
+    return trusted.filter((F.col("s") >= TRUST) & ~F.col("base")).select("value")
 
 
 NAMES = [*KINDS, "id"]
@@ -151,17 +177,17 @@ def joined(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) from find()."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id, n_spans) from find()."""
     ranks = F.transform("spans", lambda x: x["rank"])
-    counts = [(F.size(ranks) - F.size(F.array_remove(ranks, r))).cast("long").alias(f"n_{k}") for r, k in enumerate(KINDS)]
+    counts = [(F.size(ranks) - F.size(F.array_remove(ranks, r))).cast("long").alias(f"n_{k}") for r, k in enumerate(NAMES)]
     base = joined(F.filter("spans", lambda x: x["rank"] < len(KINDS)))
-    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts[:-1], F.sha2(base, 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), counts[-1], F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text) with every span replaced by its kind in brackets; of overlapping spans the first counts."""
-    found = find(docs, id_col, text_col)
-    keys = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).dropDuplicates(["doc_id"])
+    """docs with every span of its text replaced by its kind in brackets; of overlapping spans the first counts. Each
+    row is cut by the spans of its own text, whatever its id; null texts stay null."""
+    found = find(docs, id_col, text_col, keep=True).withColumn("text", F.col("row").getField(text_col))
     name = lambda x: F.element_at(F.array(*map(F.lit, NAMES)), x["rank"] + 1)
 
     def add(a: Column, x: Column) -> Column:
@@ -170,4 +196,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     cut = F.aggregate("spans", begin, add, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.char_length("text"))))
-    return keys.join(found.dropDuplicates(["doc_id"]), "doc_id", "left").select("doc_id", cut.alias("text"))
+    return found.select(*[cut.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
