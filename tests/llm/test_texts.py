@@ -2,13 +2,15 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import LINE
-from voxlake.llm import line_dedup, pii, quality_model, rules
+from voxlake.llm import line_dedup, pii, quality_model, queries, rules
 
 
 def plain_lines(rows, sites=3, words=3):
@@ -50,6 +52,20 @@ def test_lines_by_estimate(spark):
     assert sum(1 for t in out.collect() if t.text.startswith("a line of 7")) == 14, n
 
 
+def test_a_frequent_line_of_few_sites(spark):
+    """A line that 40,000 documents of 3 sites have: before anything is dealt out by line, a task adds up its sites."""
+    df = spark.range(40_000, numPartitions=4).selectExpr("id as doc_id", "concat('the same line here\nown line number ', id) as text", "concat('s', id % 3) as source")
+    out = line_dedup.dedup_lines(df)
+    assert out.agg(F.sum("n_removed")).first()[0] == 39_999
+    lines = line_dedup._lines(df, "doc_id", "text", "source", 3).filter("pos = 0")
+    plan = line_dedup.spreading(lines)._jdf.queryExecution().executedPlan().toString()
+    counted = lines.select("l1", "l2", "site").distinct()
+    written = counted.withColumn("part", F.spark_partition_id()).groupBy("part").count().agg(F.max("count")).first()[0]
+    assert written <= 3 and "hashpartitioning(l1" in plan
+    for exchange in re.finditer(r"Exchange hashpartitioning\(l1#\d+L?, l2#\d+L?, site[^\n]*\n([^\n]*)", plan):
+        assert "HashAggregate" in exchange[1]  # rows are combined before they are dealt out
+
+
 def test_line_survives_once(docs):
     left = line_dedup.dedup_lines(docs).filter(F.contains("text", F.lit(LINE)))
     assert [r.doc_id for r in left.collect()] == [1]
@@ -86,6 +102,45 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     assert (a[0] == b[0]).all() and a[1] == b[1]
 
 
+def test_repeated_ids_and_long_texts(spark):
+    """Of repeated ids one row is learned from, whichever order they come in; the bound on rows drops whole documents."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(["haus", "baum", "weg"] if i % 2 else ["haus###", "weg%%"], 20))) for i in range(80)]
+    rows += [(i % 8, "other text") for i in range(40)] + [(200, "wörd and " * 100_000), (201, "x" * 300_000), (202, None)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(i, 1) for i in (0, 2, 200, 201, 202)], "doc_id long, quality int")
+    fits = [quality_model.fit(spark.createDataFrame(r, "doc_id long, text string").repartition(k), lab) for r, k in ((rows, 3), (rows[::-1], 5))]
+    assert (fits[0][0] == fits[1][0]).all() and fits[0][1] == fits[1][1]
+    few = quality_model.fit(spark.createDataFrame(rows, "doc_id long, text string"), lab, entries=2000)
+    assert len(few[0]) == quality_model.BUCKETS and not (few[0] == fits[0][0]).all()
+
+
+def test_scores_are_those_of_the_rows(spark):
+    """A text's score is that of the mean of its rows, one by one, whatever is kept from other texts."""
+    rng = np.random.default_rng(5)
+    model = (rng.standard_normal(quality_model.BUCKETS).astype(np.float32), 0.3)
+    texts = ["a b", "", " \n", "das das das Haus", "é 😀 das Haus " * 50, "z" * 500, None, "x\x0by\x0cz", "a b"] * 3
+    own = quality_model.Scorer(model)
+    for _ in range(2):
+        got = own.logits(pa.array(texts, pa.string()))
+        for t, x in zip(texts, got, strict=True):
+            rows, times = quality_model.document_rows([w.decode() for w in (t or "").encode().split()])
+            assert x == pytest.approx(0.3 + (model[0][rows] @ times / max(1, times.sum()) if len(rows) else 0), abs=1e-5)
+
+
+def test_the_registered_classifier(spark):
+    """Held-out labelled documents of the given table: the area under the curve of the query's own scores."""
+    d = "/root/testdata/sf0.01"
+    out = queries.quality_classifier(spark, d)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality")
+    got = out.join(labels, "doc_id").filter("held_out").toPandas()
+    good, bad = got.score[got.quality == 1].to_numpy(), got.score[got.quality == 0].to_numpy()
+    assert len(bad) > 3 and (good[:, None] > bad[None, :]).mean() + (good[:, None] == bad[None, :]).mean() / 2 >= 0.95
+    assert (got.predicted == (got.score >= 0.3)).all() and out.count() == 1000
+    held = {r.doc_id: r.held_out for r in out.select("doc_id", "held_out").collect()}
+    assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in held.items())
+
+
 def plain_measure(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -123,6 +178,36 @@ def test_rules(spark, docs, none, clash):
     assert rules.learn(x, np.zeros(100, bool)) == []
 
 
+def test_the_registered_rules(spark):
+    """Every verdict of the query, against measures of the texts and the learned list applied to them one by one."""
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    learned = rules.fit(rules.statistics(docs), labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = queries.quality_rules(spark, d).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        n, chars, symbols, dup, again = plain_measure(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dup, again)
+        failed = n < 50 or 100 * again > 50 * n
+        names = dict(zip([*rules.BASE, *rules.MORE], rules.measure(texts[r.doc_id]), strict=True))
+        share = {k: np.array([eval(e, {"greatest": max}, names)]) for k, e in rules.SHARES.items()}
+        assert r.base_failed == failed and r.kept == (not failed and not any(rules.covers(x, share)[0] for x in learned))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    judged = [(r.kept, quality[r.doc_id]) for r in got if not r.base_failed and quality.get(r.doc_id) is not None]
+    assert np.mean([k == (q == 1) for k, q in judged]) >= 0.95
+
+
+def test_rules_of_repeated_ids(spark):
+    """Repeated ids are one row of the sample, the same whatever order they come in."""
+    rng = np.random.default_rng(6)
+    rows = [(i % 60, " ".join(f"w{k}{'#' * (i % 2)}" for k in rng.integers(0, 900, 60))) for i in range(600)]
+    lab = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)] * 2, "doc_id long, quality int")
+    found = [rules.fit(rules.statistics(spark.createDataFrame(r, "doc_id long, text string").repartition(k)), lab) for r, k in ((rows, 2), (rows[::-1], 5))]
+    assert found[0] == found[1] != []
+    assert rules.fit(rules.statistics(spark.createDataFrame([], "doc_id long, text string")), lab) == []
+
+
 def test_verdict_is_ordered(spark):
     st = rules.statistics(spark.createDataFrame([(1, "a # b " * 30), (2, "abcd efgh " * 30)], "doc_id long, text string"))
     out = rules.judge(st, [[("symbol_share", ">", 0.1)]]).orderBy("doc_id").collect()

@@ -79,7 +79,11 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, BASE, MORE), one row per input row; texts themselves go no further than this map."""
+    """(doc_id, BASE, MORE), one row per input row; texts themselves go no further than this map.
+
+    Null and empty texts have zeros throughout; repeated rows come as often as they are there. A text may be of any
+    length: one text's words are held at a time. Other columns, of any name, are not looked at; an empty table gives an
+    empty result."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = [*BASE, *MORE]
@@ -180,12 +184,16 @@ def base_failed() -> Column:
 
 def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", sample: int = SAMPLE) -> list[list[Condition]]:
     """Learn the list from at most `sample` labelled documents of each class, chosen by a hash of the id, among
-    those that pass the base rules. Without labels of both classes the list is empty."""
+    those that pass the base rules. Labels that are null or neither 0 nor 1, and null ids, are left out; of repeated
+    ids the least label and the least statistics count, so ties leave nothing to chance. Without labels of both
+    classes, an empty table among them, the list is empty. Other columns, of any name, are not looked at."""
     ids = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
     ids = ids.groupBy("doc_id").agg(F.min("y").alias("y"))
     parts = [ids.filter(F.col("y") == y).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample) for y in (0, 1)]
     rows = stats.filter(~base_failed()).select("doc_id", *[F.expr(e).cast("double").alias(n) for n, e in SHARES.items()])
-    rows = rows.join(parts[0].union(parts[1]), "doc_id").toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    rows = rows.join(parts[0].union(parts[1]), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min(F.struct(*SHARES)).alias("x")).select("doc_id", "y", "x.*")
+    rows = rows.toPandas().sort_values("doc_id")  # 2 * sample rows at most
     if rows["y"].nunique() < 2:
         return []
     return learn({n: rows[n].to_numpy() for n in SHARES}, (rows["y"] == 0).to_numpy())

@@ -53,6 +53,15 @@ def _rest(word: pa.Array, stem: pa.Array) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(word), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(flat))
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(all words of texts, which ASCII white space separates; their number in each text); null texts are empty."""
+    words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    flat, count = words.flatten(), pc.list_value_length(words).to_numpy().astype(np.int64)
+    some = pc.not_equal(flat, "")  # white space at an end splits off an empty word
+    owner = np.repeat(np.arange(len(count)), count)[some.to_numpy(zero_copy_only=False)]
+    return flat.filter(some), np.bincount(owner, minlength=len(count))
+
+
 class Encoder:
     """texts -> their ids (uint16 if the vocabulary fits, else uint32), without special tokens.
 
@@ -115,12 +124,8 @@ class Encoder:
     def flat(self, texts: Iterable[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, their number in each text)."""
         texts = texts if isinstance(texts, pa.Array | pa.ChunkedArray) else pa.array(texts, pa.string())
-        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
-        if not len(words):
-            return np.zeros(0, self.kind), np.zeros(0, np.int64)
-        per_text = pc.list_value_length(words).to_numpy()
-        coded = words.flatten().dictionary_encode()
+        words, per_text = split_words(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
+        coded = words.dictionary_encode()
         word = coded.dictionary
         stem = pc.utf8_rtrim(word, AFTER)
         stem = pc.if_else(pc.utf8_is_alpha(stem), stem, word)
