@@ -67,17 +67,48 @@ def test_subtitles(spark):
     assert subtitles.vtt(s).first().value == "WEBVTT\n\n00:00.000 --> 00:01.500\na -> b\n"
 
 
-# Abbreviations, symbols and numbers with their expected forms.
+# Abbreviations with their expected forms.
 CASES = [
-    ("Hello Mr. Smith.", "Hello mister Smith.", "en"), ("Dr. Jones is here.", "doctor Jones is here.", "en"), ("Bonjour Mr. Dupond.", "Bonjour monsieur Dupond.", "fr"),
-    ("Mme. Dupond est absente.", "madame Dupond est absente.", "fr"), ("Frau Dr. Müller", "Frau doktor Müller", "de"), ("¡Hola Sr. Ramirez!", "¡Hola señor Ramirez!", "es"), ("édr. x", "édr. x", "en"), ("Mr. X", "Mr. X", "xx"),
+    ("Hello Mr. Smith.", "Hello mister Smith.", "en"), ("Dr. Jones is here.", "doctor Jones is here.", "en"),
+    ("Hola Sr. Garcia.", "Hola señor Garcia.", "es"), ("La Dra. Martinez es muy buena.", "La doctora Martinez es muy buena.", "es"),
+    ("Bonjour Mr. Dupond.", "Bonjour monsieur Dupond.", "fr"), ("Mme. Moreau est absente aujourd'hui.", "madame Moreau est absente aujourd'hui.", "fr"),
+    ("Frau Dr. Müller ist sehr klug.", "Frau doktor Müller ist sehr klug.", "de"),
+    ("Olá Sr. Silva.", "Olá senhor Silva.", "pt"), ("Dra. Costa, você está disponível?", "doutora Costa, você está disponível?", "pt"),
+    ("Buongiorno, Sig. Rossi.", "Buongiorno, signore Rossi.", "it"),
+    ("Dzień dobry, P. Kowalski.", "Dzień dobry, pani Kowalski.", "pl"), ("M. Nowak, czy mogę zadać pytanie?", "pan Nowak, czy mogę zadać pytanie?", "pl"),
+    ("P. Novák", "pan Novák", "cs"), ("Dr. Vojtěch", "doktor Vojtěch", "cs"),
+    ("Dhr. Jansen", "de heer Jansen", "nl"), ("Mevr. de Vries", "mevrouw de Vries", "nl"),
+    ("Здравствуйте Г-н Иванов.", "Здравствуйте господин Иванов.", "ru"), ("Д-р Смирнов здесь, чтобы увидеть вас.", "доктор Смирнов здесь, чтобы увидеть вас.", "ru"),
+    ("Merhaba B. Yılmaz.", "Merhaba bay Yılmaz.", "tr"), ("Dr. Ayşe burada.", "doktor Ayşe burada.", "tr"),
+    ("Dr. Szabó itt van.", "doktor Szabó itt van.", "hu"),
 ]
-SYMBOLS = [("I have 14% battery", "I have 14 percent battery", "en"), ("Me & you", "Me and you", "en"), ("J'ai 14% de batterie", "J'ai 14 pour cent de batterie", "fr"), ("Ich habe 14% Batterie", "Ich habe 14 prozent Batterie", "de"), ("Te veo @ la fiesta", "Te veo arroba la fiesta", "es")]
+# Symbols with their expected forms.
+SYMBOLS = [
+    ("I have 14% battery", "I have 14 percent battery", "en"), ("Te veo @ la fiesta", "Te veo arroba la fiesta", "es"),
+    ("J'ai 14° de fièvre", "J'ai 14 degrés de fièvre", "fr"), ("Die Rechnung beträgt £ 20", "Die Rechnung beträgt pfund 20", "de"),
+    ("O meu email é ana&joao@gmail.com", "O meu email é ana e joao arroba gmail.com", "pt"), ("linguaggio di programmazione C#", "linguaggio di programmazione C cancelletto", "it"),
+    ("Moja temperatura to 36.6°", "Moja temperatura to 36.6 stopnie", "pl"), ("Mám 14% baterie", "Mám 14 procento baterie", "cs"),
+    ("Těším se na tebe @ party", "Těším se na tebe na party", "cs"), ("У меня 14% заряда", "У меня 14 процентов заряда", "ru"),
+    ("Я буду @ дома", "Я буду собака дома", "ru"), ("Ik heb 14% batterij", "Ik heb 14 procent batterij", "nl"),
+    ("Ik zie je @ het feest", "Ik zie je bij het feest", "nl"), ("لدي 14% في البطارية", "لدي 14 في المئة في البطارية", "ar"),
+    ("我的电量为 14%", "我的电量为 14 百分之", "zh"), ("Pilim %14 dolu.", "Pilim yüzde 14 dolu.", "tr"),
+    ("Az akkumulátorom töltöttsége 14%", "Az akkumulátorom töltöttsége 14 százalék", "hu"), ("14% 배터리", "14 퍼센트 배터리", "ko"),
+]
+# Numbers with their expected forms.
 NUMBERS = [
-    ("In 12.5 seconds.", "In twelve point five seconds.", "en"), ("This is a 1st test", "This is a first test", "en"), ("That will be 20.15€ sir.", "That will be twenty euro, fifteen cents sir.", "en"), ("That's 100,000.5.", "That's one hundred thousand point five.", "en"),
-    ("Ceci est un 1er test", "Ceci est un premier test", "fr"), ("Cela vous fera 20,15€ monsieur.", "Cela vous fera vingt euros et quinze centimes monsieur.", "fr"), ("Ce sera 100.000,5.", "Ce sera cent mille virgule cinq.", "fr"),
-    ("Das macht $20 Herr.", "Das macht zwanzig Dollar Herr.", "de"), ("Dies ist ein 1. Test", "Dies ist ein erste Test", "de"), ("Este es un 1er test", "Este es un primero test", "es"), ("Eso le costará $20 señor.", "Eso le costará veinte dólares señor.", "es"), ("Had 50", "Had 50", "ur"),
+    ("In 12.5 seconds.", "In twelve point five seconds.", "en"), ("There were 50 soldiers.", "There were fifty soldiers.", "en"), ("This is a 1st test", "This is a first test", "en"),
+    ("That will be $20 sir.", "That will be twenty dollars sir.", "en"), ("That will be 20€ sir.", "That will be twenty euro sir.", "en"),
+    ("That will be 20.15€ sir.", "That will be twenty euro, fifteen cents sir.", "en"), ("That's 100,000.5.", "That's one hundred thousand point five.", "en"),
+    ("En 12,5 secondes.", "En douze virgule cinq secondes.", "fr"), ("Il y avait 50 soldats.", "Il y avait cinquante soldats.", "fr"), ("Ceci est un 1er test", "Ceci est un premier test", "fr"),
+    ("Cela vous fera $20 monsieur.", "Cela vous fera vingt dollars monsieur.", "fr"), ("Cela vous fera 20€ monsieur.", "Cela vous fera vingt euros monsieur.", "fr"),
+    ("Cela vous fera 20,15€ monsieur.", "Cela vous fera vingt euros et quinze centimes monsieur.", "fr"), ("Ce sera 100.000,5.", "Ce sera cent mille virgule cinq.", "fr"),
+    ("In 12,5 Sekunden.", "In zwölf Komma fünf Sekunden.", "de"), ("Es gab 50 Soldaten.", "Es gab fünfzig Soldaten.", "de"), ("Dies ist ein 1. Test", "Dies ist ein erste Test", "de"),
+    ("Das macht $20 Herr.", "Das macht zwanzig Dollar Herr.", "de"), ("Das macht 20€ Herr.", "Das macht zwanzig Euro Herr.", "de"), ("Das macht 20,15€ Herr.", "Das macht zwanzig Euro und fünfzehn Cent Herr.", "de"),
+    ("En 12,5 segundos.", "En doce punto cinco segundos.", "es"), ("Había 50 soldados.", "Había cincuenta soldados.", "es"), ("Este es un 1er test", "Este es un primero test", "es"),
+    ("Eso le costará $20 señor.", "Eso le costará veinte dólares señor.", "es"), ("Eso le costará 20€ señor.", "Eso le costará veinte euros señor.", "es"), ("Eso le costará 20,15€ señor.", "Eso le costará veinte euros con quince céntimos señor.", "es"),
 ]
+CASES += [("édr. x", "édr. x", "en"), ("Mr. X", "Mr. X", "xx")]
+NUMBERS += [("Had 50", "Had 50", "ur")]
 
 
 @pytest.mark.parametrize("cases, fn", [(CASES, text.expand_abbreviations), (SYMBOLS, text.expand_symbols), (NUMBERS, numbers.expand_numbers)])
@@ -91,7 +122,7 @@ def test_numbers_read_back(n):
     assert numbers.digits(numbers.cardinal(n, "en").replace(",", "")) == str(n)
 
 
-@pytest.mark.parametrize("said, want", [("one oh one", "101"), ("three point five", "3.5"), ("double four", "44"), ("ten percent", "10%"), ("twenty million dollars", "$20000000"), ("nineteen ninety", "1990"), ("and then", "and then")])
+@pytest.mark.parametrize("said, want", [("one oh one", "101"), ("three point five", "3.5"), ("double four", "44"), ("ten percent", "10%"), ("twenty million dollars", "$20000000"), ("nineteen ninety", "1990"), ("and then", "and then"), ("twenty first", "21st"), ("the two hundredth", "the 200th"), ("nineteen sixties", "1960s"), ("minus three", "-3"), ("five pounds", "£5"), ("two euros and ten cents", "€2 and ¢10"), ("twelfth of five", "12th of 5"), ("sixes", "6s"), ("two quadrillion", "2000000000000000"), ("plus 5", "+5"), ("minus one", "-1")])
 def test_digits(said, want):
     assert numbers.digits(said) == want
 
@@ -99,17 +130,58 @@ def test_digits(said, want):
 def test_normal_forms(spark):
     df = spark.createDataFrame([("Um, it's [noise] $1,000 (loud) twenty one won't Mr. X",)], "t string")
     assert df.select(numbers.english_normalize(F.col("t")).alias("x")).first().x == "it is $1000 21 will not mister x"
-    assert df.select(text.basic_normalize(F.lit("A <b> [c] (d) É-f!")).alias("x")).first().x == "a é f"
+    one = lambda c: df.select(c.alias("x")).first().x
+    assert one(text.basic_normalize(F.lit("A <b> [c] (d) É-f!"))) == "a é f "
+    assert one(text.basic_normalize(F.lit("ﬁn ½ É ⅷ"))) == "fin 1 2 é viii"
+    assert one(text.basic_normalize(F.lit("Øré ǽ!"), diacritics=False)) == "øré ae ".replace("øré", "ore")
+    assert one(text.basic_normalize(F.lit("Né a\u0301x"), letters=True)) == "n é á x"
+    assert one(numbers.english_normalize(F.lit("Capt. Smith'd done it, Gov. Jones Esq. — señor’s crème"))) == "captain smith had done it governor jones esquire senor s creme"
+    assert one(numbers.english_normalize(F.lit("The Colour of $20 million"), {"colour": "color"})) == "the color of $20 million"
+    assert one(numbers.english_normalize(F.lit(None).cast("string"))) is None
     assert df.select(text.fold_diacritics(F.lit("straße éà ø")).alias("x")).first().x == "strasse ea o"
 
 
-def test_chunks_keep_to_the_limit(spark):
-    t = "A first sentence here. " * 30 + "word " * 200 + "x" * 300 + ". End!"
-    df = spark.createDataFrame([(t,)], "t string")
-    for fn in (text.pack_sentences, text.fallback_pack):
-        parts = df.select(fn(F.col("t"), F.lit(80)).alias("p")).first().p
-        assert max(map(len, parts)) <= 80 and "".join("".join(parts).split()).replace(".", "") == "".join(t.split()).replace(".", "")
-    assert df.select(text.pack_sentences(F.lit("short"), F.lit(80)).alias("p")).first().p == ["short"]
+def chunks(spark, fn, t, limit):
+    return spark.createDataFrame([(t,)], "t string").select(fn(F.col("t"), F.lit(limit)).alias("p")).first().p
+
+
+def test_chunks(spark):
+    """What joins what: blanks between sentences do not count, and only the open variant goes on behind a full chunk."""
+    t = "One two. Three four. Five six seven. Eight. Nine."
+    assert chunks(spark, text.pack_sentences, t, 21) == ["One two. Three four.", "Five six seven. Eight.", "Nine."]
+    assert chunks(spark, text.pack_closed, t, 21) == ["One two. Three four.", "Five six seven.", "Eight. Nine."]
+    long = "Short. " + "word " * 8 + "end. Tail. Last."
+    assert chunks(spark, text.pack_sentences, long, 24) == ["Short.", "word word word word word", "word word word end. Tail.", "Last."]
+    assert chunks(spark, text.pack_closed, long, 24) == ["Short.", "word word word word word", "word word word end.", "Tail. Last."]
+    assert chunks(spark, text.pack_sentences, " short ", 80) == ["short "] and chunks(spark, text.pack_closed, " short ", 80) == ["short"]
+    assert chunks(spark, text.fallback_pack, "a b. c d. e f g h. i.", 9) == ["a b. c d", "e f g h", "i."]
+    assert chunks(spark, text.fallback_pack, "", 9) == [""] and chunks(spark, text.pack_sentences, None, 9) is None
+
+
+def test_smart_chunks(spark):
+    assert chunks(spark, text.smart_chunks, "Short one. Next!", 40) == ["Short one.", "Next!"]
+    long = "alpha beta gamma delta: epsilon zeta eta theta iota kappa, lambda mu nu"
+    assert chunks(spark, text.smart_chunks, long, 40) == ["alpha beta gamma delta:.", "epsilon zeta eta theta iota.", "kappa lambda mu nu."]
+    got = chunks(spark, text.smart_chunks, "word " * 60 + "x" * 300, 50)
+    assert "".join("".join(got).split()).replace(".", "") == "word" * 60 + "x" * 300
+
+
+def test_missing_sides(spark):
+    """Segments that were never made, recordings without a background, and videos without shots."""
+    e = spark.createDataFrame([(1, 10), (2, 20)], "segment_id long, duration int")
+    made = spark.createDataFrame([(1, "a", 9.0)], "segment_id long, name string, duration double")
+    assert {(r.segment_id, r.status) for r in segments.compare_durations(e, made).collect()} == {(1, "OK"), (2, "MISSING")}
+    rec = spark.createDataFrame([(1,), (2,), (3,)], "recording long")
+    tracks = spark.createDataFrame([(1, "original", 5), (1, "no_vocals", 6), (2, "drums", 7)], "recording long, kind string, path long")
+    assert {(r.recording, r.background) for r in segments.background_source(rec, tracks).collect()} == {(1, 6), (2, None), (3, None)}
+    frames = spark.createDataFrame([(1, 10), (1, 200), (2, 7), (3, 9)], "video long, frame long")
+    shots = spark.createDataFrame([(1, 4, 0, 100), (3, 1, 0, 20)], "video long, shot int, start_frame long, end_frame long")
+    assert {(r.video, r.frame, r.shot) for r in spatial.assign_shots(frames, shots).collect()} == {(1, 10, 4), (2, 7, 0), (3, 9, 0)}
+
+
+def test_language_codes(spark):
+    df = spark.createDataFrame([("French",), ("castilian",), ("zh",), ("Haitian Creole",), ("klingon",)], "n string")
+    assert [r.c for r in df.select(text.language_code(F.col("n")).alias("c")).collect()] == ["fr", "es", "zh", "ht", None]
 
 
 def test_similarity(spark):

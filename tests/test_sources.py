@@ -1,6 +1,8 @@
 """File formats, streams, and that the rest stands without the training-data subpackage."""
 
+import datetime
 import json
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from voxlake.operators import segments
 from voxlake.plans import catalog
+from voxlake.plans import streams as plans
 from voxlake.sources import list_media, pending, quarantine, read_path_list, read_pipe_corpus, read_segments, write_path_list, write_segments, write_text
 from voxlake.streaming import turns as streams
 
@@ -58,16 +61,43 @@ def test_ingest_sees_files_once(spark, tmp_path):
 
 def test_stream_of_turns_equals_the_batch(spark):
     t = catalog.Tables(spark, "/root/testdata/sf0.001")
-    from voxlake.plans import segments as plans
+    from voxlake.plans import segments as turns
 
     got = catalog.QUERIES["stream_turn_merge"](spark, t.folder)
-    want = segments.merge_turns(plans.turns(t), plans.GAP)
+    want = segments.merge_turns(turns.turns(t), turns.GAP)
     last = t.events.agg(F.max("ts")).first()[0].timestamp()
     rows = lambda df, c: {(r.recording, r.speaker, round(r.start_time, 3), round(r.end_time, 3), r.turns) for r in df.collect() if c(r)}
-    closed = lambda r: r.end_time + plans.GAP < last - 120
+    closed = lambda r: r.end_time + turns.GAP < last - 120
     assert rows(got, closed) == rows(want, closed) and got.count() > 0.8 * want.count()
 
 
+def test_ingest_counts_every_batch(spark, tmp_path):
+    """More batches than a query's progress keeps."""
+    spark.range(110).repartition(110, "id").write.parquet(str(tmp_path / "in"))
+    files = len(list((tmp_path / "in").glob("*.parquet")))
+    many = spark.range(0, 130, 1, 130).write.mode("append").parquet(str(tmp_path / "in"))
+    assert many is None and files > 0
+    assert streams.ingest(spark, str(tmp_path / "in"), "id long", str(tmp_path / "out"), str(tmp_path / "state"), files=1) == 240
+
+
+def test_late_rows_are_merged_in_their_place(spark, tmp_path):
+    """Rows that come a batch later than their successors, but within the watermark, give the batch's turns."""
+    kind = "recording long, speaker string, start_time double, end_time double, seq long, ts timestamp"
+    at = lambda x: datetime.datetime.fromtimestamp(x, datetime.UTC)
+    rows = [(1, s, float(a), a + 5.0, i, at(a)) for i, (s, a) in enumerate([("A", 1000), ("A", 1010), ("B", 1020), ("A", 1030), ("A", 1037), ("A", 5000), ("A", 9000)])]
+    for k, part in enumerate(([0, 3], [1, 4], [2], [5], [6])):
+        spark.createDataFrame([rows[i] for i in part], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for f in (tmp_path / "in").glob("part-*.parquet"):
+            os.utime(f, (k, k)) if f.stat().st_mtime > 1e6 else None
+    s = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    own = spark.conf.get(streams.ROCKSDB[0], None)
+    with plans.setting(spark, *streams.ROCKSDB):
+        got = plans.finish(streams.merge_stream(s, 10.0, "10 minutes"), "late")
+    assert spark.conf.get(streams.ROCKSDB[0], None) == own
+    want = [("A", 1000.0, 1015.0, 2), ("B", 1020.0, 1025.0, 1), ("A", 1030.0, 1042.0, 2), ("A", 5000.0, 5005.0, 1)]
+    assert sorted((r.start_time, r.speaker, r.end_time, r.turns) for r in got.collect()) == [(a, s, z, n) for s, a, z, n in want]
+
+
 def test_stands_alone(tmp_path):
     """Without the subpackage and the pipeline everything else imports, and other errors are not hidden."""
     code = "import sys; sys.modules['voxlake.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); assert 'turn_merge' in q and not any(k.startswith('op') for k in q); assert set(e.oracle_sql()) <= set(q)"

@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import BRACKETS, folded, spelling
+
 LANGUAGES = ("en", "es", "fr", "de")
 
 # The words for 0 to 19 and the tens.
@@ -49,7 +51,7 @@ FIRST = {
     "de": {"eins": "erste", "drei": "dritte", "sieben": "siebte", "acht": "achte"},
 }
 # What marks an ordinal behind digits.
-ORDINAL = {"en": r"([0-9]+)(?:st|nd|rd|th)", "es": r"([0-9]+)(?:º|ª|er|os|as|o|a)", "fr": r"([0-9]+)(?:º|ª|ème|er|re|e)", "de": r"([0-9]+)(?:st|nd|rd|th|º|ª|\.(?=\s|$))"}
+ORDINAL = {"en": r"([0-9]+)(?:st|nd|rd|th)", "es": r"([0-9]+)(?:º|ª|er|o|a|os|as)", "fr": r"([0-9]+)(?:º|ª|er|re|e|ème)", "de": r"([0-9]+)(?:st|nd|rd|th|º|ª|\.(?=\s|$))"}
 
 
 def _below_100(n: int, lang: str) -> str:
@@ -174,13 +176,34 @@ def expand_numbers(text: Column, lang: Column) -> Column:
     return F.when(F.rlike(text, F.lit("[0-9]")) & lang.isin(*LANGUAGES), _expand(text, lang)).otherwise(text)
 
 
-# English number words beyond 0 to 19 and the tens.
-SCALE_WORDS = {"hundred": 100, "thousand": 10**3, "million": 10**6, "billion": 10**9, "trillion": 10**12}
+# English number words beyond 0 to 19 and the tens: names of powers of a thousand.
+SCALES = "thousand million billion trillion quadrillion quintillion sextillion septillion octillion nonillion decillion".split()
+SCALE_WORDS = {"hundred": 100} | {w: 1000 ** (i + 1) for i, w in enumerate(SCALES)}
+# Ordinals and plurals that are not the word with th or s, and how the others change their end.
+ODD_ORDINALS = {"one": "first", "two": "second", "three": "third", "five": "fifth", "eight": "eighth", "nine": "ninth", "twelve": "twelfth"}
+MARKS = {"first": "st", "second": "nd", "third": "rd"}
+# Words before and behind a number that become its sign or mark.
+SIGNS = {"minus": "-", "negative": "-", "plus": "+", "positive": "+"}
+CURRENCIES = {"pound": "£", "pounds": "£", "euro": "€", "euros": "€", "dollar": "$", "dollars": "$", "cent": "¢", "cents": "¢"}
+
+
+def _suffixed() -> dict[str, tuple[str, str]]:
+    """Ordinals and plurals of number words: (number word, what follows the digits)."""
+    out = {}
+    for w in [*SMALL["en"], *TENS["en"], *SCALE_WORDS]:
+        ordinal = ODD_ORDINALS.get(w, w[:-1] + "ieth" if w.endswith("y") else w + "th")
+        out[ordinal] = (w, MARKS.get(ordinal, "th"))
+        out[w[:-1] + "ies" if w.endswith("y") else w + ("es" if w.endswith("x") else "s")] = (w, "s")
+    return out
+
+
+SUFFIXED = _suffixed()
 
 
 def digits(text: str) -> str:
     """Spelled English numbers as digits: twenty one -> 21, one hundred and two -> 102, three point five -> 3.5,
-    one oh one -> 101, double four -> 44, ten percent -> 10%, five dollars -> $5."""
+    one oh one -> 101, double four -> 44, ten percent -> 10%, five dollars -> $5, twenty first -> 21st, nineteen
+    sixties -> 1960s, minus three -> -3."""
     units = {w: i for i, w in enumerate(SMALL["en"])} | {"oh": 0, "o": 0}
     tens = {w: 10 * (i + 2) for i, w in enumerate(TENS["en"])}
     words = re.sub(r"(?<=[a-z])-(?=[a-z])", " ", text).split()
@@ -188,9 +211,9 @@ def digits(text: str) -> str:
 
     def number(i: int) -> tuple[str | None, int]:
         """Longest number from word i on, as (digits, next word)."""
-        start, total, part, last, runs = i, 0, None, None, []
-        while i < len(words):
-            w = words[i]
+        start, total, part, last, runs, suffix = i, 0, None, None, [], ""
+        while i < len(words) and not suffix:
+            w, ends = SUFFIXED.get(words[i], (words[i], ""))
             if w in ("double", "triple") and i + 1 < len(words) and words[i + 1] in units and units[words[i + 1]] < 10:
                 runs.append(str(units[words[i + 1]]) * (2 if w == "double" else 3))
                 last, part, i = "run", None, i + 2
@@ -224,11 +247,11 @@ def digits(text: str) -> str:
                 last = "hundred" if last == "hundred" else "scale"
             else:
                 break
-            i += 1
+            i, suffix = i + 1, ends
         if i == start or (part is None and not total and not runs):
             return None, start
-        n = "".join(runs) + (str(total + (part or 0)) if part is not None or total else "")
-        if i + 1 < len(words) and words[i] == "point" and words[i + 1] in units and units[words[i + 1]] < 10:
+        n = "".join(runs) + (str(total + (part or 0)) if part is not None or total else "") + suffix
+        if not suffix and i + 1 < len(words) and words[i] == "point" and words[i + 1] in units and units[words[i + 1]] < 10:
             j, tail = i + 1, ""
             while j < len(words) and words[j] in units and units[words[j]] < 10:
                 tail, j = tail + str(units[words[j]]), j + 1
@@ -236,18 +259,21 @@ def digits(text: str) -> str:
         return n, i
 
     while i < len(words):
-        n, j = number(i)
+        sign = SIGNS.get(words[i], "")
+        n, j = number(i + 1 if sign else i)
+        if n is None and sign and i + 1 < len(words) and words[i + 1][0].isdigit():
+            n, j = words[i + 1], i + 2
         if n is None:
             out.append(words[i])
             i += 1
             continue
         unit = words[j] if j < len(words) else ""
         if unit == "percent":
-            n, j = f"{n}%", j + 1
-        elif unit in ("dollar", "dollars"):
-            n, j = f"${n}", j + 1
-        elif unit in ("cent", "cents"):
-            n, j = f"¢{n}", j + 1
+            n, j = f"{sign}{n}%", j + 1
+        elif unit in CURRENCIES and not n.endswith(("s", "t", "d", "h")):
+            n, j = f"{sign}{CURRENCIES[unit]}{n}", j + 1
+        else:
+            n = sign + n
         out.append(n)
         i = j
     return " ".join(out)
@@ -264,21 +290,37 @@ CONTRACTIONS = [
     (r"\bwanna\b", "want to"), (r"\bgotta\b", "got to"), (r"\bgonna\b", "going to"), (r"\bi'ma\b", "i am going to"), (r"\bimma\b", "i am going to"),
     (r"\bwoulda\b", "would have"), (r"\bcoulda\b", "could have"), (r"\bshoulda\b", "should have"), (r"\bma'am\b", "madam"),
     (r"\bmr\b", "mister "), (r"\bmrs\b", "missus "), (r"\bst\b", "saint "), (r"\bdr\b", "doctor "), (r"\bprof\b", "professor "),
-    (r"'d been\b", " had been"), (r"'s been\b", " has been"), (r"'d gone\b", " had gone"), (r"'s gone\b", " has gone"), (r"'s got\b", " has got"),
+    (r"\bcapt\b", "captain "), (r"\bgov\b", "governor "), (r"\bald\b", "alderman "), (r"\bgen\b", "general "), (r"\bsen\b", "senator "),
+    (r"\brep\b", "representative "), (r"\bpres\b", "president "), (r"\brev\b", "reverend "), (r"\bhon\b", "honorable "), (r"\basst\b", "assistant "),
+    (r"\bassoc\b", "associate "), (r"\blt\b", "lieutenant "), (r"\bcol\b", "colonel "), (r"\bjr\b", "junior "), (r"\bsr\b", "senior "), (r"\besq\b", "esquire "),
+    (r"'d been\b", " had been"), (r"'s been\b", " has been"), (r"'d gone\b", " had gone"), (r"'s gone\b", " has gone"), (r"'d done\b", " had done"), (r"'s got\b", " has got"),
     (r"n't\b", " not"), (r"'re\b", " are"), (r"'s\b", " is"), (r"'d\b", " would"), (r"'ll\b", " will"), (r"'t\b", " not"), (r"'ve\b", " have"), (r"'m\b", " am"),
 ]
-FILLERS = r"\b(hmm|mm|mhm|mmm|uh|um)\b"
-
-
-def english_normalize(text: Column) -> Column:
-    """Lower case without brackets and fillers, contractions and titles spelled, commas in numbers dropped, symbols
-    as blanks, spelled numbers as digits, single blanks."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), r"[<\[][^>\]]*[>\]]", ""), r"\(([^)]+?)\)", "")
-    out = F.regexp_replace(F.regexp_replace(out, FILLERS, ""), r"\s+'", "'")
-    for pattern, word in CONTRACTIONS:
-        out = F.regexp_replace(out, pattern, word)
-    out = F.regexp_replace(F.regexp_replace(out, r"(\d),(\d)", "$1$2"), r"\.([^0-9]|$)", " $1")
-    out = F.regexp_replace(out, r"[^\p{L}\p{N}\s.%$¢€£]", " ")
+# What goes before them (brackets, fillers, a blank before an apostrophe), and between them and the
+# numbers (commas and final points at digits, every symbol but those of amounts), and after the numbers (lone symbols).
+BEFORE = [*((p, "") for p in BRACKETS), (r"\b(hmm|mm|mhm|mmm|uh|um)\b", ""), (r"\s+'", "'")]
+AROUND = [(r"(\d),(\d)", "$1$2"), (r"\.([^0-9]|$)", " $1")]
+SYMBOLS = (r"[\p{M}\p{S}\p{P}&&[^.%$¢€£]]", " ")
+AFTER = [(r"[.$¢€£]([^0-9])", " $1"), (r"([^0-9])%", "$1 ")]
+
+
+@F.pandas_udf(T.StringType())
+def _folded(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else folded(t))
+
+
+def english_normalize(text: Column, spellings: dict[str, str] | None = None) -> Column:
+    """The form in which English texts are compared: the rules above in turn over lower case, letters without marks,
+    spelled numbers as digits, single blanks. spellings maps words to one spelling; callers bring the table."""
+
+    def passes(c: Column, rules: list[tuple[str, str]]) -> Column:
+        for pattern, word in rules:
+            c = F.regexp_replace(c, pattern, word)
+        return c
+
+    out = passes(F.lower(text), BEFORE + CONTRACTIONS + AROUND)
+    marked = F.rlike(out, F.lit(r"[^\x00-\x7F]"))  # other texts have nothing to fold
+    out = F.regexp_replace(F.coalesce(_folded(F.when(marked, out)), out), *SYMBOLS)
     out = number_digits(out)
-    out = F.regexp_replace(F.regexp_replace(out, r"[.$¢€£]([^0-9])", " $1"), r"([^0-9])%", "$1 ")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    out = F.array_join(F.split(F.trim(out), r"\s+"), " ") if spellings is None else spelling(F.regexp_replace(F.trim(out), r"\s+", " "), spellings)
+    return F.regexp_replace(passes(out, AFTER), r"\s+", " ")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import textwrap
+import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
@@ -29,13 +32,15 @@ def by_language(lang: Column, make: Callable[[str], Column], codes, other: Colum
 
 
 def expand_abbreviations(text: Column, lang: Column) -> Column:
-    """Replace abbreviations by words, whatever their case; languages without a table keep the text."""
+    """Replace abbreviations by words, whatever their case; languages without a table keep the text. One expression
+    finds the texts that hold any at all; only these go through the replacements."""
 
     def make(code: str) -> Column:
-        out = text
-        for short, word in L.ABBREVIATIONS[code].items():
-            out = F.regexp_replace(out, rf"(?i)\b{short}\.", word)
-        return out
+        end = r"\b" if code == "ru" else r"\."
+        table, out = L.ABBREVIATIONS[code], text
+        for short, word in table.items():
+            out = F.regexp_replace(out, rf"(?iu)\b{short}{end}", word)
+        return F.when(F.rlike(text, F.lit(rf"(?iu)\b(?:{'|'.join(table)}){end}")), out).otherwise(text)
 
     return by_language(lang, make, L.ABBREVIATIONS, text)
 
@@ -101,53 +106,73 @@ def synthesis_code(code: Column) -> Column:
     return F.when(short.isin(*L.SUPPORTED), short).otherwise("en")
 
 
-def pack(parts: Column, limit: Column, between: str = " ") -> Column:
-    """Greedily join consecutive parts to chunks of at most limit characters. A longer part is a chunk of its
-    own; split it before, with wrap(), where that matters."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+def language_code(name: Column) -> Column:
+    """Code of a language by its code, name or alias, in any case; null if there is none."""
+    known = {c: c for c in L.LANGUAGE_NAMES} | {n: c for c, n in L.LANGUAGE_NAMES.items()} | L.LANGUAGE_ALIASES
+    return F.create_map(*[F.lit(x) for kv in known.items() for x in kv])[F.lower(name)]
+
 
-    def add(acc: Column, x: Column) -> Column:
-        grown = F.when(acc["open"] == "", x).otherwise(F.concat(acc["open"], F.lit(between), x))
-        fits = F.char_length(grown) <= limit
-        closed = F.when(acc["open"] == "", acc["done"]).otherwise(F.array_append(acc["done"], acc["open"]))
-        return F.when(fits, F.struct(acc["done"].alias("done"), grown.alias("open"))).otherwise(F.struct(closed.alias("done"), x.alias("open")))
+def _chunks(parts: list[str], limit: int, grows: bool, between: str = " ", more: int = 0) -> list[str]:
+    """Parts joined as long as the lengths of both sides, and more, keep to the limit. A part that does not fit begins
+    a chunk, wrapped into lines where it is longer than the limit; with grows the next part may join it."""
+    out, room = [], False  # room: the last chunk may grow
+    for part in parts:
+        if len(out[-1] if room else "") + len(part) + more <= limit:
+            out = [*out[:-1], out[-1] + between + part] if room else [*out, part]
+            room = True
+            continue
+        out += textwrap.wrap(part, limit, drop_whitespace=True, break_on_hyphens=False, tabsize=1) if len(part) > limit else [part]
+        room = grows
+    return out
 
-    return F.aggregate(parts, start, add, lambda a: F.when(a["open"] == "", a["done"]).otherwise(F.array_append(a["done"], a["open"])))
 
+def _sentences(t: str) -> list[str]:
+    return [x for x in (y.strip() for y in re.split(r"(?<=[.!?])\s+", t)) if x]
 
-def wrap(text: Column, limit: Column) -> Column:
-    """Lines of whole words of at most limit characters; a longer word is cut."""
-    word = F.filter(F.split(text, r"\s+"), lambda x: x != "")
-    cut = F.flatten(F.transform(word, lambda w: F.when(F.char_length(w) <= limit, F.array(w)).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.char_length(w) - 1) / limit).cast("int")), lambda i: F.substring(w, (i * limit + 1).cast("int"), limit.cast("int"))))))
-    return pack(cut, limit)
 
+def _clauses(sentence: str, most: int) -> list[str]:
+    """A long sentence in chunks. Whenever a mark of , : ; - lies more than `most` behind the last cut, the text up to it
+    leaves, or of this the part before the last blank within `most`; what is left in the end leaves in two at most."""
 
-def pack_sentences(text: Column, limit: Column) -> Column:
-    """Chunks of whole sentences; a text below the limit is one chunk, an over-long sentence is wrapped."""
-    parts = F.flatten(F.transform(sentences(text), lambda s: F.when(F.char_length(s) <= limit, F.array(s)).otherwise(wrap(s, limit))))
-    return F.when(F.char_length(text) < limit, F.array(F.ltrim(text))).otherwise(pack(parts, limit))
+    def fitting(x: str) -> int:
+        """Characters of x up to the last blank within `most`; all where x is short or has no such blank."""
+        blank = x.rfind(" ", 0, most) if len(x) > most else -1
+        return blank if blank > 0 else len(x)
 
+    out, cut = [], 0
+    for m in re.finditer(r"[,:;\-]", sentence):
+        if m.start() - cut > most:
+            x = sentence[cut : m.start()].strip()
+            n = fitting(x)
+            out.append(x[:n].strip())
+            cut = m.start() if n == len(x) else cut + n
+    x = sentence[cut:].strip()
+    return [*out, x[: fitting(x)].strip(), x[fitting(x) :].strip()]
 
-def fallback_pack(text: Column, limit: Column) -> Column:
-    """Chunks of parts between '. ', joined with it again; over-long parts are wrapped."""
-    parts = F.filter(F.transform(F.split(text, r"\. "), lambda x: F.trim(x)), lambda x: x != "")
-    parts = F.flatten(F.transform(parts, lambda s: F.when(F.char_length(s) <= limit, F.array(s)).otherwise(wrap(s, limit))))
-    out = pack(parts, limit, ". ")
-    return F.when(F.size(out) == 0, F.array(text)).otherwise(out)
 
+def over_texts(split: Callable[[str, int], list[str]]) -> Callable[[Column, Column], Column]:
+    """split(text, limit) as a function of columns: one map over batches of whole texts; null stays null."""
 
-def smart_chunks(text: Column, limit: Column) -> Column:
-    """Sentences; those over limit - 10 are cut behind , : ; - and packed, and at the last blank where a part
-    is still too long. Every chunk is normalized for synthesis; empty ones are left out."""
-    most = limit - 10
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(texts: pd.Series, limits: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else split(t, int(n)) for t, n in zip(texts, limits, strict=True)], dtype="object")
 
-    def cut(s: Column) -> Column:
-        pieces = F.filter(F.split(F.regexp_replace(s, r"([,:;\-])", "$1\u0001"), "\u0001"), lambda x: x != "")
-        pieces = F.flatten(F.transform(pieces, lambda p: F.when(F.char_length(p) <= most, F.array(F.trim(p))).otherwise(wrap(p, most))))
-        return pack(pieces, most)
+    return run
 
-    chunks = F.flatten(F.transform(sentences(text), lambda s: F.when(F.char_length(s) <= most, F.array(s)).otherwise(cut(s))))
-    return F.filter(F.transform(chunks, tts_normalize), lambda x: (x != "") & (x != "."))
+
+#: Chunks of whole sentences; a text below the limit is one chunk. In pack_sentences the next sentence may join one that
+#: began a chunk, in pack_closed it may not.
+pack_sentences = over_texts(lambda t, n: _chunks(_sentences(t), n, True) if len(t) >= n else [t.lstrip()])
+pack_closed = over_texts(lambda t, n: [c for c in (_chunks(_sentences(t), n, False) if len(t) >= n else [t.strip()]) if c])
+#: Chunks of parts between '. ', joined with it again.
+fallback_pack = over_texts(lambda t, n: _chunks([x for x in (y.strip() for y in t.split(". ")) if x], n, False, ". ", 1) or [t])
+#: Sentences; those over limit - 10 in clauses.
+_smart = over_texts(lambda t, n: [c for s in _sentences(t) for c in (_clauses(s, n - 10) if len(s) > n - 10 else [s]) if c])
+
+
+def smart_chunks(text: Column, limit: Column) -> Column:
+    """Chunks that keep to limit - 10 where their marks and blanks allow it, each normalized for synthesis."""
+    return F.filter(F.transform(_smart(text, limit), tts_normalize), lambda x: (x != "") & (x != "."))
 
 
 def clean(text: Column, lang: Column, numbers: Callable[[Column, Column], Column] | None = None) -> Column:
@@ -160,24 +185,46 @@ def clean(text: Column, lang: Column, numbers: Callable[[Column, Column], Column
     return collapse(expand_symbols(expand_abbreviations(out, lang), lang))
 
 
-def basic_normalize(text: Column) -> Column:
-    """Lower case without <…>, […] and (…); marks, symbols and punctuation become blanks; single blanks."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), r"[<\[][^>\]]*[>\]]", ""), r"\(([^)]+?)\)", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(out, r"[\p{M}\p{S}\p{P}]", " "), r"\s+", " "))
+# What the normal forms drop, in order: <…> and […], then (…).
+BRACKETS = (r"[<\[][^>\]]*[>\]]", r"\(([^)]+?)\)")
+# Letters that decomposition leaves as they are.
+LETTERS = {"œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "æ": "ae", "Æ": "AE", "ß": "ss", "ẞ": "SS", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "th", "ł": "l", "Ł": "L"}
+
+
+def folded(t: str) -> str:
+    """Compatibility decomposition without marks; letters that do not decompose are spelled out."""
+    if t.isascii():
+        return t
+    return "".join(LETTERS.get(c, c) for c in unicodedata.normalize("NFKD", t) if unicodedata.category(c) != "Mn")
 
 
 @F.pandas_udf(T.StringType())
 def fold_diacritics(texts: pd.Series) -> pd.Series:
-    """Compatibility decomposition without marks; letters that do not decompose are spelled out."""
-    import unicodedata
+    return texts.map(lambda t: None if t is None else folded(t))
+
+
+@F.pandas_udf(T.StringType())
+def _composed(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
 
-    # Letters that decomposition leaves as they are.
-    own = str.maketrans({"œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "æ": "ae", "Æ": "AE", "ß": "ss", "ẞ": "SS", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "th", "ł": "l", "Ł": "L"})
+def compatible(text: Column) -> Column:
+    """Compatibility composition. Texts of ASCII and of the Latin letters that it leaves alone never reach Python."""
+    other = F.when(F.rlike(text, F.lit(r"[^\x00-\x7FÀ-ÖØ-öø-ÿ]")), text)
+    return F.coalesce(_composed(other), text)
 
-    def fold(t: str | None) -> str | None:
-        return None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t.translate(own)) if unicodedata.category(c) != "Mn")
 
-    return texts.map(fold)
+def basic_normalize(text: Column, diacritics: bool = True, letters: bool = False) -> Column:
+    """Lower case without <…>, […] and (…); marks, symbols and punctuation of the composed form become blanks; runs of
+    blanks become one. Without diacritics, letters lose their marks first; with letters, characters (graphemes) are
+    set apart by blanks."""
+    out = F.lower(text)
+    for pattern in BRACKETS:
+        out = F.regexp_replace(out, pattern, "")
+    out = F.lower(F.regexp_replace(compatible(out) if diacritics else fold_diacritics(out), r"[\p{M}\p{S}\p{P}]", " "))
+    if letters:
+        out = F.array_join(F.regexp_extract_all(out, F.lit(r"\X"), F.lit(0)), " ")
+    return collapse(out)
 
 
 def spelling(text: Column, table: dict[str, str]) -> Column:
@@ -203,10 +250,10 @@ def similarity_pct(a: Column, b: Column) -> Column:
 
 @F.pandas_udf(T.DoubleType())
 def compression_ratio(texts: pd.Series) -> pd.Series:
-    """Bytes of the text over bytes of its zlib form; high values mean repetition."""
+    """Characters of the text over bytes of its zlib form; high values mean repetition."""
     import zlib
 
-    return texts.map(lambda t: None if t is None else len(t.encode()) / len(zlib.compress(t.encode())))
+    return texts.map(lambda t: None if t is None else len(t) / len(zlib.compress(t.encode())))
 
 
 def decoding_failed(ratio: Column, avg_logprob: Column, no_speech: Column) -> Column:

@@ -80,10 +80,10 @@ def window_crop(start: Column, frames: int, length: Column, fps: float = 25.0, h
 
 
 def frame_pad(length: Column, size: int, hop: int) -> Column:
-    """Frames of a padded signal, and the samples that are missing at its end."""
-    pad = size - hop
-    short = F.when(length % hop == 0, F.floor((length + pad * 2 - size) / hop) + 1).otherwise(F.floor((length + pad * 2 - size) / hop) + 2)
-    return F.struct(short.alias("frames"), ((short - 1) * hop + size - (length + pad * 2)).alias("missing"))
+    """Frames of a signal that is padded by size - hop at both ends, and the samples that the last one lacks: every whole
+    hop of length + size but one begins a frame, and so does a hop that the length only begins."""
+    frames = F.floor((length + size) / hop) - 1 + F.signum(F.pmod(length, F.lit(hop)).cast("double")).cast("long")
+    return F.struct(frames.alias("frames"), ((frames + 1) * hop - size - length).alias("missing"))
 
 
 def amp_to_db(x: Column, floor: float = -100.0) -> Column:

@@ -76,19 +76,20 @@ def cluster_stats(faces: DataFrame, least: int = 3) -> DataFrame:
 
 def leader_clusters(faces: DataFrame, tolerance: float) -> DataFrame:
     """(recording, det, cluster): in order of arrival (frame, det), each face joins the first cluster whose mean
-    center lies nearer than tolerance, or opens one. One recording is one group; its state is two sums a cluster."""
+    center lies nearer than tolerance, or opens one. The order decides, so one recording is one group and a hot one is
+    one task; its state is two sums and a count a cluster."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["frame", "det"])
-        sums, n, out = np.zeros((0, 2)), np.zeros(0), []
-        for p in g[["center_x", "center_y"]].to_numpy(float):
-            near = np.flatnonzero(np.hypot(*(sums / n[:, None] - p).T) < tolerance) if len(n) else []
-            k = int(near[0]) if len(near) else len(n)
-            if k == len(n):
-                sums, n = np.vstack([sums, p]), np.append(n, 1)
-            else:
-                sums[k] += p
-                n[k] += 1
+        room, m, out = np.zeros((16, 3)), 0, []  # sums of both coordinates and count of each cluster; m are open
+        for x, y in g[["center_x", "center_y"]].to_numpy(float):
+            c = room[:m]
+            near = np.flatnonzero(np.sqrt((c[:, 0] / c[:, 2] - x) ** 2 + (c[:, 1] / c[:, 2] - y) ** 2) < tolerance)
+            k = int(near[0]) if len(near) else m
+            m += k == m
+            if m > len(room):
+                room = np.concatenate([room, np.zeros_like(room)])
+            room[k] += (x, y, 1)
             out.append(k)
         return pd.DataFrame({"recording": g["recording"], "det": g["det"], "cluster": np.array(out, np.int32)})
 
@@ -109,7 +110,7 @@ def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, af
     most_overlap goes. Only scores over least count, the best `before` enter and the best `after` stay."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g[g["score"] > least].sort_values(["score", "box"], ascending=[False, True]).head(before)
+        g = g.sort_values(["score", "box"], ascending=[False, True]).head(before)
         b, left, kept = g[["x1", "y1", "x2", "y2"]].to_numpy(float), np.arange(len(g)), []
         while len(left) and len(kept) < after:
             i, left = left[0], left[1:]
@@ -118,7 +119,7 @@ def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, af
         return g.iloc[kept][["image", "box", "score"]]
 
     kind = boxes.schema["image"].dataType.simpleString()
-    return boxes.select("image", "box", "score", "x1", "y1", "x2", "y2").groupBy("image").applyInPandas(run, f"image {kind}, box long, score double")
+    return boxes.filter(F.col("score") > least).select("image", "box", "score", "x1", "y1", "x2", "y2").groupBy("image").applyInPandas(run, f"image {kind}, box long, score double")
 
 
 def tracks(boxes: DataFrame, gap: int = 25, least_iou: float = 0.5, longer: int = 50, larger: float = 100.0) -> DataFrame:
@@ -132,8 +133,9 @@ def tracks(boxes: DataFrame, gap: int = 25, least_iou: float = 0.5, longer: int
         g = g.sort_values(["frame", "box"])
         b, frame, free = g[["x1", "y1", "x2", "y2"]].to_numpy(float), g["frame"].to_numpy(), np.ones(len(g), bool)
         rows, number = [], 0
-        while free.any():
-            i = int(np.flatnonzero(free)[0])
+        for i in range(len(g)):  # those before are used up
+            if not free[i]:
+                continue
             track, free[i] = [i], False
             while True:
                 last = track[-1]

@@ -43,7 +43,8 @@ def shifted_distances(video: DataFrame, audio: DataFrame, most: int) -> DataFram
 
 def av_offset(distances: DataFrame) -> DataFrame:
     """(clip, offset, confidence): minus the shift of least distance (the smallest of equal ones), and how far
-    that lies below the median."""
+    that lies below the median. Distances count to 9 digits, so the order in which means are summed decides nothing."""
+    distances = distances.withColumn("distance", F.round("distance", 9))
     best = F.struct("distance", "shift")
     return distances.groupBy("clip").agg((-F.min_by("shift", best)).alias("offset"), (F.percentile("distance", F.lit(0.5)) - F.min("distance")).alias("confidence"))
 
@@ -122,3 +123,27 @@ def context_window(frames: DataFrame, length: DataFrame, back: int = 4, ahead: i
     at = F.floor(F.col("frame") * rate)
     x = frames.join(length, "clip").withColumn("raw", F.explode(F.sequence(at - back, at + ahead - 1)))
     return x.select("clip", "frame", (F.col("raw") - (at - back)).cast("int").alias("pos"), F.greatest(F.lit(0), F.least(F.col("raw"), F.col("features") - 1)).alias("at"))
+
+
+def sparse_window(frames: DataFrame, length: DataFrame, back: int = 2, ahead: int = 2, rate: float = 2.0) -> DataFrame:
+    """(clip, frame, pos, at): for each frame from back before to ahead after, its feature and the one before it; beyond
+    the clip's edges the edge's feature twice."""
+    x = frames.join(length, "clip").withColumn("dt", F.explode(F.sequence(F.lit(-back), F.lit(ahead))))
+    raw = ((F.col("frame") + F.col("dt")) * rate).cast("long")
+    edge = (raw < 1) | (raw > F.col("features") - 1)
+    at = F.greatest(F.lit(0), F.least(raw, F.col("features") - 1))
+    two = x.select("clip", "frame", "dt", F.posexplode(F.array(F.when(edge, at).otherwise(at - 1), at)).alias("k", "at"))
+    return two.select("clip", "frame", ((F.col("dt") + back) * 2 + F.col("k")).cast("int").alias("pos"), "at")
+
+
+def window_chunks(length: DataFrame, rate: float = 2.0) -> DataFrame:
+    """(clip, frame) of all windows of each clip (clip, features): up to the first frame that begins beyond its end."""
+    last = F.ceil((F.col("features") + 1) / rate).cast("int")
+    return length.select("clip", F.explode(F.sequence(F.lit(0), last)).alias("frame"))
+
+
+def frame_stack(starts: DataFrame, frames: int) -> DataFrame:
+    """(clip, start, place, frame): the consecutive frames of a stack that begins at each start; context_window gives
+    the features of each."""
+    x = starts.withColumn("place", F.explode(F.sequence(F.lit(0), F.lit(frames - 1))))
+    return x.select("clip", "start", "place", (F.col("start") + F.col("place")).cast("int").alias("frame"))

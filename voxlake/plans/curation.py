@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import sources
 from ..operators import curation as C
 from ..sources import pending, quarantine
 from .catalog import Tables, query
+from .streams import scratch
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -35,7 +37,11 @@ def media_duration(t: Tables) -> DataFrame:
 
 @query("SELECT 'doc/' || doc_id AS path FROM documents UNION ALL SELECT 'page/' || page_id FROM pages")
 def write_path_list(t: Tables) -> DataFrame:
-    return t.documents.select(F.concat(F.lit("doc/"), "doc_id").alias("path")).unionByName(t.pages.select(F.concat(F.lit("page/"), "page_id").alias("path")))
+    """Two lists of paths written as one text list; the rows are the lines of the written files."""
+    path = scratch(t.spark, "path-list")
+    lists = [t.documents.select(F.concat(F.lit("doc/"), "doc_id").alias("path")), t.pages.select(F.concat(F.lit("page/"), "page_id").alias("path"))]
+    sources.write_path_list(lists, path)
+    return t.spark.read.text(path).withColumnRenamed("value", "path")
 
 
 @query("SELECT source AS worker, count(*) AS items FROM (SELECT source FROM documents UNION ALL SELECT 'bench' FROM benchmark) GROUP BY 1")

@@ -154,10 +154,10 @@ def timecode_clock(t: Tables) -> DataFrame:
 
 
 @query("""WITH e AS (SELECT p_partkey AS segment_id, p_size AS duration FROM part),
-m AS (SELECT l_partkey AS segment_id, arg_min(l_quantity, l_orderkey * 10 + l_linenumber) AS made FROM lineitem WHERE l_returnflag <> 'N' AND l_orderkey % 29 = 0 GROUP BY 1)
+m AS (SELECT l_partkey AS segment_id, arg_min(l_quantity, l_orderkey * 10 + l_linenumber) AS made FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1)
 SELECT segment_id, duration, made, made - duration AS difference, CASE WHEN made IS NULL THEN NULL WHEN duration = 0 THEN 0 ELSE (made - duration) / duration * 100 END AS percent, CASE WHEN made IS NULL THEN 'MISSING' ELSE 'OK' END AS status FROM e LEFT JOIN m USING (segment_id)""")
 def duration_compare(t: Tables) -> DataFrame:
-    made = t.lineitem.filter("l_returnflag <> 'N' and l_orderkey % 29 = 0").select(F.col("l_partkey").alias("segment_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("name"), F.col("l_quantity").alias("duration"))
+    made = t.lineitem.filter("l_returnflag <> 'N'").select(F.col("l_partkey").alias("segment_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("name"), F.col("l_quantity").alias("duration"))
     return S.compare_durations(t.part.select(F.col("p_partkey").alias("segment_id"), F.col("p_size").alias("duration")), made)
 
 
@@ -227,12 +227,12 @@ def language_argmax(t: Tables) -> DataFrame:
     return S.language_argmax(s).select("grp", "language", seconds("probability", 6), "languages")
 
 
-@query("""WITH tr AS (SELECT user_id AS recording, CASE event_type WHEN 'view' THEN 'original' WHEN 'purchase' THEN 'no_vocals' ELSE event_type END AS kind, max(event_id) AS path FROM events WHERE event_id % 11 = 0 GROUP BY 1, 2),
+@query("""WITH tr AS (SELECT user_id AS recording, CASE event_type WHEN 'view' THEN 'original' WHEN 'purchase' THEN 'no_vocals' ELSE event_type END AS kind, max(event_id) AS path FROM events GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY recording ORDER BY CASE kind WHEN 'no_vocals' THEN 1 ELSE 2 END) AS rn FROM tr WHERE kind IN ('no_vocals', 'original'))
 SELECT u.recording, r.path AS background FROM (SELECT DISTINCT user_id AS recording FROM events) u LEFT JOIN (SELECT * FROM r WHERE rn = 1) r USING (recording)""")
 def background_source(t: Tables) -> DataFrame:
     kind = F.when(F.col("event_type") == "view", "original").when(F.col("event_type") == "purchase", "no_vocals").otherwise(F.col("event_type"))
-    tracks = t.events.filter("event_id % 11 = 0").groupBy(F.col("user_id").alias("recording"), kind.alias("kind")).agg(F.max("event_id").alias("path"))
+    tracks = t.events.groupBy(F.col("user_id").alias("recording"), kind.alias("kind")).agg(F.max("event_id").alias("path"))
     return S.background_source(t.events.select(F.col("user_id").alias("recording")).distinct(), tracks)
 
 

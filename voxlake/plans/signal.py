@@ -59,10 +59,9 @@ def fixed_windows(t: Tables) -> DataFrame:
     return S.fixed_windows(samples(t), 3000, "clip", "at").withColumnRenamed("window", "win")
 
 
-@query("SELECT doc_id, unnest(list_filter(range(0, n_chars, 3), lambda i: i + 52 < n_chars - 3)) AS first, greatest(0, least(n_chars, n_chars * 600 // 640) - 5) AS paired FROM documents WHERE n_chars < 4000")
+@query("SELECT doc_id, unnest(list_filter(range(0, n_chars, 3), lambda i: i + 52 < n_chars - 3)) AS first, greatest(0, least(n_chars, n_chars * 600 // 640) - 5) AS paired FROM documents")
 def sliding_windows(t: Tables) -> DataFrame:
-    d = t.documents.filter("n_chars < 4000")
-    return d.select("doc_id", F.explode(S.sliding_starts(F.col("n_chars"), 52, 3, 3)).alias("first"), S.paired_windows(F.col("n_chars"), F.col("n_chars") * 600).alias("paired"))
+    return t.documents.select("doc_id", F.explode(S.sliding_starts(F.col("n_chars"), 52, 3, 3)).alias("first"), S.paired_windows(F.col("n_chars"), F.col("n_chars") * 600).alias("paired"))
 
 
 @query("SELECT l_orderkey, l_linenumber, at_ AS place, 52 AS n FROM (SELECT *, floor(l_partkey % 300 * 80 / 25.0::DOUBLE)::BIGINT AS at_ FROM lineitem) WHERE at_ + 52 <= l_quantity * 20")
@@ -93,8 +92,8 @@ def log_mel(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", F.round(F.aggregate(m, F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
 
 
-@query("""WITH b AS (SELECT l_suppkey AS clip, l_partkey % 60 AS frame, l_orderkey * 10 + l_linenumber AS det, l_partkey % 2000 - 20 AS x1 FROM lineitem WHERE l_suppkey % 2 = 0), f AS (SELECT clip, frame, arg_min(x1, (det, x1)) AS x1 FROM b WHERE frame BETWEEN 20 AND 35 GROUP BY 1, 2),
+@query("""WITH b AS (SELECT l_suppkey AS clip, l_partkey % 60 AS frame, l_orderkey * 10 + l_linenumber AS det, l_partkey % 2000 - 20 AS x1 FROM lineitem), f AS (SELECT clip, frame, arg_min(x1, (det, x1)) AS x1 FROM b WHERE frame BETWEEN 20 AND 35 GROUP BY 1, 2),
 n AS (SELECT *, count(*) OVER (PARTITION BY clip) AS n FROM f) SELECT clip, frame, greatest(0, x1) AS x1, least(1920, x1 + 100) AS x2 FROM n WHERE n = 16""")
 def fixed_clip_window(t: Tables) -> DataFrame:
-    b = t.lineitem.filter("l_suppkey % 2 = 0").select(F.col("l_suppkey").alias("clip"), (F.col("l_partkey") % 60).alias("frame"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("d"), (F.col("l_partkey") % 2000 - 20).alias("x1"))
+    b = t.lineitem.select(F.col("l_suppkey").alias("clip"), (F.col("l_partkey") % 60).alias("frame"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("d"), (F.col("l_partkey") % 2000 - 20).alias("x1"))
     return S.clip_window(b.withColumns({"x2": F.col("x1") + 100, "det": F.struct("d", "x1")}), 20, 16, 1920, 1080)

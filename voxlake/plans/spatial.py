@@ -78,20 +78,32 @@ def cluster_stats(t: Tables) -> DataFrame:
     return S.cluster_stats(f, 90).select("recording", "cluster", "face_count", F.round("center_x", 6).alias("center_x"), F.round("avg_area", 4).alias("avg_area"), "x_low", "x_high", "cluster_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT l.recording, q.det, q.center_x, q.center_y, row_number() OVER (PARTITION BY l.recording ORDER BY q.frame, q.det) AS k FROM q JOIN (SELECT l_orderkey AS frame, l_linenumber * 1000000 + l_partkey AS det, min(l_suppkey) AS recording FROM lineitem GROUP BY 1, 2) l ON l.frame = q.frame AND l.det = q.det),
+r AS (SELECT DISTINCT recording, 0::BIGINT AS k, 0::BIGINT AS det, 0::INT AS cluster, []::STRUCT(x DOUBLE, y DOUBLE, n BIGINT)[] AS c FROM s UNION ALL
+SELECT recording, k, det, cluster, CASE WHEN cluster < len(c) THEN list_transform(c, lambda z, i: CASE WHEN i = cluster + 1 THEN {{'x': z.x + center_x, 'y': z.y + center_y, 'n': z.n + 1}} ELSE z END) ELSE list_append(c, {{'x': center_x, 'y': center_y, 'n': 1}}) END
+FROM (SELECT s.recording, s.k, s.det, s.center_x, s.center_y, r.c, (coalesce(list_position(list_transform(r.c, lambda z: sqrt(pow(z.x / z.n - s.center_x, 2) + pow(z.y / z.n - s.center_y, 2)) < 108), true), len(r.c) + 1) - 1)::INT AS cluster FROM r JOIN s ON s.recording = r.recording AND s.k = r.k + 1))
+SELECT recording, det, cluster FROM r WHERE k > 0""")
 def leader_cluster(t: Tables) -> DataFrame:
-    return S.leader_clusters(padded(t), 108.0)
+    """One supplier is one recording, so recordings grow in number with the table."""
+    own = t.lineitem.groupBy(F.col("l_orderkey").alias("frame"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("det")).agg(F.min("l_suppkey").alias("recording"))
+    return S.leader_clusters(padded(t).drop("recording").join(own, ["frame", "det"]), 108.0)
 
 
-@query()
+@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT frame AS image, det AS box, score::DOUBLE AS score, x1, y1, x2, y2, row_number() OVER (PARTITION BY frame ORDER BY score DESC, det) AS k FROM q WHERE score > 0.05),
+r AS (SELECT DISTINCT image, 0::BIGINT AS k, []::STRUCT(box BIGINT, x1 BIGINT, y1 BIGINT, x2 BIGINT, y2 BIGINT)[] AS kept FROM s UNION ALL
+SELECT s.image, s.k, CASE WHEN len(list_filter(r.kept, lambda p: greatest(0, least(p.x2, s.x2) - greatest(p.x1, s.x1)) * greatest(0, least(p.y2, s.y2) - greatest(p.y1, s.y1)) > 0.3 * ((p.x2 - p.x1) * (p.y2 - p.y1) + (s.x2 - s.x1) * (s.y2 - s.y1) - greatest(0, least(p.x2, s.x2) - greatest(p.x1, s.x1)) * greatest(0, least(p.y2, s.y2) - greatest(p.y1, s.y1))))) = 0
+ THEN list_append(r.kept, {{'box': s.box, 'x1': s.x1, 'y1': s.y1, 'x2': s.x2, 'y2': s.y2}}) ELSE r.kept END FROM r JOIN s ON s.image = r.image AND s.k = r.k + 1),
+e AS (SELECT image, unnest(arg_max(kept, k)).box AS box FROM r GROUP BY image)
+SELECT image, box, score FROM e JOIN s USING (image, box)""")
 def nms(t: Tables) -> DataFrame:
-    return S.suppress(padded(t).select(F.col("recording").alias("image"), F.col("det").alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2"))
+    """One frame is one image."""
+    return S.suppress(padded(t).select(F.col("frame").alias("image"), F.col("det").alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2"))
 
 
 @query()
 def iou_track(t: Tables) -> DataFrame:
-    """Boxes that drift slowly: one a frame in each of a few videos."""
-    e = t.events.select((F.col("user_id") % 40).alias("video"), (F.col("user_id") % 3).alias("shot"), F.floor(F.col("event_id") / 40).alias("frame"), F.col("event_id").alias("box"), (F.col("event_id") % 50).alias("x1"))
+    """Boxes that drift slowly; one user is one video."""
+    e = t.events.select(F.col("user_id").alias("video"), (F.col("user_id") % 3).alias("shot"), F.floor(F.col("event_id") / 40).alias("frame"), F.col("event_id").alias("box"), (F.col("event_id") % 50).alias("x1"))
     return S.tracks(e.withColumns({"y1": F.col("x1") * 0, "x2": F.col("x1") + 200, "y2": F.lit(200)}))
 
 
@@ -109,12 +121,12 @@ def rolling_median(t: Tables) -> DataFrame:
     return S.rolling_median(t.events, "value", "user_id", "event_id").select("event_id", "median")
 
 
-@query("""WITH s AS (SELECT l_suppkey AS video, l_linenumber AS shot, l_linenumber * 100 AS start_frame, l_linenumber * 100 + max(l_quantity)::INT * 2 AS end_frame FROM lineitem WHERE l_suppkey % 3 > 0 GROUP BY 1, 2),
+@query("""WITH s AS (SELECT l_suppkey AS video, l_linenumber AS shot, l_linenumber * 100 AS start_frame, l_linenumber * 100 + max(l_quantity)::INT * 2 AS end_frame FROM lineitem GROUP BY 1, 2),
 f AS (SELECT DISTINCT l_suppkey AS video, l_partkey % 1000 AS frame FROM lineitem), g AS (SELECT * FROM s WHERE end_frame - start_frame >= 50), h AS (SELECT DISTINCT video FROM g)
 SELECT f.video, f.frame, g.shot FROM f JOIN g ON f.video = g.video AND f.frame >= start_frame AND f.frame < end_frame UNION ALL SELECT f.video, f.frame, 0 FROM f WHERE f.video NOT IN (SELECT video FROM h)""")
 def shot_assign(t: Tables) -> DataFrame:
     start = F.col("l_linenumber") * 100
-    s = t.lineitem.filter("l_suppkey % 3 > 0").groupBy(F.col("l_suppkey").alias("video"), F.col("l_linenumber").alias("shot")).agg(F.max("l_quantity").cast("int").alias("q")).select("video", "shot", (F.col("shot") * 100).alias("start_frame"), (F.col("shot") * 100 + F.col("q") * 2).alias("end_frame"))
+    s = t.lineitem.groupBy(F.col("l_suppkey").alias("video"), F.col("l_linenumber").alias("shot")).agg(F.max("l_quantity").cast("int").alias("q")).select("video", "shot", (F.col("shot") * 100).alias("start_frame"), (F.col("shot") * 100 + F.col("q") * 2).alias("end_frame"))
     f = t.lineitem.select(F.col("l_suppkey").alias("video"), (F.col("l_partkey") % 1000).alias("frame")).distinct()
     return S.assign_shots(f, s)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +15,16 @@ from pyspark.sql import types as T
 from ..functions.models import apply_model
 from ..streaming import turns as J
 from .catalog import Tables, query
+from .segments import GAP
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one that the session names; a temporary one where it names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="voxlake-")
+    """A new folder in the shared one that the session names; only a local master gets a temporary one instead."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="voxlake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -74,11 +81,28 @@ def apply_model_rows(t: Tables) -> DataFrame:
     return out.select("doc_id", "chars", "success", "error")
 
 
-@query()
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for as long as a stream runs; the caller's own comes back."""
+    own = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own) if own is not None else spark.conf.unset(key)
+
+
+@query(f"""WITH t AS (SELECT user_id AS recording, event_type AS speaker, epoch_us(ts) / 1000000.0::DOUBLE AS start_time, epoch_us(ts) / 1000000.0::DOUBLE + value AS end_time, event_id AS seq FROM events),
+m AS (SELECT *, CASE WHEN lag(speaker) OVER w IS NULL OR lag(speaker) OVER w <> speaker OR start_time - lag(end_time) OVER w > {GAP} THEN 1 ELSE 0 END AS new FROM t WINDOW w AS (PARTITION BY recording ORDER BY start_time, seq)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY recording ORDER BY start_time, seq) AS island FROM m),
+j AS (SELECT recording, island, min(speaker) AS speaker, min(start_time) AS start_time, arg_max(end_time, (start_time, seq)) AS end_time, count(*) AS turns, count(*) OVER (PARTITION BY recording) AS islands FROM i GROUP BY recording, island),
+k AS (SELECT *, lead(start_time) OVER (PARTITION BY recording ORDER BY island) AS next, (SELECT max(epoch_us(ts)) // 1000 - 60000 FROM events) AS mark FROM j)
+SELECT recording, speaker, round(start_time, 3) AS start_time, round(end_time, 3) AS end_time, turns FROM k
+WHERE floor((end_time + {GAP}) * 1000) + 1 <= mark OR floor(next * 1000) + 1 <= mark""")
 def stream_turn_merge(t: Tables) -> DataFrame:
     """Turn merging as a stream, one state per recording; turns come once the watermark has closed them."""
-    from .segments import GAP
-
     start = F.unix_micros("ts") / F.lit(1e6)
     e = events_stream(t).select(F.col("user_id").alias("recording"), F.col("event_type").alias("speaker"), start.alias("start_time"), (start + F.col("value")).alias("end_time"), F.col("event_id").alias("seq"), "ts")
-    return finish(J.merge_stream(e, GAP, "1 minute"), "turns")
+    with setting(t.spark, *J.ROCKSDB):
+        out = finish(J.merge_stream(e, GAP, "1 minute"), "turns")
+    return out.withColumns({c: F.round(c, 3) for c in ("start_time", "end_time")})

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import languages as L
 from ..functions import text as X
 from .catalog import Tables, query
 
@@ -30,14 +29,30 @@ def tts_normalize(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.tts_normalize(F.col("text")).alias("norm"))
 
 
-def _nested(make, items, start: str) -> str:
-    for x in items:
-        start = make(start, *x)
-    return start
+# The SQL's own statement of the words for the languages of the table, not read from the library.
+SQL_SHORT = {
+    "en": "mrs misess mr mister dr doctor st saint co company jr junior maj major gen general drs doctors rev reverend lt lieutenant hon honorable sgt sergeant capt captain esq esquire ltd limited col colonel ft fort",
+    "es": "sra señora sr señor dr doctor dra doctora st santo co compañía jr junior ltd limitada",
+    "fr": "mme madame mr monsieur dr docteur st saint co compagnie jr junior ltd limitée",
+    "de": "fr frau dr doktor st sankt co firma jr junior",
+}
+SQL_SIGNS = {"en": "and,at,percent,hash,dollar,pound,degree", "es": "y,arroba,por ciento,numeral,dolar,libra,grados", "fr": "et,arobase,pour cent,dièse,dollar,livre,degrés", "de": "und,at,prozent,raute,dollar,pfund,grad"}
 
 
-ABBREVIATED = "CASE lang " + " ".join(f"WHEN '{c}' THEN " + _nested(lambda s, k, v: f"regexp_replace({s}, '(^|[^\\p{{L}}\\p{{N}}_]){k}\\.', '\\1{v}', 'gi')", t.items(), "text") for c, t in L.ABBREVIATIONS.items()) + " ELSE text END"
-SYMBOLIC = "CASE lang " + " ".join(f"WHEN '{c}' THEN trim(" + _nested(lambda s, k, v: f"replace(replace({s}, '{k}', ' {v} '), '  ', ' ')", t.items(), "{text}") + ")" for c, t in L.SYMBOLS.items()) + " ELSE {text} END"
+def _shortened(words: str, out: str) -> str:
+    for short, word in zip(words.split()[::2], words.split()[1::2], strict=True):
+        out = f"regexp_replace({out}, '(^|[^\\p{{L}}\\p{{N}}_]){short}\\.', '\\1{word}', 'gi')"
+    return out
+
+
+def _signed(words: str, out: str) -> str:
+    for sign, word in zip("&@%#$£°", words.split(","), strict=True):
+        out = f"replace(replace({out}, '{sign}', ' {word} '), '  ', ' ')"
+    return f"trim({out})"
+
+
+ABBREVIATED = "CASE lang " + " ".join(f"WHEN '{c}' THEN {_shortened(w, 'text')}" for c, w in SQL_SHORT.items()) + " ELSE text END"
+SYMBOLIC = "CASE lang " + " ".join(f"WHEN '{c}' THEN {_signed(w, '{text}')}" for c, w in SQL_SIGNS.items()) + " ELSE {text} END"
 
 
 @query(f"SELECT doc_id, {ABBREVIATED} AS expanded FROM (SELECT doc_id, lang, 'Dr. No st. x Mr. ' || text AS text FROM documents)")
@@ -51,11 +66,18 @@ def expand_symbols(t: Tables) -> DataFrame:
 
 
 @query(f"SELECT doc_id, regexp_replace({SYMBOLIC.format(text='low')}, '\\s+', ' ', 'g') AS cleaned FROM (SELECT doc_id, lang, {ABBREVIATED.replace('text', 'low')} AS low FROM (SELECT doc_id, lang, lower(replace(text, chr(34), '')) AS low FROM documents))")
-def multilingual_clean(t: Tables) -> DataFrame:
-    """Without the number words, which have a query of their own."""
+def clean_without_numbers(t: Tables) -> DataFrame:
+    """All steps of multilingual_clean but the number words, which SQL cannot spell."""
     return t.documents.select("doc_id", X.clean(F.col("text"), F.col("lang")).alias("cleaned"))
 
 
+@query()
+def multilingual_clean(t: Tables) -> DataFrame:
+    from ..functions.numbers import expand_numbers as words
+
+    return t.documents.select("doc_id", X.clean(F.col("text"), F.col("lang"), words).alias("cleaned"))
+
+
 @query("SELECT doc_id, lower(translate(text, '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~', '')) AS form FROM documents")
 def strip_punctuation(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.strip_punctuation(F.col("text")).alias("form"))
@@ -75,27 +97,25 @@ def word_jaccard(t: Tables) -> DataFrame:
     return c.select("conv_id", "turn", X.word_jaccard(X.words(F.col("text")), X.words(F.col("before"))).alias("jaccard"))
 
 
-LIMITS = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in L.CHAR_LIMITS.items()) + "}"
+# The SQL's own limits for the languages of the table.
+LIMITS = "MAP {'en': 250, 'de': 253, 'fr': 273, 'es': 239}"
 
 
-@query(f"SELECT doc_id, coalesce({LIMITS}[lang], 250) AS lim, len(text) > coalesce({LIMITS}[lang], 250) AS too_long, least({LIMITS}[lang], MAP {{'en': 200, 'es': 180, 'fr': 170, 'de': 160}}[lang]) AS cautious FROM documents")
+@query(f"SELECT doc_id, coalesce({LIMITS}[lang], 250) AS lim, len(text) > coalesce({LIMITS}[lang], 250) AS too_long, MAP {{'en': 200, 'es': 180, 'fr': 170, 'de': 160}}[lang] AS cautious FROM documents")
 def length_check(t: Tables) -> DataFrame:
     lim = X.limit_of(F.col("lang"))
     return t.documents.select("doc_id", lim.alias("lim"), (F.char_length("text") > lim).alias("too_long"), X.cautious_limit(F.col("lang")).alias("cautious"))
 
 
-NAMES = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in L.TRANSLATION_CODES.items()) + "}"
-TWO = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in L.TWO_LETTERS.items()) + "}"
-
-
-@query(f"""WITH n AS (SELECT n_nationkey, CASE n_name WHEN 'FRANCE' THEN 'French' WHEN 'GERMANY' THEN 'German' WHEN 'JAPAN' THEN 'Japanese' WHEN 'RUSSIA' THEN 'Russian' WHEN 'CHINA' THEN 'Chinese' WHEN 'INDIA' THEN 'hindi' ELSE n_name END AS language FROM nation),
-c AS (SELECT *, coalesce({NAMES}[lower(language)], lower(language) || '_Latn') AS code FROM n), s AS (SELECT *, coalesce({TWO}[left(code, 3)], code) AS short FROM c)
-SELECT n_nationkey, language, code, CASE WHEN short IN ({", ".join(repr(x) for x in L.SUPPORTED)}) THEN short ELSE 'en' END AS synthesis FROM s""")
+@query("""WITH n AS (SELECT n_nationkey, CASE n_name WHEN 'FRANCE' THEN 'French' WHEN 'GERMANY' THEN 'German' WHEN 'JAPAN' THEN 'Japanese' WHEN 'RUSSIA' THEN 'Russian' WHEN 'CHINA' THEN 'Chinese' WHEN 'INDIA' THEN 'hindi' WHEN 'PERU' THEN 'Castilian' ELSE n_name END AS language FROM nation)
+SELECT n_nationkey, language, CASE language WHEN 'French' THEN 'fra_Latn' WHEN 'German' THEN 'deu_Latn' WHEN 'Japanese' THEN 'jpn_Jpan' WHEN 'Russian' THEN 'rus_Cyrl' WHEN 'Chinese' THEN 'zho_Hans' WHEN 'hindi' THEN 'hin_Deva' ELSE lower(language) || '_Latn' END AS code,
+CASE language WHEN 'French' THEN 'fr' WHEN 'German' THEN 'de' WHEN 'Japanese' THEN 'ja' WHEN 'Russian' THEN 'ru' WHEN 'Chinese' THEN 'zh-cn' ELSE 'en' END AS synthesis,
+CASE language WHEN 'French' THEN 'fr' WHEN 'German' THEN 'de' WHEN 'Japanese' THEN 'ja' WHEN 'Russian' THEN 'ru' WHEN 'Chinese' THEN 'zh' WHEN 'hindi' THEN 'hi' WHEN 'Castilian' THEN 'es' END AS short FROM n""")
 def language_lookup(t: Tables) -> DataFrame:
-    own = {"FRANCE": "French", "GERMANY": "German", "JAPAN": "Japanese", "RUSSIA": "Russian", "CHINA": "Chinese", "INDIA": "hindi"}
+    own = {"FRANCE": "French", "GERMANY": "German", "JAPAN": "Japanese", "RUSSIA": "Russian", "CHINA": "Chinese", "INDIA": "hindi", "PERU": "Castilian"}
     name = F.coalesce(F.create_map(*[F.lit(x) for kv in own.items() for x in kv])[F.col("n_name")], F.col("n_name"))
     code = X.translation_code(F.col("language"))
-    return t.nation.select("n_nationkey", name.alias("language")).withColumn("code", code).withColumn("synthesis", X.synthesis_code(F.col("code")))
+    return t.nation.select("n_nationkey", name.alias("language")).withColumn("code", code).withColumn("synthesis", X.synthesis_code(F.col("code"))).withColumn("short", X.language_code(F.col("language")))
 
 
 @query()
@@ -104,6 +124,13 @@ def pack_sentences(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(c).alias("chunk", "text"))
 
 
+@query()
+def pack_closed(t: Tables) -> DataFrame:
+    """The variant in which a sentence that did not fit stays alone."""
+    c = X.pack_closed(F.col("text"), X.limit_of(F.col("lang")))
+    return t.documents.select("doc_id", F.posexplode(c).alias("chunk", "text"))
+
+
 @query()
 def fallback_pack(t: Tables) -> DataFrame:
     c = X.fallback_pack(F.col("text"), X.limit_of(F.col("lang")))
@@ -116,7 +143,7 @@ def smart_chunk(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(c).alias("chunk", "text"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), '[<\\[][^>\\]]*[>\\]]', '', 'g'), '\\(([^)]+?)\\)', '', 'g'), '[\\p{M}\\p{S}\\p{P}]', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM documents")
+@query("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), '[<\\[][^>\\]]*[>\\]]', '', 'g'), '\\(([^)]+?)\\)', '', 'g'), '[\\p{M}\\p{S}\\p{P}]', ' ', 'g'), '\\s+', ' ', 'g') AS norm FROM documents")
 def basic_normalize(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.basic_normalize(F.col("text")).alias("norm"))
 
@@ -151,6 +178,18 @@ def compression_ratio(t: Tables) -> DataFrame:
     return d.select("doc_id", "ratio", (F.col("ratio") > 2.4).alias("repetitive"))
 
 
+@query("SELECT doc_id, regexp_replace(array_to_string(string_split(regexp_replace(strip_accents(regexp_replace(regexp_replace(regexp_replace(lower(text), '[<\\[][^>\\]]*[>\\]]', '', 'g'), '\\(([^)]+?)\\)', '', 'g'), 'ß', 'ss', 'g')), '[\\p{M}\\p{S}\\p{P}]', ' ', 'g'), ''), ' '), '\\s+', ' ', 'g') AS norm FROM documents")
+def basic_letters(t: Tables) -> DataFrame:
+    """The normal form without diacritics, letter by letter."""
+    return t.documents.select("doc_id", X.basic_normalize(F.col("text"), diacritics=False, letters=True).alias("norm"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity / 10 > 2.4 AS repetitive, l_tax * -20 < -1.0 AS unlikely, l_discount * 10 > 0.6 AND l_tax * -20 < -1.0 AS silent FROM lineitem")
+def decoding_flags(t: Tables) -> DataFrame:
+    f = X.decoding_failed(F.col("l_quantity") / 10, F.col("l_tax") * -20, F.col("l_discount") * 10)
+    return t.lineitem.select("l_orderkey", "l_linenumber", f.alias("f")).select("l_orderkey", "l_linenumber", "f.*")
+
+
 URLS = "WITH u AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, 'https://v.example/watch?v=abcdefghijk' || page_id AS url FROM pages UNION ALL SELECT page_id, 'https://youtu.be/ABCDEFGHIJK?t=1' AS url FROM pages UNION ALL SELECT page_id, 'https://v.example/clip/watch?v=x' AS url FROM pages)"
 
 

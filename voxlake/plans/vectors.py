@@ -50,7 +50,7 @@ def shift_join(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH {STREAMS}, j AS (SELECT v.clip, v.frame, s.shift, v.vec, a.vec AS sound FROM v, range(-5, 6) s(shift) LEFT JOIN a ON a.clip = v.clip AND a.frame = v.frame + s.shift),
-d AS (SELECT clip, shift, avg(CASE WHEN sound IS NULL THEN sqrt(list_inner_product(vec, vec)) ELSE list_distance(vec, sound) END) AS d FROM j GROUP BY 1, 2)
+d AS (SELECT clip, shift, round(avg(CASE WHEN sound IS NULL THEN sqrt(list_inner_product(vec, vec)) ELSE list_distance(vec, sound) END), 9) AS d FROM j GROUP BY 1, 2)
 SELECT clip, -(arg_min(shift, (d, shift)))::INT AS offset_, round(median(d) - min(d), 6) AS confidence FROM d GROUP BY clip""")
 def av_offset(t: Tables) -> DataFrame:
     return V.av_offset(V.shifted_distances(*streams(t), 5)).select("clip", F.col("offset").alias("offset_"), F.round("confidence", 6).alias("confidence"))
@@ -91,3 +91,29 @@ def context_window(t: Tables) -> DataFrame:
     v, a = streams(t)
     length = a.groupBy("clip").agg(F.count("*").alias("features"))
     return V.context_window(v.select("clip", "frame"), length).withColumnRenamed("at", "place")
+
+
+@query(f"""WITH {STREAMS}, n AS (SELECT clip, count(*) AS features FROM a GROUP BY clip), x AS (SELECT v.clip, v.frame, d.dt, features, (v.frame + d.dt) * 2 AS raw FROM v JOIN n USING (clip), range(-2, 3) d(dt)),
+y AS (SELECT *, raw < 1 OR raw > features - 1 AS edge, greatest(0, least(raw, features - 1)) AS here FROM x)
+SELECT clip, frame, ((dt + 2) * 2 + k)::INT AS pos, CASE WHEN k = 1 OR edge THEN here ELSE here - 1 END AS place FROM y, range(2) r(k)""")
+def sparse_window(t: Tables) -> DataFrame:
+    v, a = streams(t)
+    length = a.groupBy("clip").agg(F.count("*").alias("features"))
+    return V.sparse_window(v.select("clip", "frame"), length).withColumnRenamed("at", "place")
+
+
+@query(f"WITH {STREAMS}, n AS (SELECT clip, count(*) AS features FROM a GROUP BY clip) SELECT clip, unnest(range(0, features // 2 + 2))::INT AS frame FROM n")
+def window_chunks(t: Tables) -> DataFrame:
+    return V.window_chunks(streams(t)[1].groupBy("clip").agg(F.count("*").alias("features")))
+
+
+@query(f"""WITH {STREAMS}, n AS (SELECT clip, count(*) AS features FROM a GROUP BY clip), s AS (SELECT clip, frame AS start, unnest(range(16)) AS place FROM v),
+x AS (SELECT clip, start, place, (start + place) * 2 AS mid, features, unnest(range(10)) AS pos FROM s JOIN n USING (clip))
+SELECT clip, start, place::INT AS place, pos::INT AS pos, greatest(0, least(mid - 4 + pos, features - 1)) AS feature FROM x""")
+def frame_stack(t: Tables) -> DataFrame:
+    """Stacks of 16 frames with the features around each frame."""
+    v, a = streams(t)
+    length = a.groupBy("clip").agg(F.count("*").alias("features"))
+    s = V.frame_stack(v.select("clip", F.col("frame").alias("start")), 16)
+    w = V.context_window(s.select("clip", "frame").distinct(), length)
+    return s.join(w, ["clip", "frame"]).select("clip", "start", "place", "pos", F.col("at").alias("feature"))

@@ -33,10 +33,10 @@ def read_path_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_media(spark: SparkSession, folder: str, extensions: tuple[str, ...] = MEDIA, recursive: bool = True) -> DataFrame:
-    """(path, length) of media files; their content is never read."""
+    """(path, length) of media files, in no order; their content is never read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder)
     kind = F.lower(F.regexp_extract("path", r"\.([^.\/]+)$", 1))
-    return found.select("path", "length").filter(kind.isin(*extensions)).orderBy("path")
+    return found.select("path", "length").filter(kind.isin(*extensions))
 
 
 def pending(inputs: DataFrame, outputs: DataFrame, key: str = "path") -> DataFrame:

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 OUT = "recording LONG, speaker STRING, start_time DOUBLE, end_time DOUBLE, turns LONG"
 STATE = "speaker STRING, start_time DOUBLE, end_time DOUBLE, turns LONG"
+ROWS = "start_time DOUBLE, seq LONG, speaker STRING, end_time DOUBLE"
+NAMES = ["recording", "speaker", "start_time", "end_time", "turns"]
+#: The state store that TurnMerger needs.
+ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 class TurnMerger(StatefulProcessor):
-    """Holds the open turn of a recording; a row of another speaker or after a gap closes it, and so does the
-    watermark once it passes the turn's end by the gap."""
+    """Holds the rows of a recording until the watermark has passed their start, so that rows which come late, but not
+    later than the watermark allows, are merged in their place. The open turn is closed by a row of another speaker or
+    after a gap, or by the watermark once it passes the turn's end by the gap."""
 
     def __init__(self, gap: float):
         self.gap = gap
@@ -23,38 +30,49 @@ class TurnMerger(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState("open", STATE)
+        self.rows = handle.getListState("rows", ROWS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))[["start_time", "seq", "speaker", "end_time"]]
+        self.rows.appendList([(float(a), int(n), None if pd.isna(s) else s, float(z)) for a, n, s, z in batch.itertuples(index=False)])
+        self.handle.registerTimer(self._after(batch["start_time"].min()))
+        yield pd.DataFrame([], columns=NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        rows = sorted(self.rows.get()) if self.rows.exists() else []
+        ready = [r for r in rows if self._after(r[0]) <= mark]
         held = self.open.get() if self.open.exists() else None
         done = []
-        batch = pd.concat(list(rows)).sort_values(["start_time", "seq"])
-        for speaker, start, end in zip(batch["speaker"], batch["start_time"], batch["end_time"], strict=True):
+        for start, _, speaker, end in ready:
             if held is not None and held[0] == speaker and start - held[2] <= self.gap:
-                held = (speaker, held[1], float(end), held[3] + 1)
+                held = (speaker, held[1], end, held[3] + 1)
             else:
-                if held is not None:
-                    done.append((key[0], *held))
-                held = (speaker, float(start), float(end), 1)
-        self.open.update(held)
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(int((held[2] + self.gap) * 1000) + 1)
-        yield pd.DataFrame(done, columns=["recording", "speaker", "start_time", "end_time", "turns"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            held = self.open.get()
-            self.open.clear()
-            yield pd.DataFrame([(key[0], *held)], columns=["recording", "speaker", "start_time", "end_time", "turns"])
+                done += [held] if held is not None else []
+                held = (speaker, start, end, 1)
+        if ready:
+            self.rows.put(rows[len(ready) :]) if len(ready) < len(rows) else self.rows.clear()
+        if held is not None and self._after(held[2] + self.gap) <= mark:
+            done.append(held)
+            held = None
+        self.open.update(held) if held is not None else self.open.clear()
+        later = ([self._after(rows[len(ready)][0])] if len(ready) < len(rows) else []) + ([self._after(held[2] + self.gap)] if held is not None else [])
+        for t in later:
+            self.handle.registerTimer(t)
+        yield pd.DataFrame([(key[0], *t) for t in done], columns=NAMES)
+
+    @staticmethod
+    def _after(seconds: float) -> int:
+        return int(seconds * 1000) + 1
 
     def close(self) -> None:
         pass
 
 
 def merge_stream(turns: DataFrame, gap: float, late: str = "10 minutes") -> DataFrame:
-    """Turn merging over a stream (recording, speaker, start_time, end_time, seq, ts); rows later than `late` are
-    dropped by the watermark and counted in the query's progress. Needs the RocksDB state store."""
-    turns.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Turn merging over a stream (recording, speaker, start_time, end_time, seq, ts), where start_time is ts in seconds;
+    rows later than `late` are dropped by the watermark and counted in the query's progress. Needs the RocksDB state
+    store: the session must name it as spark.sql.streaming.stateStore.providerClass (ROCKSDB)."""
     return turns.withWatermark("ts", late).groupBy("recording").transformWithStateInPandas(TurnMerger(gap), OUT, "append", "EventTime")
 
 
@@ -64,8 +82,45 @@ def window_stream(events: DataFrame, size: str = "30 seconds", slide: str | None
     return events.withWatermark("ts", late).groupBy(w.alias("w"), "speaker").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "speaker", "n", "total")
 
 
-def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str) -> int:
-    """Copy files that have not been seen yet from a folder to a table, each exactly once; returns the new rows."""
-    q = spark.readStream.schema(schema).parquet(source).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return sum(p["numInputRows"] for p in q.recentProgress)
+class Counter(StreamingQueryListener):
+    """Input rows of each run, added up batch by batch: a query's own progress keeps the last hundred batches only."""
+
+    def __init__(self):
+        self.rows, self.ended, self.news = {}, set(), threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self.news:
+            run = str(event.progress.runId)
+            self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def of(self, run: str, seconds: float = 60) -> int:
+        """Rows of a run once its end has been reported."""
+        with self.news:
+            if not self.news.wait_for(lambda: run in self.ended, seconds):
+                raise TimeoutError(f"the end of run {run} was not reported")
+            return self.rows.get(run, 0)
+
+
+def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, files: int | None = None) -> int:
+    """Copy files that have not been seen yet from a folder to a table, each exactly once, at most so many files a
+    batch; returns the new rows."""
+    counter = Counter()
+    spark.streams.addListener(counter)
+    try:
+        rows = spark.readStream.schema(schema).options(**({"maxFilesPerTrigger": files} if files else {})).parquet(source)
+        q = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+        return counter.of(str(q.runId))
+    finally:
+        spark.streams.removeListener(counter)
