@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from voxlake.llm import common, queries, simhash, vector_forest
+from voxlake.llm import common, line_dedup, mixing, near_text, queries, simhash, vector_forest
 
 
 def plain_fingerprint(text, width=3):
@@ -103,6 +103,22 @@ def test_keep_one(docs, clash, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_rows_that_differ_elsewhere(spark):
+    """Of equal ids and texts one row stays, the same each time, with all its columns; names of the operator's own columns
+    come back as they were."""
+    rows = [(1, "a b c d e", lang, {"k": lang}, f"t{lang}", None) for lang in "xyz"] + [(2, "other words are here now", "x", None, "t", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, m map<string,string>, t1 string, `row` int")
+    df = df.withColumnsRenamed({"lang": "__t1", "m": "a.b"}).withColumn("k_t1", F.lit("own"))
+    for keep in (simhash.keep_one, near_text.keep_one):
+        got = [sorted((tuple(r) for r in keep(df.repartition(k)).collect()), key=repr) for k in (1, 3)]
+        assert got[0] == got[1] and len(got[0]) == 2 and keep(df).columns == df.columns
+        assert got[0][0][2] in "xyz" and got[0][0][4] == "t" + got[0][0][2]
+    taken = mixing.take(df.withColumn("source", F.lit("s"))).drop("source")
+    assert taken.columns == df.columns and {tuple(map(str, r)) for r in taken.collect()} <= {tuple(map(str, r)) for r in df.collect()}
+    out = line_dedup.dedup_lines(df.withColumn("source", F.lit("s")))
+    assert out.columns == [*df.columns, "source", "n_lines", "n_removed"] and out.count() == 4
+
+
 VECS = "vec_id long, embedding array<float>, label int"
 
 
@@ -235,3 +251,12 @@ def test_vectors_of_several_lengths(spark):
     links = [sum(linked(a, b) for j, b in kept if i != j) for i, a in kept]
     comp = groups(kept, linked)
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(i, n, c) for (i, _), n, c in zip(kept, links, comp, strict=True)]
+
+
+def test_names_of_vectors(vectors):
+    """Columns with the operator's own names change nothing."""
+    own = vectors
+    for c in ("v", "cid", "n", "leaves", "leaf", "dim", "h1", "good", "links", "component_id"):
+        own = own.withColumn(c, F.lit("own"))
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    assert key(vector_forest.near_vectors(own)) == key(vector_forest.near_vectors(vectors))

@@ -62,6 +62,8 @@ def test_round_trip(docs, none, tok):
     assert all(len(x) == 128 for x in seq["ids"].to_pylist()) and index.num_rows == shard.n_docs
     mask = np.concatenate([np.array(x) for x in seq["mask"].to_pylist()])
     assert mask.sum() == shard.n_tokens and pa.types.is_fixed_size_list(seq["ids"].type)
+    own = docs.selectExpr("doc_id", "text", "'x' as shard", "'y' as path", "1 as start", "2 as n_tokens", "3 as first", "'z' as ids")
+    assert sorted(map(tuple, token_files.read_documents(token_files.write_shards(own)).collect()), key=lambda r: r[1]) == want
 
 
 def test_packing(docs, none, clash, tok):
@@ -137,13 +139,23 @@ def test_the_rule_is_the_sum_of_squares():
         assert total(counts) == min(options)
 
 
-def test_written_sequences(spark, tok):
-    df = spark.createDataFrame([(i, f"some words of text {i} " * (i * 40)) for i in range(12)], "doc_id long, text string")
-    placed = packing.pack_documents(df)
-    path = packing.write_sequences(df, placed)
-    out = {r.sequence_id: r.ids for r in spark.read.parquet(path).collect()}
-    assert sum(map(len, out.values())) == sum(len(whole(tok, r.text)) + 1 for r in df.collect())
-    assert max(map(len, out.values())) <= 4096
+def test_written_sequences(spark, tok, docs, none):
+    """Every document's ids, whole and in order, of rows with repeated and null ids too."""
+    df = spark.createDataFrame([(i % 3 or None, f"some words of text {i} " * (i * 40), "x") for i in range(12)], "doc_id long, text string, pieces string")
+    for rows in (df, docs):
+        out = [r.ids for r in spark.read.parquet(packing.write_sequences(rows)).collect()]
+        assert max(map(len, out)) <= 4096
+        want, got = {}, {}
+        for r in rows.collect():
+            ids = [*whole(tok, r.text), 1]
+            for k in range(0, len(ids), 4096):
+                want[tuple(ids[k : k + 4096])] = want.get(tuple(ids[k : k + 4096]), 0) + 1
+        for ids in out:  # pieces end with the end id or fill a sequence
+            ends = [k + 1 for k, x in enumerate(ids) if x == 1]
+            for a, z in zip([0, *ends], ends if ends and ends[-1] == len(ids) else [*ends, len(ids)], strict=False):
+                got[tuple(ids[a:z])] = got.get(tuple(ids[a:z]), 0) + 1
+        assert got == want
+    assert spark.read.parquet(packing.write_sequences(none)).count() == 0
 
 
 def plain_targets(sizes):
@@ -229,6 +241,19 @@ def test_archives(spark):
     assert warc.page_records(warc.write_archives(warc.plan_records(df.limit(0)))).count() == 0
 
 
+def test_ids_and_names_of_pages(spark):
+    """String ids with line ends, integer ids, clashing names; other types are refused when the plan is made."""
+    rows = [("a\r\n\r\nWARC/1.1", "p", 1.5), ("", "p", 1.5), (None, "q", 2.5), ("é", "p", 1.5)]
+    df = spark.createDataFrame(rows, "page_id string, html string, kind double").selectExpr("*", "'u' as url", "'d' as digest", "7 as bytes", "8 as best", "9 as n", "'x' as refers_to")
+    files = warc.write_archives(warc.plan_records(df))
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.page_records(files, df.schema["page_id"].dataType).collect()}
+    assert got == {"a\r\n\r\nWARC/1.1": ("revisit", "é"), "": ("revisit", "é"), None: ("response", None), "é": ("response", None)}
+    small = df.selectExpr("cast(length(page_id) as int) as page_id", "url", "html")
+    assert warc.page_records(warc.write_archives(warc.plan_records(small)), small.schema["page_id"].dataType).schema["page_id"].dataType.simpleString() == "int"
+    with pytest.raises(TypeError):
+        warc.plan_records(df, id_col="kind")
+
+
 def test_equal_payloads_below_the_limit_stay(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     kinds = {(r.page_id, r.kind) for r in warc.plan_records(df, least=100).collect()}

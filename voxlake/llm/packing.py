@@ -147,28 +147,38 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece.
 
-    A null or empty text is one piece of the end id alone. Repeated rows are packed as often as they come;
-    ties among equal lengths are ordered by id, piece and checksum. An empty table gives an empty result.
+    A null or empty text is one piece of the end id alone; texts may be of any length. Repeated rows are packed as often
+    as they come; ties among equal lengths are ordered by id, piece and checksum. Other columns, of any name, are not
+    looked at. An empty table gives an empty result. The sequences themselves: write_sequences().
     """
     return pack(table(pieces(docs, id_col, text_col, tokenizer), "encoded"))
 
 
-def write_sequences(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> str:
-    """Write the packed sequences themselves, (sequence_id, ids), as a table; returns its path. Documents with
-    repeated ids must have one text."""
+def write_sequences(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> str:
+    """Pack docs and write the sequences themselves, (sequence_id, ids), as a table; returns its path. Rows are told
+    apart by a number of their own, so ids that repeat or are null lose nothing. Null texts are empty; a text may be of
+    any length; other columns, of any name, are not looked at; an empty table gives an empty one."""
     prepare(docs.sparkSession)
     model = tokenizer or default_path()
-    at = placed.select("doc_id", "start", "length", "sequence_id", "offset")
-    rows = at.join(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).dropDuplicates(["doc_id"]), "doc_id")
+    rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = table(rows, "numbered")
+    at = pack_documents(rows, "doc_id", "text", tokenizer).groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(model)
         for b in batches:
-            text, start, length = (b.column(c).to_pylist() for c in ("text", "start", "length"))
-            ids = [np.append(x, END)[s : s + n].astype(np.int32) for x, s, n in zip(encode(text), start, length, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("sequence_id"), b.column("offset"), pa.array(ids, pa.list_(pa.int32()))], ["sequence_id", "offset", "ids"])
-
-    cut = rows.mapInArrow(run, "sequence_id long, offset long, ids array<int>")
+            done = 0
+            for part in in_parts(b.column("text")):
+                out, first = [], 0
+                ids, sizes = with_end(*encode.flat(part), END)
+                for size, own in zip(sizes.tolist(), b.column("pieces").slice(done, len(part)).to_pylist(), strict=True):
+                    out += [(p["sequence_id"], p["offset"], ids[first + p["start"] : first + p["start"] + p["length"]].astype(np.int32)) for p in own]
+                    first += size
+                done += len(part)
+                seq, offset, cut = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seq, pa.int64()), pa.array(offset, pa.int64()), pa.array(cut, pa.list_(pa.int32()))], ["sequence_id", "offset", "ids"])
+
+    cut = rows.join(at, "doc_id").select("text", "pieces").mapInArrow(run, "sequence_id long, offset long, ids array<int>")
     whole = cut.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
     path = new_path(docs.sparkSession, "sequences")
     whole.write.parquet(path)

@@ -40,7 +40,8 @@ def packing_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warc_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as WARC records, read back from the archives chunk by chunk."""
-    return warc.page_records(warc.write_archives(warc.plan_records(read(spark, sf_dir, "pages"))))
+    pages = read(spark, sf_dir, "pages")
+    return warc.page_records(warc.write_archives(warc.plan_records(pages)), pages.schema["page_id"].dataType)
 
 
 def embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import json
 import re
 import uuid
 import zlib
@@ -19,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, IntegralType, LongType, StringType, StructType
 
 from .common import new_path, prepare, table
 from .token_files import place
@@ -29,27 +32,34 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
 
 
-
 def clean(value: str | None) -> str:
     """A header value: line ends, which would start another header, are percent-encoded."""
     return re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", value or "")
 
 
-def head(kind: str, page_id: int | None, row: int, url: str | None, digest: str, length: int, full: int, refers: int | None) -> bytes:
-    fields = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{row}')}>", "WARC-Date": DATE, "WARC-Target-URI": clean(url), "WARC-Payload-Digest": f"sha1:{digest}", "WARC-Page-ID": "" if page_id is None else str(page_id), "WARC-Payload-Length": str(full), "Content-Type": "text/html; charset=utf-8"}
+def head(kind: str, page_id: int | str | None, row: int, url: str | None, digest: str, length: int, full: int, refers: int | str | None) -> bytes:
+    """Ids stand as JSON values, so numbers, strings of any characters and null come back as they were."""
+    fields = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{row}')}>", "WARC-Date": DATE, "WARC-Target-URI": clean(url), "WARC-Payload-Digest": f"sha1:{digest}", "WARC-Page-ID": json.dumps(page_id), "WARC-Payload-Length": str(full), "Content-Type": "text/html; charset=utf-8"}
     if kind == "revisit":
-        fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To-Page": str(refers)}
+        fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To-Page": json.dumps(refers)}
     fields["Content-Length"] = str(length)
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()) + "\r\n").encode()
 
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 0) -> DataFrame:
-    """(page_id, url, html, digest hex, kind, refers_to): of equal payloads of at least `least` bytes the
-    largest page_id is response and the others revisit it. Rows that share that id are all responses; null
-    ids revisit, or are responses where the payload has no other."""
+    """(page_id, url, html, digest hex, bytes, kind, refers_to), one row per page: of equal payloads of at least `least`
+    bytes the largest page_id is response and the others revisit it. Rows that share that id are all responses; null
+    ids revisit, or are responses where the payload has no other. A null html is an empty payload; payloads may be of any
+    length. Ids are whole numbers or strings, other types are refused. Other columns, of any name, are left out; an
+    empty table gives an empty result. Only digests that several pages have are looked up: they are a table of their
+    own, so Spark knows whether it can be broadcast and the payloads need not be shuffled."""
+    kind = pages.schema[id_col].dataType
+    if not isinstance(kind, (IntegralType, StringType)):
+        raise TypeError(f"ids of WARC records are whole numbers or strings, not {kind.simpleString()}")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "bytes": F.octet_length("html").cast("long")})
-    best = rows.filter(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("page_id").alias("best"))
+    best = rows.filter(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max("page_id").alias("best"), F.count("*").alias("n"))
+    best = table(best.filter("n > 1").drop("n"), "repeated-payloads")
     rows = rows.join(best.withColumnsRenamed({"digest": "d2", "bytes": "b2"}), F.expr("digest = d2 and bytes = b2"), "left")
     again = F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best"))
     return rows.select("page_id", "url", "html", "digest", "bytes", F.when(again, "revisit").otherwise("response").alias("kind"), F.when(again, F.col("best")).alias("refers_to"))
@@ -143,15 +153,18 @@ def read_records(path: str, chunk: int = CHUNK) -> Iterator[tuple[int, dict[str,
             record += 1
 
 
-CHUNKS = "path string, record long, page_id long, url string, kind string, refers_to long, payload_bytes long, payload_digest string, chunk int, data binary, digest_so_far string, last boolean"
+def chunk_schema(id_type: DataType) -> StructType:
+    kind = id_type.simpleString()
+    return StructType.fromDDL(f"path string, record long, page_id {kind}, url string, kind string, refers_to {kind}, payload_bytes long, payload_digest string, chunk int, data binary, digest_so_far string, last boolean")
 
 
-def chunks(archives: DataFrame, data: bool = True, chunk: int = CHUNK) -> DataFrame:
+def chunks(archives: DataFrame, data: bool = True, chunk: int = CHUNK, id_type: DataType | None = None) -> DataFrame:
     """The chunked record table of the archives. A record without payload has one empty chunk; data=False
-    leaves the bytes out and keeps lengths and digests. Batches hold a few megabytes at most."""
+    leaves the bytes out and keeps lengths and digests. Batches hold a few megabytes at most. id_type: type of the ids
+    that the archives hold (long if not given)."""
+    schema = chunk_schema(id_type or LongType())
     archives = archives.select("path").repartition(max(1, archives.count()), "path")
-    names = [x.split()[0] for x in CHUNKS.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.string(), pa.bool_()]
+    names, kinds = schema.names, [to_arrow_type(f.dataType) for f in schema]
 
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -161,8 +174,8 @@ def chunks(archives: DataFrame, data: bool = True, chunk: int = CHUNK) -> DataFr
         for b in batches:
             for path in b.column(0).to_pylist():
                 for record, h, number, part, digest, last in read_records(path, chunk):
-                    page, refers = h["WARC-Page-ID"], h.get("WARC-Refers-To-Page")
-                    rows.append((path, record, int(page) if page else None, h["WARC-Target-URI"], h["WARC-Type"], int(refers) if refers else None, int(h["WARC-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), number, part if data else None, digest, last))
+                    page, refers = json.loads(h["WARC-Page-ID"]), json.loads(h.get("WARC-Refers-To-Page", "null"))
+                    rows.append((path, record, page, h["WARC-Target-URI"], h["WARC-Type"], refers, int(h["WARC-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), number, part if data else None, digest, last))
                     size += len(part) if data else 0
                     if len(rows) >= 2000 or size >= 4 * chunk:
                         yield as_batch(rows)
@@ -170,13 +183,13 @@ def chunks(archives: DataFrame, data: bool = True, chunk: int = CHUNK) -> DataFr
         if rows:
             yield as_batch(rows)
 
-    return archives.mapInArrow(run, CHUNKS)
+    return archives.mapInArrow(run, schema)
 
 
-def page_records(archives: DataFrame) -> DataFrame:
+def page_records(archives: DataFrame, id_type: DataType | None = None) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record, from the archives. A
     response's digest is the one that its last chunk carries; reading fails if that is not the header's."""
-    last = chunks(archives, data=False).filter("last")
+    last = chunks(archives, data=False, id_type=id_type).filter("last")
     same = F.assert_true((F.col("kind") == "revisit") | (F.col("digest_so_far") == F.col("payload_digest")), "a payload does not have its digest")
     return last.withColumn("ok", same).filter("ok is null").select("page_id", "payload_bytes", F.when(F.col("kind") == "revisit", F.col("payload_digest")).otherwise(F.col("digest_so_far")).alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
 
