@@ -229,6 +229,11 @@ def test_frechet_distance_of_equal_tables(spark):
     assert vectors.frechet_distance(v, v.select(F.transform("vec", lambda x: x + 1).alias("vec"))) == pytest.approx(3)
 
 
+def test_sums_of_some_vectors(spark):
+    v = spark.createDataFrame([([1.0, float(i)],) for i in range(50)], "vec array<double>")
+    assert {r.n for r in vectors.feature_sums(v, most=20).collect()} == {20} and {r.n for r in vectors.feature_sums(v).collect()} == {50}
+
+
 def test_training_pairs(spark):
     p = curation.training_pairs(spark.range(300).select(F.col("id").alias("clip"), (F.col("id") + 20).alias("frames")), 16, 1)
     assert p.filter("start = wrong or start + 16 > frames or wrong + 16 > frames or abs(reference - start) < 16 or reference + 16 > frames or reference < 0").count() == 0

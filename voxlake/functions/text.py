@@ -265,6 +265,7 @@ def video_id(url: Column) -> Column:
     """The video's id by the form of its address; null for clips and unknown forms."""
     after = lambda mark, n: F.substring(F.element_at(F.split(url, F.lit(rf"\Q{mark}\E").cast("string")), 2), 1, n)
     out = F.when(F.contains(url, F.lit("clip")), F.lit(None).cast("string"))
+    # What stands before the id in each form of address, in order, and the id's length.
     for mark, n in (("watch?v=", 11), ("shorts/", 11), ("youtu.be/", 11), ("&v=", 11), ("bilibili.com/video/", 12), ("douyin.com/video/", 19), ("douyin.com/user/self?modal_id=", 19)):
         out = out.when(F.contains(url, F.lit(mark)), after(mark, n))
     return out

@@ -69,8 +69,9 @@ def drift(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.agg(F.avg(d).alias("drift"), F.count("*").alias("pairs"))
 
 
-def feature_sums(features: DataFrame, vec: str = "vec") -> DataFrame:
-    """(i, j, n, s, ss): count, sum of component i, and sum of products of components i and j (i <= j).
+def feature_sums(features: DataFrame, vec: str = "vec", most: int | None = None) -> DataFrame:
+    """(i, j, n, s, ss): count, sum of component i, and sum of products of components i and j (i <= j), of all vectors
+    or of at most so many.
 
     Each task adds up its rows in numpy; partial sums are merged by one aggregation of d * (d + 1) / 2 keys."""
 
@@ -86,7 +87,8 @@ def feature_sums(features: DataFrame, vec: str = "vec") -> DataFrame:
             i, j = np.triu_indices(len(total))
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i.astype(np.int32), j.astype(np.int32), np.full(len(i), n), total[i], squares[i, j])], ["i", "j", "n", "s", "ss"])
 
-    part = features.select(vec).filter(F.col(vec).isNotNull()).mapInArrow(run, "i int, j int, n long, s double, ss double")
+    some = features.select(vec).filter(F.col(vec).isNotNull())
+    part = (some if most is None else some.limit(most)).mapInArrow(run, "i int, j int, n long, s double, ss double")
     return part.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
 
 

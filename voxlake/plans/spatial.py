@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import spatial as S
@@ -100,11 +100,20 @@ def nms(t: Tables) -> DataFrame:
     return S.suppress(padded(t).select(F.col("frame").alias("image"), F.col("det").alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2"))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id AS video, user_id % 3 AS shot, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, event_id AS box, event_id % 50 * 3 AS x FROM events),
+g AS (SELECT video, shot, list(x ORDER BY k) AS xs, count(*) AS n FROM e GROUP BY 1, 2),
+r AS (SELECT video, shot, xs, n, []::BIGINT[] AS used, 0::BIGINT AS at_, -1::BIGINT AS track FROM g UNION ALL
+SELECT video, shot, xs, n, list_append(used, coalesce(nxt, free)), coalesce(nxt, free), CASE WHEN nxt IS NULL THEN track + 1 ELSE track END FROM
+(SELECT *, CASE WHEN at_ > 0 THEN list_filter(range(at_ + 1, least(at_ + 8, n) + 1), lambda j: NOT list_contains(used, j) AND 200 - abs(xs[j] - xs[at_]) > 0.5 * (200 + abs(xs[j] - xs[at_])))[1] END AS nxt,
+ list_filter(range(1, n + 1), lambda j: NOT list_contains(used, j))[1] AS free FROM r WHERE len(used) < n)),
+t AS (SELECT video, track FROM r WHERE at_ > 0 GROUP BY 1, 2 HAVING count(*) > 10),
+m AS (SELECT video, track, row_number() OVER (PARTITION BY video ORDER BY track) - 1 AS number FROM t)
+SELECT e.video, e.shot, m.number::INT AS track, e.k * 3 AS frame, e.box FROM r JOIN m USING (video, track) JOIN e ON e.video = r.video AND e.k = r.at_""")
 def iou_track(t: Tables) -> DataFrame:
-    """Boxes that drift slowly; one user is one video."""
-    e = t.events.select(F.col("user_id").alias("video"), (F.col("user_id") % 3).alias("shot"), F.floor(F.col("event_id") / 40).alias("frame"), F.col("event_id").alias("box"), (F.col("event_id") % 50).alias("x1"))
-    return S.tracks(e.withColumns({"y1": F.col("x1") * 0, "x2": F.col("x1") + 200, "y2": F.lit(200)}))
+    """Boxes that jump about, one in every third frame; one user is one video."""
+    order = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")).cast("long")
+    e = t.events.select(F.col("user_id").alias("video"), (F.col("user_id") % 3).alias("shot"), (order * 3).alias("frame"), F.col("event_id").alias("box"), (F.col("event_id") % 50 * 3).alias("x1"))
+    return S.tracks(e.withColumns({"y1": F.col("x1") * 0, "x2": F.col("x1") + 200, "y2": F.lit(200)}), longer=10)
 
 
 @query("""WITH b AS (SELECT user_id AS track, (epoch_us(ts) // 3600000000) AS frame, min(value) AS x1 FROM events GROUP BY 1, 2), n AS (SELECT *, lead(frame) OVER w AS nxt, lead(x1) OVER w AS to_ FROM b WINDOW w AS (PARTITION BY track ORDER BY frame)),
