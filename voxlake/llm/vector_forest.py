@@ -7,7 +7,8 @@ are equal are one class from the start and are never compared with each other.
 
 Trees grow in rounds of up to LEVELS levels. In each round the split points of every leaf that is still too
 large are fitted by a task of its own, on a sample of bounded size, so leaves stay small at any number of
-vectors. All nodes of one level of a tree share their direction.
+vectors. All nodes of one level of a tree share their direction. A round is a map over the vectors with their
+leaves; they are shuffled once, to the leaves' comparison.
 """
 
 from __future__ import annotations
@@ -200,7 +201,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     Two rows are linked if the forest meets them and their cosine in double precision is at least `similar`.
     n_links counts other rows that are linked directly, component_id is the smallest id that links reach, kept
     says that the id is that one. Null or zero vectors and vectors with null, NaN or infinite components have
-    no links; vectors of different lengths are not linked. Repeated rows link with each other. An empty table gives an empty result; other columns are ignored.
+    no links; vectors of different lengths are not linked. Repeated rows link with each other. Vectors may be of any
+    length; other columns, of any name, are not looked at. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     prepare(spark)
