@@ -7,6 +7,7 @@ come from a pandas UDF over whole texts; texts without digits never reach it.
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import Column
@@ -173,7 +174,8 @@ def _expand(texts: pd.Series, langs: pd.Series) -> pd.Series:
 
 
 def expand_numbers(text: Column, lang: Column) -> Column:
-    return F.when(F.rlike(text, F.lit("[0-9]")) & lang.isin(*LANGUAGES), _expand(text, lang)).otherwise(text)
+    some = F.rlike(text, F.lit("[0-9]")) & lang.isin(*LANGUAGES)
+    return F.coalesce(_expand(F.when(some, text), lang), text)  # other texts don't travel to Python
 
 
 # English number words beyond 0 to 19 and the tens: names of powers of a thousand.
@@ -185,98 +187,138 @@ MARKS = {"first": "st", "second": "nd", "third": "rd"}
 # Words before and behind a number that become its sign or mark.
 SIGNS = {"minus": "-", "negative": "-", "plus": "+", "positive": "+"}
 CURRENCIES = {"pound": "£", "pounds": "£", "euro": "€", "euros": "€", "dollar": "$", "dollars": "$", "cent": "¢", "cents": "¢"}
-
-
-def _suffixed() -> dict[str, tuple[str, str]]:
-    """Ordinals and plurals of number words: (number word, what follows the digits)."""
-    out = {}
-    for w in [*SMALL["en"], *TENS["en"], *SCALE_WORDS]:
+# What is done to a text before its words are read (blanks for hyphens and between digits and letters, none before an
+# ending) and after (cents joined to their amount, "one" for 1).
+BEFORE_WORDS = [(r"(?<=[a-z])-(?=[a-z])", " "), (r"([a-z])([0-9])", r"\1 \2"), (r"([0-9])([a-z])", r"\1 \2"), (r"([0-9])\s+(st|nd|rd|th|s)\b", r"\1\2")]
+HALF = re.compile(r"(\S+)\s+and\s+a\s+half\b")
+CENTS, ONLY_CENTS, LONE_ONE = re.compile(r"([€£$])([0-9]+) (?:and )?¢([0-9]{1,2})\b"), re.compile(r"[€£$]0.([0-9]{1,2})\b"), re.compile(r"\b1(s?)\b")
+NUMERAL = re.compile(r"([-+£€$¢]?)([0-9]+(?:\.[0-9]+)?)$")
+
+
+def _vocabulary() -> dict[str, tuple[str, int, str]]:
+    """Number words: (unit, ten or scale; number; what follows the digits of an ordinal or a plural)."""
+    out = {w: ("unit" if i else "zero", i, "") for i, w in enumerate(SMALL["en"])} | {"o": ("zero", 0, ""), "oh": ("zero", 0, "")}
+    out |= {w: ("ten", 10 * (i + 2), "") for i, w in enumerate(TENS["en"])} | {w: ("scale", n, "") for w, n in SCALE_WORDS.items()}
+    for w, (kind, n, _) in list(out.items()):
+        if w in ("o", "oh"):
+            continue
         ordinal = ODD_ORDINALS.get(w, w[:-1] + "ieth" if w.endswith("y") else w + "th")
-        out[ordinal] = (w, MARKS.get(ordinal, "th"))
-        out[w[:-1] + "ies" if w.endswith("y") else w + ("es" if w.endswith("x") else "s")] = (w, "s")
+        out[ordinal] = (kind if n else "unit", n, MARKS.get(ordinal, "th"))
+        if n:
+            out[w[:-1] + "ies" if w.endswith("y") else w + ("es" if w.endswith("x") else "s")] = (kind, n, "s")
     return out
 
 
-SUFFIXED = _suffixed()
+VOCABULARY = _vocabulary()
+#: All words that can belong to a number.
+NUMBER_WORDS = {*VOCABULARY, *SIGNS, *CURRENCIES, "per", "percent", "and", "double", "triple", "point"}
+
+
+class _Words:
+    """Reads words in order. The open number is an int as long as words add up (twenty one, two hundred), and a string of
+    digits once they only follow each other (one oh one, nineteen ninety)."""
+
+    def __init__(self):
+        self.out: list[str] = []
+        self.sign, self.open = "", None
+
+    def put(self, word: str | int | None = None, mark: str = "") -> None:
+        """Close with the word, or with the open number if there is one."""
+        word = self.open if word is None else word
+        if word is not None:
+            self.out.append(f"{self.sign}{word}{mark}")
+            self.sign, self.open = "", None
+
+    def follow(self, digits: str) -> None:
+        self.open = f"{self.open or ''}{digits}"
+
+    def add(self, n: int, before: str) -> None:
+        """A unit or ten behind the open number; before: kind of the word before."""
+        if self.open is None:
+            self.open = n
+        elif isinstance(self.open, str) or (n < 20 and before == "unit"):
+            self.open = f"{self.open[:-1]}{n}" if n < 10 and before == "ten" else f"{self.open}{n}"
+        else:
+            self.open = self.open + n if self.open % (10 if n < 10 else 100) == 0 else f"{self.open}{n}"
+
+    def scale(self, n: int) -> None:
+        if self.open is None:
+            self.open = n
+        elif isinstance(self.open, int) and self.open:
+            self.open += self.open % 1000 * (n - 1)
+        else:
+            try:
+                whole = Fraction(self.open) * n
+            except ValueError:
+                whole = Fraction(1, 2)
+            if whole.denominator == 1:
+                self.open = whole.numerator
+            else:
+                self.put()
+                self.open = n
+
+    def numeral(self, sign: str, digits: str) -> None:
+        if isinstance(self.open, str) and self.open.endswith("."):
+            self.open += sign + digits
+            return
+        self.put()
+        self.sign = sign or self.sign
+        self.open = digits if Fraction(digits).denominator > 1 else int(Fraction(digits))
 
 
 def digits(text: str) -> str:
-    """Spelled English numbers as digits: twenty one -> 21, one hundred and two -> 102, three point five -> 3.5,
-    one oh one -> 101, double four -> 44, ten percent -> 10%, five dollars -> $5, twenty first -> 21st, nineteen
-    sixties -> 1960s, minus three -> -3."""
-    units = {w: i for i, w in enumerate(SMALL["en"])} | {"oh": 0, "o": 0}
-    tens = {w: 10 * (i + 2) for i, w in enumerate(TENS["en"])}
-    words = re.sub(r"(?<=[a-z])-(?=[a-z])", " ", text).split()
-    out, i = [], 0
-
-    def number(i: int) -> tuple[str | None, int]:
-        """Longest number from word i on, as (digits, next word)."""
-        start, total, part, last, runs, suffix = i, 0, None, None, [], ""
-        while i < len(words) and not suffix:
-            w, ends = SUFFIXED.get(words[i], (words[i], ""))
-            if w in ("double", "triple") and i + 1 < len(words) and words[i + 1] in units and units[words[i + 1]] < 10:
-                runs.append(str(units[words[i + 1]]) * (2 if w == "double" else 3))
-                last, part, i = "run", None, i + 2
-                continue
-            if w in units:
-                n = units[w]
-                if w in ("oh", "o") and not (runs or part is not None):
-                    break
-                if part is None:
-                    part = n
-                elif last == "ten" and 0 < n < 10 or last == "hundred":
-                    part += n
-                else:
-                    runs.append(str(part))
-                    part = n
-                last = "unit"
-            elif w in tens:
-                if part is None:
-                    part = tens[w]
-                elif last == "hundred":
-                    part += tens[w]
-                else:
-                    runs.append(str(part))
-                    part = tens[w]
-                last = "ten"
-            elif w == "hundred" and part is not None:
-                part, last = part * 100, "hundred"
-            elif w in SCALE_WORDS and part is not None and w != "hundred":
-                total, part, last = total + part * SCALE_WORDS[w], None, "scale"
-            elif w == "and" and last in ("hundred", "scale") and i + 1 < len(words) and (words[i + 1] in units or words[i + 1] in tens):
-                last = "hundred" if last == "hundred" else "scale"
+    """Spelled English numbers as digits: twenty one -> 21, one hundred and two -> 102, three point five -> 3.5, two and
+    a half -> 2.5, one oh one -> 101, double four -> 44, ten percent -> 10%, $20 million -> $20000000, two euros and ten
+    cents -> €2.10, twenty first -> 21st, nineteen sixties -> 1960s, minus three -> -3. A 1 alone is written one."""
+    text = HALF.sub(lambda m: f"{m[1]} point five" if VOCABULARY.get(m[1], ("", 0, "s"))[2] == "" else m[0], text)
+    for pattern, word in BEFORE_WORDS:
+        text = re.sub(pattern, word, text)
+    words = text.split()
+    kind = lambda k: VOCABULARY.get(words[k], ("", 0, ""))[0] if 0 <= k < len(words) and not VOCABULARY.get(words[k], ("", 0, ""))[2] else ""
+    numeric = lambda k: k < len(words) and words[k][0].isdigit() and NUMERAL.match(words[k]) is not None
+    r, k = _Words(), -1
+    while (k := k + 1) < len(words):
+        w, more = words[k], k + 1 < len(words) and (words[k + 1] in NUMBER_WORDS or numeric(k + 1))
+        if m := NUMERAL.match(w):
+            r.numeral(m[1], m[2])
+        elif w in VOCABULARY:
+            what, n, mark = VOCABULARY[w]
+            if what == "zero":
+                r.follow("0")
+            elif what == "scale":
+                r.scale(n)
             else:
-                break
-            i, suffix = i + 1, ends
-        if i == start or (part is None and not total and not runs):
-            return None, start
-        n = "".join(runs) + (str(total + (part or 0)) if part is not None or total else "") + suffix
-        if not suffix and i + 1 < len(words) and words[i] == "point" and words[i + 1] in units and units[words[i + 1]] < 10:
-            j, tail = i + 1, ""
-            while j < len(words) and words[j] in units and units[words[j]] < 10:
-                tail, j = tail + str(units[words[j]]), j + 1
-            return f"{n}.{tail}", j
-        return n, i
-
-    while i < len(words):
-        sign = SIGNS.get(words[i], "")
-        n, j = number(i + 1 if sign else i)
-        if n is None and sign and i + 1 < len(words) and words[i + 1][0].isdigit():
-            n, j = words[i + 1], i + 2
-        if n is None:
-            out.append(words[i])
-            i += 1
-            continue
-        unit = words[j] if j < len(words) else ""
-        if unit == "percent":
-            n, j = f"{sign}{n}%", j + 1
-        elif unit in CURRENCIES and not n.endswith(("s", "t", "d", "h")):
-            n, j = f"{sign}{CURRENCIES[unit]}{n}", j + 1
+                r.add(n, kind(k - 1))
+            if mark:
+                r.put(mark=mark)
+        elif w in SIGNS:
+            r.put()
+            if more:
+                r.sign = SIGNS[w]
+            else:
+                r.put(w)
+        elif r.open is not None and w in CURRENCIES:
+            r.sign = CURRENCIES[w]
+            r.put()
+        elif r.open is not None and w == "percent":
+            r.put(mark="%")
+        elif r.open is not None and w == "per" and k + 1 < len(words) and words[k + 1] == "cent":
+            r.put(mark="%")
+            k += 1
+        elif w == "and" and more and kind(k - 1) == "scale":
+            pass
+        elif w in ("double", "triple") and more and kind(k + 1) in ("zero", "unit"):
+            r.follow(str(VOCABULARY[words[k + 1]][1]) * (2 if w == "double" else 3))
+            k += 1
+        elif w == "point" and more:
+            if kind(k + 1) in ("zero", "unit", "ten") or numeric(k + 1):
+                r.follow(".")
         else:
-            n = sign + n
-        out.append(n)
-        i = j
-    return " ".join(out)
+            r.put()
+            r.put(w)
+    r.put()
+    out = CENTS.sub(lambda m: f"{m[1]}{m[2]}.{int(m[3]):02d}", " ".join(r.out))
+    return LONE_ONE.sub(r"one\1", ONLY_CENTS.sub(lambda m: f"¢{int(m[1])}", out))
 
 
 @F.pandas_udf(T.StringType())
