@@ -73,11 +73,9 @@ def test_stream_of_turns_equals_the_batch(spark):
 
 def test_ingest_counts_every_batch(spark, tmp_path):
     """More batches than a query's progress keeps."""
-    spark.range(110).repartition(110, "id").write.parquet(str(tmp_path / "in"))
-    files = len(list((tmp_path / "in").glob("*.parquet")))
-    many = spark.range(0, 130, 1, 130).write.mode("append").parquet(str(tmp_path / "in"))
-    assert many is None and files > 0
-    assert streams.ingest(spark, str(tmp_path / "in"), "id long", str(tmp_path / "out"), str(tmp_path / "state"), files=1) == 240
+    spark.range(0, 120, 1, 120).write.parquet(str(tmp_path / "in"))
+    assert len(list((tmp_path / "in").glob("*.parquet"))) == 120
+    assert streams.ingest(spark, str(tmp_path / "in"), "id long", str(tmp_path / "out"), str(tmp_path / "state"), files=1) == 120
 
 
 def test_late_rows_are_merged_in_their_place(spark, tmp_path):
@@ -87,8 +85,9 @@ def test_late_rows_are_merged_in_their_place(spark, tmp_path):
     rows = [(1, s, float(a), a + 5.0, i, at(a)) for i, (s, a) in enumerate([("A", 1000), ("A", 1010), ("B", 1020), ("A", 1030), ("A", 1037), ("A", 5000), ("A", 9000)])]
     for k, part in enumerate(([0, 3], [1, 4], [2], [5], [6])):
         spark.createDataFrame([rows[i] for i in part], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        for f in (tmp_path / "in").glob("part-*.parquet"):
-            os.utime(f, (k, k)) if f.stat().st_mtime > 1e6 else None
+        new = [f for f in (tmp_path / "in").glob("part-*.parquet") if f.stat().st_mtime > 1e6]
+        for f in new:  # files are read in the order of their times
+            os.utime(f, (k, k))
     s = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     own = spark.conf.get(streams.ROCKSDB[0], None)
     with plans.setting(spark, *streams.ROCKSDB):
