@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, prepare, rest_key, table, text_key, unpacked, whole
+from .common import WORD, prepare, rest_key, table, unpacked, whole
 
 #: Documents in a block, and open documents that meet at the next level of the tree.
 BLOCK, FAN = 4096, 64
@@ -100,20 +100,25 @@ def _with(out: list) -> pa.RecordBatch:
     return t.set_column(t.schema.get_field_index("p"), "p", pa.array([float(p) for _, p in out])).to_batches()[0]
 
 
+def row_key(text: Column, rest: Column | None) -> list[Column]:
+    """A hash of the text, and one of the text and rest, a hash of other columns."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(7919), text, *([] if rest is None else [rest]))]
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, rest: Column | None = None) -> DataFrame:
     """(doc_id, t1, t2, source, size, source_size, target, copies, taken) for every input row.
 
     size: words of the text (null or empty: 0). Sources in code point order, null last, weigh 1, 2, 3,
     repeating, and share all words; a target stops at 3 times its source's words and the rest is shared
     again by weight. copies is 0 to 3 and taken is copies * size. Random numbers come from hashes of id and
-    text (and of rest, a hash of other columns, if given), so reruns agree; rows repeated in full are
-    interchangeable. t1 and t2 stand for text and rest. Texts may be of any length; other columns, of any name, are
+    text, so reruns agree; rows repeated in full are interchangeable. t1 and t2 stand for the text and, if given, rest, a
+    hash of other columns. Texts may be of any length; other columns, of any name, are
     not looked at. A source without words has target 0;
     an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     t = F.coalesce(F.col(text_col), F.lit(""))
-    t1, t2 = text_key(t, *([] if rest is None else [rest]))
+    t1, t2 = row_key(t, rest)
     rows = docs.select(F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), F.col(source_col).cast("string").alias("source"), F.regexp_count(t, F.lit(WORD)).cast("long").alias("size"))
     rows = table(rows, "sizes")
     src = table(targets(rows.select("source", "size")), "targets")
@@ -148,7 +153,7 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rest = rest_key(docs, id_col, text_col, source_col)
     got = mix(docs, id_col, text_col, source_col, rest=rest).groupBy("doc_id", "t1", "t2", "source").agg(F.sum("copies").alias("n"))
     got = got.filter("n > 0").withColumnsRenamed({c: f"g_{c}" for c in ("doc_id", "t1", "t2", "source")})
-    t1, t2 = text_key(F.coalesce(F.col(text_col), F.lit("")), rest)
+    t1, t2 = row_key(F.coalesce(F.col(text_col), F.lit("")), rest)
     mine = docs.select(whole(docs), F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), F.col(source_col).cast("string").alias("source"))
     mine = mine.dropDuplicates(["t1", "t2", "doc_id", "source"])
     mine = mine.join(got, F.expr("t1 = g_t1 and t2 = g_t2 and doc_id <=> g_doc_id and source <=> g_source"))
