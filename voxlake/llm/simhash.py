@@ -238,15 +238,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without near duplicates: of each group the row of smallest id (nulls last) stays."""
-    return first_of(docs, near_duplicates(docs, id_col, text_col), id_col, text_col)
+    found = near_duplicates(docs, id_col, text_col).groupBy("root").agg(F.min(F.expr(FIRST)).alias("k"))
+    return first_of(docs, found, id_col, text_col)
+
+
+#: The order of rows in a group: by id, nulls last, then by hashes of text and other columns. Needs no session.
+FIRST = "struct(doc_id is null as none, doc_id, t1, t2, t3)"
 
 
 def first_of(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of docs that come first in their group; found has (doc_id, t1, t2, t3, root) of every row. Rows of one
-    id are ordered by hashes of text and other columns; of rows repeated in full one stays. All columns of docs,
-    whatever their names, come back as they are."""
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2", "t3")
-    kept = found.groupBy("root").agg(F.min(first).alias("k")).select(*[F.col(f"k.{c}").alias(f"k_{c}") for c in ("doc_id", "t1", "t2", "t3")])
+    """The rows of docs that are the first of a group; found has k, FIRST of the first row of every group. Of rows
+    repeated in full one stays. All columns of docs, whatever their names, come back as they are."""
+    kept = found.select(*[F.col(f"k.{c}").alias(f"k_{c}") for c in ("doc_id", "t1", "t2", "t3")])
     t1, t2 = text_key(F.coalesce(F.col(text_col), F.lit("")))
     mine = docs.select(whole(docs), F.col(id_col).alias("doc_id"), t1.alias("t1"), t2.alias("t2"), rest_key(docs, id_col, text_col).alias("t3"))
     mine = mine.join(kept, F.expr("t1 = k_t1 and t2 = k_t2 and t3 = k_t3 and doc_id <=> k_doc_id"), "left_semi")
