@@ -6,6 +6,9 @@ group in applyInPandas: a recording, an image, or a shot of a video.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -109,17 +112,33 @@ def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, af
     """(image, box, score): per image, boxes in falling order of score; one that overlaps a kept one by more than
     most_overlap goes. Only scores over least count, the best `before` enter and the best `after` stay."""
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["score", "box"], ascending=[False, True]).head(before)
-        b, left, kept = g[["x1", "y1", "x2", "y2"]].to_numpy(float), np.arange(len(g)), []
-        while len(left) and len(kept) < after:
+    def kept(b: np.ndarray) -> list[int]:
+        """Rows of one image that stay; they come in falling order of score."""
+        left, out = np.arange(min(len(b), before)), []
+        while len(left) and len(out) < after:
             i, left = left[0], left[1:]
-            kept.append(i)
-            left = left[_overlap(b[i], b[left]) <= most_overlap]
-        return g.iloc[kept][["image", "box", "score"]]
+            out.append(int(i))
+            left = left[_overlap(b[i], b[left]) <= most_overlap] if len(left) else left
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Images come one after the other; the last one of a batch may go on in the next."""
+        held = None
+        for g in chain(batches, [None]):
+            last = g is None
+            g = held if last else g if held is None else pd.concat([held, g], ignore_index=True)
+            if g is None or not len(g):
+                continue
+            image, b = pd.factorize(g["image"], use_na_sentinel=False)[0], g[["x1", "y1", "x2", "y2"]].to_numpy(float)
+            cuts = [0, *(np.flatnonzero(np.diff(image)) + 1).tolist(), len(g)]
+            held = None if last else g.iloc[cuts[-2] :]
+            rows = [x + k for x, y in zip(cuts, cuts[1:] if last else cuts[1:-1], strict=False) for k in kept(b[x:y])]
+            yield g.iloc[rows][["image", "box", "score"]]
 
     kind = boxes.schema["image"].dataType.simpleString()
-    return boxes.filter(F.col("score") > least).select("image", "box", "score", "x1", "y1", "x2", "y2").groupBy("image").applyInPandas(run, f"image {kind}, box long, score double")
+    some = boxes.filter(F.col("score") > least).select("image", "box", "score", "x1", "y1", "x2", "y2")
+    some = some.repartition("image").sortWithinPartitions("image", F.col("score").desc(), "box")
+    return some.mapInPandas(run, f"image {kind}, box long, score double")
 
 
 def tracks(boxes: DataFrame, gap: int = 25, least_iou: float = 0.5, longer: int = 50, larger: float = 100.0) -> DataFrame:
