@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, pii, quality_model, rules, simhash, token_files, vector_forest, warc
+from . import hard_negatives, line_dedup, mixing, packing, pii, quality_model, rules, simhash, token_files, vector_forest, warc
 from .common import table
 
 
@@ -78,6 +78,12 @@ def line_dedup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector's nearest rows of its label; every 7th id has the next label."""
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), label_col=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_chunked": warc_chunked,
@@ -90,8 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": personal_data,
         "op9_packing_sum_of_squares": packing_sum_of_squares,
         "op10_embedding_forest": embedding_forest,
+        "op11_hard_negatives": hard_negative_mining,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_chunked": warc.SQL, "op6_line_dedup_spread": line_dedup.SQL, "op10_embedding_forest": vector_forest.SQL}
+    return {"op1_warc_chunked": warc.SQL, "op6_line_dedup_spread": line_dedup.SQL, "op10_embedding_forest": vector_forest.SQL, "op11_hard_negatives": hard_negatives.SQL}
