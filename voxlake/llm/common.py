@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import drop, new_path, shared_dir, table  # noqa: F401
+
 #: The white space that separates words in every operator here: blank and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,39 +24,6 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. It must be named; only a local master, where there is one machine,
-    gets a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="voxlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._voxlake_path = path
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Remove a table that table() wrote once nothing reads it any more."""
-    spark, path = df.sparkSession, df._voxlake_path
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def text_key(*cols: str | Column) -> list[Column]:
     """128 bits that stand for the given columns' values: two hashes with different starts."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(7919), *cols)]

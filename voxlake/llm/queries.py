@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hard_negatives, line_dedup, mixing, packing, pii, quality_model, rules, simhash, token_files, vector_forest, warc
+from . import hard_negatives, languages, line_dedup, mixing, packing, pii, quality_model, resampling, rules, simhash, token_files, vector_forest, warc
 from .common import table
 
 
@@ -84,6 +84,23 @@ def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), label_col=label)
 
 
+#: Ids that the language profiles never learn from.
+NOT_TAUGHT = "crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 3 = 1"
+
+
+def language_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the order of its n-grams; one third of the ids is held out."""
+    docs = read(spark, sf_dir, "documents")
+    profiles = languages.fit(docs, where=f"not ({NOT_TAUGHT})")
+    out = languages.predict(docs.select("doc_id", "text"), profiles)
+    return out.select("row.doc_id", "lang_pred", "score").select("doc_id", F.expr(NOT_TAUGHT).alias("held_out"), "lang_pred", "score")
+
+
+def target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark's distribution, and its rank among the quarter that is drawn."""
+    return resampling.ranks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_chunked": warc_chunked,
@@ -97,8 +114,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing_sum_of_squares": packing_sum_of_squares,
         "op10_embedding_forest": embedding_forest,
         "op11_hard_negatives": hard_negative_mining,
+        "op12_language_rank_order": language_rank_order,
+        "op13_target_resampling": target_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_chunked": warc.SQL, "op6_line_dedup_spread": line_dedup.SQL, "op10_embedding_forest": vector_forest.SQL, "op11_hard_negatives": hard_negatives.SQL}
+    return {
+        "op1_warc_chunked": warc.SQL,
+        "op6_line_dedup_spread": line_dedup.SQL,
+        "op10_embedding_forest": vector_forest.SQL,
+        "op11_hard_negatives": hard_negatives.SQL,
+        "op12_language_rank_order": languages.SQL,
+        "op13_target_resampling": resampling.SQL,
+    }
