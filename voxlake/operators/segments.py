@@ -1,7 +1,7 @@
 """Speaker turns: merging, numbering, timelines, totals and synthesis attempts.
 
 Turns are rows (recording, speaker, start_time, end_time, duration, seq); seq breaks ties of start_time.
-Every window is partitioned by recording, so one recording is the unit of order and of parallel work.
+Recordings of many turns are cut into ranges of time, which are the unit of parallel work (see ranges).
 """
 
 from __future__ import annotations
@@ -9,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TIME_ORDER = ["start_time", "seq"]
-
+from .ranges import RANGE, TOTAL, in_ranges, join_at_seams, window, with_seams
 
-def in_time(*extra: str):
-    return Window.partitionBy("recording", *extra).orderBy(*TIME_ORDER)
+TIME_ORDER = ["start_time", "seq"]
 
 
 def min_duration(turns: DataFrame, least: float = 0.5) -> DataFrame:
@@ -23,26 +21,37 @@ def min_duration(turns: DataFrame, least: float = 0.5) -> DataFrame:
 
 def merge_turns(turns: DataFrame, gap: float = 1.0) -> DataFrame:
     """Consecutive turns of one speaker that are at most gap seconds apart become one. Its end is the end of
-    its last turn, not the latest end. Another speaker in between always breaks a turn."""
-    w = in_time()
-    new = (F.lag("speaker").over(w).isNull()) | (F.lag("speaker").over(w) != F.col("speaker")) | (F.col("start_time") - F.lag("end_time").over(w) > gap)
-    marked = turns.withColumn("island", F.sum(new.cast("int")).over(w))
+    its last turn, not the latest end. Another speaker in between always breaks a turn; turns without a speaker stand
+    alone. Ranges of a long recording are merged each by itself, then what meets at their seams."""
+    w = window("recording", *TIME_ORDER)
+    follows = lambda before: (before("speaker") == F.col("speaker")) & (F.col("start_time") - before("end_time") <= gap)
+    new = ~F.coalesce(follows(lambda c: F.lag(c).over(w)), F.lit(False))
+    marked = in_ranges(turns, "recording", "start_time").withColumn("island", F.sum(new.cast("int")).over(w))
     order = F.struct("start_time", "seq")
-    merged = marked.groupBy("recording", "island").agg(F.first("speaker").alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", order).alias("end_time"), F.min("seq").alias("seq"), F.count("*").alias("turns"))
-    return merged.withColumn("duration", F.col("end_time") - F.col("start_time")).drop("island")
+    parts = marked.groupBy("recording", RANGE, "island").agg(F.first("speaker").alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", order).alias("end_time"), F.min("seq").alias("seq"), F.count("*").alias("turns"), F.first(TOTAL).alias(TOTAL))
+    parts = parts.withColumn("islands", F.max("island").over(window("recording")))
+    edge = F.col(TOTAL).isNotNull() & ((F.col("island") == 1) | (F.col("island") == F.col("islands")))
+    place = F.struct(RANGE, "island")
+    joins = lambda before: (F.col("island") == 1) & follows(before)
+    merged = join_at_seams(parts, "recording", edge, ["island"], joins, [F.min_by("speaker", place).alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", place).alias("end_time"), F.min("seq").alias("seq"), F.sum("turns").alias("turns")])
+    return merged.withColumn("duration", F.col("end_time") - F.col("start_time"))
 
 
 def number(turns: DataFrame, prefix: str = "segment") -> DataFrame:
     """Ordinal in time order and an id of at least three digits."""
-    n = F.row_number().over(in_time())
-    return turns.withColumn("ordinal", n).withColumn("segment_id", F.format_string(f"{prefix}%03d", n))
+    x = with_seams(in_ranges(turns, "recording", "start_time"), "recording", before=(F.count("*"), "sum"))
+    n = F.row_number().over(window("recording", *TIME_ORDER)) + F.col("before")
+    return x.withColumn("ordinal", n).withColumn("segment_id", F.format_string(f"{prefix}%03d", "ordinal")).drop("before", RANGE, TOTAL)
 
 
 def gap_timeline(turns: DataFrame, least: float = 0.1, lead_in: float = 0.5) -> DataFrame:
     """Gap to the previous turn's end; silence is the gap if it exceeds least, and overlap marks negative gaps.
-    The first turn of a recording gets the lead-in."""
-    gap = F.col("start_time") - F.lag("end_time").over(in_time())
-    return turns.withColumn("gap", gap).withColumns(
+    The first turn of a recording gets the lead-in. The first turn of a range looks up the last end before the range."""
+    x = with_seams(in_ranges(turns, "recording", "start_time"), "recording", before=(F.max_by("end_time", F.struct(*TIME_ORDER)), "last"))
+    w = window("recording", *TIME_ORDER)
+    end = F.when(F.row_number().over(w) == 1, F.col("before")).otherwise(F.lag("end_time").over(w))
+    x = x.withColumn("gap", F.col("start_time") - end).drop("before", RANGE, TOTAL)
+    return x.withColumns(
         {
             "silence": F.when(F.col("gap").isNull(), F.lit(lead_in)).when(F.col("gap") > least, F.col("gap")).otherwise(0.0),
             "overlap": F.coalesce(F.col("gap") < 0, F.lit(False)),

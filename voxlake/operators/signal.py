@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import RANGE, TOTAL, in_ranges, join_at_seams, window, with_seams
+
 
 def silence_islands(samples: DataFrame, level: float, least: int, group: str = "clip", order: str = "at") -> DataFrame:
     """Runs of samples below level of at least so many samples: start and end (exclusive) as places in the group,
-    length, and whether a run leads or trails."""
-    w = Window.partitionBy(group).orderBy(order)
-    x = samples.withColumns({"i": F.row_number().over(w) - 1, "n": F.count("*").over(Window.partitionBy(group)), "quiet": F.col("value") < level})
+    length, and whether a run leads or trails. order is a number. Ranges of a long group find their runs alone; runs at
+    their edges are joined over the seams, where one ends at the place at which the next begins."""
+    w = window(group, order)
+    x = with_seams(in_ranges(samples, group, order), group, before=(F.count("*"), "sum"))
+    x = x.withColumns({"i": F.row_number().over(w) - 1 + F.col("before"), "here": F.count("*").over(window(group)), "quiet": F.coalesce(F.col("value") < level, F.lit(False))})
     x = x.withColumn("loud", F.sum((~F.col("quiet")).cast("int")).over(w)).filter("quiet")
-    runs = x.groupBy(group, "loud").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("end"), F.max("n").alias("n"))
+    parts = x.groupBy(group, RANGE, "loud").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("end"), F.first("before").alias("before"), F.first("here").alias("here"), F.first(TOTAL).alias(TOTAL))
+    edge = F.col(TOTAL).isNotNull() & ((F.col("start") == F.col("before")) | (F.col("end") == F.col("before") + F.col("here")))
+    total = F.first(F.coalesce(TOTAL, "here")).alias("n")
+    runs = join_at_seams(parts, group, edge, ["loud"], lambda before: before("end") == F.col("start"), [F.min("start").alias("start"), F.max("end").alias("end"), total])
     runs = runs.withColumn("len", F.col("end") - F.col("start")).filter(F.col("len") >= least)
     return runs.select(group, "start", "end", "len", (F.col("start") == 0).alias("leading"), (F.col("end") == F.col("n")).alias("trailing"))
 
@@ -55,6 +62,29 @@ def frame_audio(frames: DataFrame, rate: int = 16000, fps: float = 25.0) -> Data
     return x.select("clip", "frame", F.when(F.col("before") == F.col("frame") - 1, F.col("before_end")).otherwise(F.col("own")).alias("start"), "end")
 
 
+def frame_samples(ranges: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
+    """(clip, frame, samples): the samples of each frame (clip, frame, start, end), from blocks of `size` samples each (clip,
+    block, samples), the last one of a clip shorter. A frame meets the blocks that its range touches by their numbers,
+    is cut at their seams and put together again; samples that no block has are left out, a frame without any is empty.
+    A frame of null or empty range is empty."""
+    some = F.col("end") > F.col("start")
+    touched = F.when(some, F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size)))
+    cut = ranges.select("clip", "frame", "start", "end", F.explode_outer(touched).alias("block"))
+    met = cut.join(blocks.select("clip", "block", "samples"), ["clip", "block"], "left")
+    first = F.greatest(F.col("start") - F.col("block") * size, F.lit(0))
+    last = F.least(F.col("end") - F.col("block") * size, F.size("samples"))
+    piece = F.when(last > first, F.slice("samples", (first + 1).cast("int"), (last - first).cast("int")))
+    pieces = met.groupBy("clip", "frame").agg(F.array_sort(F.collect_list(F.when(piece.isNotNull(), F.struct("block", piece.alias("part"))))).alias("pieces"))
+    return pieces.select("clip", "frame", F.flatten("pieces.part").alias("samples"))
+
+
+def sample_blocks(samples: DataFrame, size: int) -> DataFrame:
+    """(clip, block, samples): samples (clip, at, value), places from 0 without gaps, in blocks of `size`."""
+    block = F.floor(F.col("at") / size)
+    out = samples.groupBy("clip", block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("x"))
+    return out.select("clip", "block", F.col("x.value").alias("samples"))
+
+
 def fixed_windows(rows: DataFrame, size: int, group: str, at: str) -> DataFrame:
     """(group, window, first, last, n, padding) of windows of `size` places, the last one shorter."""
     w = rows.groupBy(group, F.floor(F.col(at) / size).alias("window")).agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import prepare
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -15,6 +17,7 @@ class Tables:
     """The tables of one folder, read when they are asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        prepare(spark)
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -29,7 +29,7 @@ def seconds(c: str, digits: int = 3):
 
 TURNS = "turns AS (SELECT user_id AS recording, event_type AS speaker, epoch_us(ts) / 1e6 AS start_time, value AS duration, epoch_us(ts) / 1e6 + value AS end_time, event_id AS seq FROM events)"
 MERGED = f"""{TURNS}, kept AS (SELECT * FROM turns WHERE duration >= 0.5),
-marked AS (SELECT *, CASE WHEN lag(speaker) OVER w IS NULL OR lag(speaker) OVER w <> speaker OR start_time - lag(end_time) OVER w > {GAP} THEN 1 ELSE 0 END AS new FROM kept WINDOW w AS (PARTITION BY recording ORDER BY start_time, seq)),
+marked AS (SELECT *, CASE WHEN lag(speaker) OVER w = speaker AND start_time - lag(end_time) OVER w <= {GAP} THEN 0 ELSE 1 END AS new FROM kept WINDOW w AS (PARTITION BY recording ORDER BY start_time, seq)),
 islands AS (SELECT *, sum(new) OVER (PARTITION BY recording ORDER BY start_time, seq) AS island FROM marked),
 joined AS (SELECT recording, min(speaker) AS speaker, min(start_time) AS start_time, arg_max(end_time, (start_time, seq)) AS end_time, min(seq) AS seq, count(*) AS turns FROM islands GROUP BY recording, island),
 numbered AS (SELECT *, end_time - start_time AS duration, row_number() OVER (PARTITION BY recording ORDER BY start_time, seq) AS ordinal FROM joined),
@@ -238,4 +238,4 @@ def background_source(t: Tables) -> DataFrame:
 
 @query("WITH " + TURNS + " SELECT recording, seq, row_number() OVER (PARTITION BY recording ORDER BY start_time, seq) AS place FROM turns")
 def ordered_timeline(t: Tables) -> DataFrame:
-    return turns(t).select("recording", "seq", F.row_number().over(S.in_time()).cast("long").alias("place"))
+    return S.number(turns(t)).select("recording", "seq", F.col("ordinal").alias("place"))
