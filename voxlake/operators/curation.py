@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import placed
+
 
 def shuffle_key(seed: int, *cols) -> Column:
     """32 hex digits that order rows in a seeded random way."""
@@ -77,13 +79,13 @@ def stage_funnel(clips: DataFrame, gates: list[tuple[str, Column]]) -> DataFrame
 
 
 def random_pairing(left: DataFrame, right: DataFrame, seed: int) -> DataFrame:
-    """(group, left, right): both lists (group, item) in seeded random order, cut to the shorter, paired by place."""
+    """(grp, place, left, right): both lists (grp, item) in seeded random order, cut to the shorter, paired by place."""
 
-    def placed(df: DataFrame, name: str, s: int) -> DataFrame:
-        w = Window.partitionBy("grp").orderBy(shuffle_key(s, "item"), "item")
-        return df.select("grp", F.row_number().over(w).alias("place"), F.col("item").alias(name))
+    def side(df: DataFrame, name: str, s: int) -> DataFrame:
+        return placed(df.select("grp", F.col("item").alias(name), shuffle_key(s, "item").alias("key")), ["key", name], ["grp"]).drop("key")
 
-    return placed(left, "left", seed).join(placed(right, "right", seed + 1), ["grp", "place"])
+    out = side(left, "left", seed).join(side(right, "right", seed + 1), ["grp", "place"])
+    return out.select("grp", (F.col("place") + 1).alias("place"), "left", "right")
 
 
 def training_pairs(clips: DataFrame, window: int, seed: int) -> DataFrame:
@@ -106,14 +108,32 @@ def one_random_clip(clips: DataFrame, seed: int) -> DataFrame:
 
 
 def even_partition(items: DataFrame, parts: int, order: str, within: str) -> DataFrame:
-    """Contiguous near-equal parts of each sorted list; the first ones get one more."""
-    return items.withColumn("part", F.ntile(parts).over(Window.partitionBy(within).orderBy(order)))
+    """Contiguous near-equal parts of each sorted list, numbered from 1; the first ones get one more."""
+    x = placed(items, [order], [within], "__place", "__of")
+    size, more = F.floor(F.col("__of") / parts), F.col("__of") % parts
+    bigger = more * (size + 1)
+    part = F.when(F.col("__place") < bigger, F.floor(F.col("__place") / (size + 1))).otherwise(more + F.floor((F.col("__place") - bigger) / F.greatest(size, F.lit(1))))
+    return x.withColumn("part", (part + 1).cast("int")).drop("__place", "__of")
 
 
 def round_robin(items: DataFrame, chunk: int, workers: int, order: str, within: str) -> DataFrame:
     """Chunks of consecutive items dealt to workers in turn."""
-    n = F.row_number().over(Window.partitionBy(within).orderBy(order)) - 1
-    return items.withColumn("worker", F.pmod(F.floor(n / chunk), F.lit(workers)).cast("int"))
+    x = placed(items, [order], [within], "__place")
+    return x.withColumn("worker", F.pmod(F.floor(F.col("__place") / chunk), F.lit(workers)).cast("int")).drop("__place")
+
+
+def whole_batches(items: DataFrame, size: int, order: str, within: str) -> DataFrame:
+    """The items of each sorted list that fill batches of `size`; the incomplete last batch is left out."""
+    x = placed(items, [order], [within], "__place", "__of")
+    return x.filter(F.col("__place") < F.floor(F.col("__of") / size) * size).drop("__place", "__of")
+
+
+def natural_order(frames: DataFrame, path: str = "path", folder: str = "folder") -> DataFrame:
+    """frames with their place, from 1, in their folder by the number that ends their name, so frame_10 follows frame_9; of equal
+    numbers the first path, names without a number first."""
+    number = F.regexp_extract(path, r"([0-9]+)\.[^.\/]+$", 1)
+    x = placed(frames.withColumn("__number", F.when(number != "", number).try_cast("decimal(38,0)")), ["__number", path], [folder])
+    return x.withColumn("place", F.col("place") + 1).drop("__number")
 
 
 def stride_sample(frames: DataFrame, most: int = 100) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import sources
 from ..operators import curation as C
-from ..sources import pending, quarantine
+from ..sources import list_runs, pending, split_quarantine
 from .catalog import Tables, query
 from .streams import scratch
 
@@ -17,17 +17,27 @@ def pending_inputs(t: Tables) -> DataFrame:
     return pending(t.documents.select("doc_id", "source"), t.labels, "doc_id")
 
 
-@query("SELECT event_id, json_valid(props) AND length(props) % 5 <> 0 AS ok FROM events")
+MIXED = "CASE event_id % 6 WHEN 0 THEN props || '{' WHEN 1 THEN '[' || props || ']' WHEN 2 THEN event_id::VARCHAR WHEN 3 THEN NULL ELSE props END"
+
+
+@query(f"SELECT event_id, coalesce(json_valid(x) AND json_type(CASE WHEN json_valid(x) THEN x END) = 'OBJECT', false) AS ok, CASE WHEN event_id % 6 > 3 THEN length(props) END AS good_length, CASE WHEN event_id % 6 < 3 THEN length(x) END AS bad_length FROM (SELECT event_id, props, {MIXED} AS x FROM events)")
 def quarantine_split(t: Tables) -> DataFrame:
-    """Events whose properties are not JSON; a fifth is broken on purpose."""
-    cut = F.when(F.length("props") % 5 == 0, F.concat("props", F.lit("{"))).otherwise(F.col("props"))
-    return quarantine(t.events, cut, "MAP<STRING, STRING>").select("event_id", "ok")
+    """Events whose properties are a JSON object, and the others: broken, a list, a number or null on purpose. Both outputs are
+    written in one pass and read back."""
+    k = F.col("event_id") % 6
+    text = F.when(k == 0, F.concat("props", F.lit("{"))).when(k == 1, F.concat(F.lit("["), "props", F.lit("]"))).when(k == 2, F.col("event_id").cast("string")).when(k == 3, None).otherwise(F.col("props"))
+    good, bad = split_quarantine(t.events.select("event_id", "props"), text, "MAP<STRING, STRING>", scratch(t.spark, "quarantine"))
+    good = good.select("event_id", F.col("parsed").isNotNull().alias("ok"), F.length("props").alias("good_length"), F.lit(None).cast("int").alias("bad_length"))
+    return good.unionByName(bad.select("event_id", F.lit(False).alias("ok"), F.lit(None).cast("int").alias("good_length"), F.length("broken").alias("bad_length")))
 
 
-@query("SELECT DISTINCT strftime(o_orderdate, '%Y%m') AS run FROM orders WHERE strftime(o_orderdate, '%Y%m') BETWEEN '199406' AND '199609'")
+@query("SELECT strftime(o_orderdate, '%Y%m') AS run, true AS stored FROM orders WHERE strftime(o_orderdate, '%Y%m') BETWEEN '199406' AND '199609' GROUP BY 1")
 def expired_partitions(t: Tables) -> DataFrame:
-    name = F.date_format("o_orderdate", "yyyyMM")
-    return t.orders.filter(C.expired(name, "199406", "199609")).select(name.alias("run")).distinct()
+    """Runs of a table that is partitioned by run, found without opening a file of it."""
+    path = scratch(t.spark, "runs")
+    run = F.date_format("o_orderdate", "yyyyMM")
+    t.orders.select("o_orderkey", run.alias("run")).repartition("run").write.partitionBy("run").parquet(path)
+    return list_runs(t.spark, path, "199406", "199609").select("run", (F.col("bytes") > 0).alias("stored"))
 
 
 @query("SELECT doc_id, n_chars / 25.0::DOUBLE AS seconds FROM documents")
@@ -177,17 +187,10 @@ def metric_rollup(t: Tables) -> DataFrame:
 @query("WITH i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i, count(*) OVER (PARTITION BY source) AS n FROM documents) SELECT doc_id, source FROM i WHERE i <= n // 8 * 8")
 def bounded_eval(t: Tables) -> DataFrame:
     """Whole batches of eight of each source; the incomplete last one is left out."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("source")
-    d = t.documents.select("doc_id", "source", F.row_number().over(w.orderBy("doc_id")).alias("i"), F.count("*").over(w).alias("n"))
-    return d.filter(F.col("i") <= F.floor(F.col("n") / 8) * 8).select("doc_id", "source")
+    return C.whole_batches(t.documents.select("doc_id", "source"), 8, "doc_id", "source")
 
 
 @query("WITH f AS (SELECT p_partkey, 'run/' || p_brand || '/frame_' || p_partkey || '.png' AS path, p_brand AS folder FROM part) SELECT path, row_number() OVER (PARTITION BY folder ORDER BY regexp_extract(path, '_([0-9]+)\\.png$', 1)::BIGINT) AS place FROM f")
 def natural_frame_sort(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
     path = F.concat(F.lit("run/"), "p_brand", F.lit("/frame_"), "p_partkey", F.lit(".png"))
-    number = F.regexp_extract("path", r"_([0-9]+)\.png$", 1).cast("long")
-    return t.part.select(path.alias("path"), "p_brand").select("path", F.row_number().over(Window.partitionBy("p_brand").orderBy(number)).cast("long").alias("place"))
+    return C.natural_order(t.part.select(path.alias("path"), F.col("p_brand").alias("folder"))).select("path", "place")
