@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,48 +70,101 @@ def drift(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.agg(F.avg(d).alias("drift"), F.count("*").alias("pairs"))
 
 
-def feature_sums(features: DataFrame, vec: str = "vec", most: int | None = None) -> DataFrame:
-    """(i, j, n, s, ss): count, sum of component i, and sum of products of components i and j (i <= j), of all vectors
-    or of at most so many.
+#: Stored statistics: how many vectors, their mean, and for every pair of components i <= j the sum of products of what lies
+#: between a vector and the mean. Any rows of this form merge to one, today's with last year's.
+STATS = "n long, s array<double>, ss array<double>"
+#: Tasks that merge statistics side by side before the last one.
+MERGERS = 32
+
+
+class Moments:
+    """Count, mean and centred products of vectors, merged pairwise; never a difference of large sums."""
+
+    def __init__(self) -> None:
+        self.n, self.mean, self.products = 0, None, None
+
+    def add(self, n: int, mean: np.ndarray, products: np.ndarray) -> None:
+        if self.n and len(mean) != len(self.mean):
+            raise ValueError(f"vectors of {len(mean)} and of {len(self.mean)} components")
+        if not self.n:
+            self.n, self.mean, self.products = n, mean, products
+        elif n:
+            apart, total = mean - self.mean, self.n + n
+            self.products = self.products + products + np.outer(apart, apart) * (self.n * n / total)
+            self.mean, self.n = self.mean + apart * (n / total), total
+
+    def add_vectors(self, x: np.ndarray) -> None:
+        mean = x.mean(axis=0)
+        mean += (x - mean).mean(axis=0)  # what rounding left
+        self.add(len(x), mean, (x - mean).T @ (x - mean))
 
-    Each task adds up its rows in numpy; partial sums are merged by one aggregation of d * (d + 1) / 2 keys."""
+    def batch(self) -> Iterator[pa.RecordBatch]:
+        if self.n:
+            yield pa.RecordBatch.from_arrays([pa.array([self.n], pa.int64()), pa.array([self.mean]), pa.array([self.products[np.triu_indices(len(self.mean))]])], ["n", "s", "ss"])
+
+
+def _square(d: int, half: np.ndarray) -> np.ndarray:
+    out = np.zeros((d, d))
+    out[np.triu_indices(d)] = half
+    return out + np.triu(out, 1).T
+
+
+def feature_sums(features: DataFrame, vec: str = "vec", most: int | None = None) -> DataFrame:
+    """STATS of all vectors, or of at most so many, as one row (none without vectors). Null vectors are left out; all others must
+    have as many components. Each task adds up its rows in numpy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total, squares = 0, None, None
+        m = Moments()
         for b in batches:
             if b.num_rows:
-                x = b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
-                total = x.sum(0) if total is None else total + x.sum(0)
-                squares = x.T @ x if squares is None else squares + x.T @ x
-                n += b.num_rows
-        if n:
-            i, j = np.triu_indices(len(total))
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i.astype(np.int32), j.astype(np.int32), np.full(len(i), n), total[i], squares[i, j])], ["i", "j", "n", "s", "ss"])
+                sizes = pc.unique(pc.list_value_length(b.column(0))).to_pylist()
+                if len(sizes) > 1:
+                    raise ValueError(f"vectors of {sizes} components")
+                m.add_vectors(b.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1))
+        yield from m.batch()
 
     some = features.select(vec).filter(F.col(vec).isNotNull())
-    part = (some if most is None else some.limit(most)).mapInArrow(run, "i int, j int, n long, s double, ss double")
-    return part.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+    return merge_sums((some if most is None else some.limit(most)).mapInArrow(run, STATS))
 
 
-def mean_cov(sums: DataFrame, sample: bool = False) -> DataFrame:
-    """(i, j, mean_i, mean_j, cov) with the population covariance, or the sample's."""
-    mean = sums.filter("i = j").select(F.col("i").alias("k"), (F.col("s") / F.col("n")).alias("m"))
-    out = sums.join(mean.withColumnsRenamed({"k": "i", "m": "mean_i"}), "i").join(mean.withColumnsRenamed({"k": "j", "m": "mean_j"}), "j")
-    cov = F.col("ss") / F.col("n") - F.col("mean_i") * F.col("mean_j")
-    return out.select("i", "j", "n", "mean_i", "mean_j", (cov * F.col("n") / (F.col("n") - 1) if sample else cov).alias("cov"))
+def merge_sums(stats: DataFrame) -> DataFrame:
+    """Any number of STATS rows as one row. They meet in MERGERS tasks and then in one, which reads a row of each;
+    tasks hold two rows at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Moments()
+        for b in batches:
+            for n, s, ss in zip(*(b.column(c) for c in ("n", "s", "ss")), strict=True):
+                mean = s.values.to_numpy()
+                m.add(n.as_py(), mean, _square(len(mean), ss.values.to_numpy()))
+        yield from m.batch()
+
+    return stats.select("n", "s", "ss").repartition(MERGERS).mapInArrow(run, STATS).repartition(1).mapInArrow(run, STATS)
+
+
+def mean_cov(stats: DataFrame, sample: bool = False) -> DataFrame:
+    """(i, j, n, mean_i, mean_j, cov) of one STATS row, i <= j, with the population covariance or the sample's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n, s, ss in zip(*(b.column(c) for c in ("n", "s", "ss")), strict=True):
+                mean, many = s.values.to_numpy(), n.as_py()
+                i, j = np.triu_indices(len(mean))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    cov = ss.values.to_numpy() / (np.float64(many) - sample)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i.astype(np.int32), j.astype(np.int32), np.full(len(i), many), mean[i], mean[j], cov)], ["i", "j", "n", "mean_i", "mean_j", "cov"])
+
+    return stats.select("n", "s", "ss").mapInArrow(run, "i int, j int, n long, mean_i double, mean_j double, cov double")
 
 
 def frechet_distance(a: DataFrame, b: DataFrame) -> float:
-    """Of two feature tables; d * d numbers of each reach the driver, where the matrix root is taken."""
+    """Of two feature tables, or of two tables of stored STATS; one row of each reaches the driver, where the matrix root is
+    taken. The covariance is the sample's."""
 
     def read(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        rows = mean_cov(feature_sums(df), sample=True).collect()
-        d = max(r["j"] for r in rows) + 1
-        mean, cov = np.zeros(d), np.zeros((d, d))
-        for r in rows:
-            mean[r["i"]] = r["mean_i"]
-            cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["cov"]
-        return mean, cov
+        stats = merge_sums(df) if df.columns == ["n", "s", "ss"] else feature_sums(df)
+        r = stats.first()
+        return np.array(r["s"]), _square(len(r["s"]), np.array(r["ss"])) / (r["n"] - 1)
 
     (m, s), (n, t) = read(a), read(b)
     w, v = np.linalg.eigh(s)

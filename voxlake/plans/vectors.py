@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import vectors as V
+from ..sources.shared import table
 from .catalog import Tables, query
 
 STREAMS = "v AS (SELECT label AS clip, vec_id // 2 AS frame, embedding::DOUBLE[] AS vec FROM embeddings WHERE vec_id % 2 = 0), a AS (SELECT label AS clip, vec_id // 2 AS frame, embedding::DOUBLE[] AS vec FROM embeddings WHERE vec_id % 2 = 1)"
@@ -65,13 +66,24 @@ def sync_summary(t: Tables) -> DataFrame:
     return v.agg(F.count("*").alias("videos"), F.round(F.avg("offset_"), 6).alias("mean_offset"), F.round(F.avg("conf"), 6).alias("mean_conf"))
 
 
-@query("""WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS i FROM embeddings)
-SELECT p.i::INT AS i, q.i::INT AS j, count(*) AS n, round(avg(p.x), 6) AS mean_i, round(avg(q.x), 6) AS mean_j, round(covar_pop(p.x, q.x), 6) AS cov FROM u p JOIN u q ON p.vec_id = q.vec_id AND p.i <= q.i GROUP BY 1, 2""")
+COVARIANCE = """WITH u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS i FROM embeddings)
+SELECT p.i::INT AS i, q.i::INT AS j, count(*) AS n, round(avg(p.x), 6) AS mean_i, round(avg(q.x), 6) AS mean_j, round(covar_pop(p.x, q.x), 6) AS cov FROM u p JOIN u q ON p.vec_id = q.vec_id AND p.i <= q.i GROUP BY 1, 2"""
+
+
+@query(COVARIANCE)
 def feature_mean_cov(t: Tables) -> DataFrame:
     m = V.mean_cov(V.feature_sums(t.embeddings, "embedding"))
     return m.select("i", "j", "n", *[F.round(c, 6).alias(c) for c in ("mean_i", "mean_j", "cov")])
 
 
+@query(COVARIANCE)
+def merged_statistics(t: Tables) -> DataFrame:
+    """Statistics of parts of the table, stored one by one and merged later."""
+    parts = [table(V.feature_sums(t.embeddings.filter(F.col("vec_id") % 3 == k), "embedding"), "statistics") for k in range(3)]
+    m = V.mean_cov(V.merge_sums(parts[0].union(parts[1]).union(parts[2])))
+    return m.select("i", "j", "n", *[F.round(c, 6).alias(c) for c in ("mean_i", "mean_j", "cov")])
+
+
 @query()
 def frechet_distance(t: Tables) -> DataFrame:
     v, a = streams(t)
