@@ -6,11 +6,13 @@ group in applyInPandas: a recording, an image, or a shot of a video.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,19 +82,32 @@ def cluster_stats(faces: DataFrame, least: int = 3) -> DataFrame:
 def leader_clusters(faces: DataFrame, tolerance: float) -> DataFrame:
     """(recording, det, cluster): in order of arrival (frame, det), each face joins the first cluster whose mean
     center lies nearer than tolerance, or opens one. The order decides, so one recording is one group and a hot one is
-    one task; its state is two sums and a count a cluster."""
+    one task. Centers lie on a grid of cells of the tolerance's width and move to another cell as they drift, so a face is
+    compared with the centers of nine cells, however many clusters there are. Faces without a center get a cluster each."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["frame", "det"])
-        room, m, out = np.zeros((16, 3)), 0, []  # sums of both coordinates and count of each cluster; m are open
-        for x, y in g[["center_x", "center_y"]].to_numpy(float):
-            c = room[:m]
-            near = np.flatnonzero(np.sqrt((c[:, 0] / c[:, 2] - x) ** 2 + (c[:, 1] / c[:, 2] - y) ** 2) < tolerance)
-            k = int(near[0]) if len(near) else m
-            m += k == m
-            if m > len(room):
-                room = np.concatenate([room, np.zeros_like(room)])
-            room[k] += (x, y, 1)
+        sums, cells, out = [], {}, []  # x, y, count and cell of each cluster; the clusters of each cell
+        for x, y in g[["center_x", "center_y"]].to_numpy(float).tolist():
+            at = (math.floor(x / tolerance), math.floor(y / tolerance)) if tolerance > 0 and math.isfinite(x) and math.isfinite(y) else None
+            k = len(sums)
+            for dx in (-1, 0, 1) if at else ():
+                for dy in (-1, 0, 1):
+                    for c in cells.get((at[0] + dx, at[1] + dy), ()):
+                        sx, sy, n, _ = sums[c]
+                        if c < k and math.sqrt((sx / n - x) ** 2 + (sy / n - y) ** 2) < tolerance:
+                            k = c
+            if k == len(sums):
+                sums.append((x, y, 1, at))
+                cells.setdefault(at, set()).add(k)
+            else:
+                sx, sy, n, old = sums[k]
+                sx, sy, n = sx + x, sy + y, n + 1
+                new = (math.floor(sx / n / tolerance), math.floor(sy / n / tolerance))
+                sums[k] = sx, sy, n, new
+                if new != old:
+                    cells[old].discard(k)
+                    cells.setdefault(new, set()).add(k)
             out.append(k)
         return pd.DataFrame({"recording": g["recording"], "det": g["det"], "cluster": np.array(out, np.int32)})
 
@@ -108,13 +123,37 @@ def _overlap(box: np.ndarray, boxes: np.ndarray) -> np.ndarray:
     return inter / np.maximum(area(box) + area(boxes) - inter, 1e-12)
 
 
+def best_of_tasks(rows: DataFrame, k: int, group: str, order: list[str | Column]) -> DataFrame:
+    """The first k rows of every group within each task, without a shuffle: what is left of the global first k has all of
+    them. Spark limits groups before a window's shuffle by itself, but only up to spark.sql.optimizer.windowGroupLimitThreshold
+    (1,000) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0  # group of the last row, and how many rows of it there were
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = b.column(b.schema.get_field_index(group))
+            code = at.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(code)) + 1])
+            place = np.arange(len(code)) - np.repeat(starts, np.diff([*starts, len(code)]))
+            first = at[0].as_py()
+            if last is not None and (first == last[0] or (first != first and last[0] != last[0])):
+                place[: starts[1] if len(starts) > 1 else None] += seen
+            last, seen = (at[-1].as_py(),), int(place[-1]) + 1
+            yield b.filter(pa.array(place < k))
+
+    return rows.sortWithinPartitions(group, *order).mapInArrow(run, rows.schema)
+
+
 def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, after: int = 750, least: float = 0.05) -> DataFrame:
     """(image, box, score): per image, boxes in falling order of score; one that overlaps a kept one by more than
-    most_overlap goes. Only scores over least count, the best `before` enter and the best `after` stay."""
+    most_overlap goes. Only scores over least count, the best `before` enter and the best `after` stay. Each task hands on
+    an image's best `before` of its own, so of a hot image no more than that reaches one task from another."""
 
     def kept(b: np.ndarray) -> list[int]:
         """Rows of one image that stay; they come in falling order of score."""
-        left, out = np.arange(min(len(b), before)), []
+        left, out = np.arange(len(b)), []
         while len(left) and len(out) < after:
             i, left = left[0], left[1:]
             out.append(int(i))
@@ -122,23 +161,30 @@ def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, af
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Images come one after the other; the last one of a batch may go on in the next."""
-        held = None
+        """Images come one after the other; pieces of the one that a batch ends in, `before` rows at most, wait for the rest."""
+        pieces: list[pd.DataFrame] = []
+        same = lambda a, b: a == b or (pd.isna(a) and pd.isna(b))
         for g in chain(batches, [None]):
             last = g is None
-            g = held if last else g if held is None else pd.concat([held, g], ignore_index=True)
-            if g is None or not len(g):
+            if not last and (not len(g) or (pieces and same(g["image"].iloc[-1], pieces[0]["image"].iloc[0]))):
+                pieces += [g] if len(g) else []
+                continue
+            pieces += [] if last else [g]
+            if not pieces:
                 continue
+            g = pd.concat(pieces, ignore_index=True)
             image, b = pd.factorize(g["image"], use_na_sentinel=False)[0], g[["x1", "y1", "x2", "y2"]].to_numpy(float)
             cuts = [0, *(np.flatnonzero(np.diff(image)) + 1).tolist(), len(g)]
-            held = None if last else g.iloc[cuts[-2] :]
+            pieces = [] if last else [g.iloc[cuts[-2] :]]
             rows = [x + k for x, y in zip(cuts, cuts[1:] if last else cuts[1:-1], strict=False) for k in kept(b[x:y])]
             yield g.iloc[rows][["image", "box", "score"]]
 
     kind = boxes.schema["image"].dataType.simpleString()
     some = boxes.filter(F.col("score") > least).select("image", "box", "score", "x1", "y1", "x2", "y2")
-    some = some.repartition("image").sortWithinPartitions("image", F.col("score").desc(), "box")
-    return some.mapInPandas(run, f"image {kind}, box long, score double")
+    order = [F.col("score").desc(), F.col("box")]
+    w = Window.partitionBy("image").orderBy(*order)
+    best = best_of_tasks(some, before, "image", order).withColumn("place", F.row_number().over(w)).filter(F.col("place") <= before).drop("place")
+    return best.mapInPandas(run, f"image {kind}, box long, score double")  # the window leaves a task's images in order
 
 
 def tracks(boxes: DataFrame, gap: int = 25, least_iou: float = 0.5, longer: int = 50, larger: float = 100.0) -> DataFrame:
