@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import signal as S
+from ..operators.ranking import placed
 from .catalog import Tables, query
 
 
@@ -54,6 +55,19 @@ def frame_audio_align(t: Tables) -> DataFrame:
     return S.frame_audio(f).withColumnsRenamed({"start": "first", "end": "stop"})
 
 
+@query("""WITH s AS (SELECT user_id AS clip, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS at_, value FROM events),
+f AS (SELECT clip, unnest(range(0, max(at_) // 2 + 3)) AS frame FROM s GROUP BY clip),
+r AS (SELECT clip, frame, floor(frame / 25.0::DOUBLE * 60)::BIGINT AS start, floor((frame + 1) / 25.0::DOUBLE * 60)::BIGINT AS stop FROM f)
+SELECT r.clip, r.frame, count(at_) AS n, round(coalesce(sum(value), 0), 4) AS total, arg_min(value, at_) AS first, arg_max(value, at_) AS last FROM r LEFT JOIN s ON s.clip = r.clip AND at_ >= start AND at_ < stop GROUP BY 1, 2""")
+def frame_audio_samples(t: Tables) -> DataFrame:
+    """Samples of each frame, at 60 samples and 25 frames a second, from blocks of seven samples."""
+    s = placed(t.events.select(F.col("user_id").alias("clip"), "event_id", "value"), ["event_id"], ["clip"], "at")
+    f = s.groupBy("clip").agg(F.max("at").alias("m")).select("clip", F.explode(F.expr("sequence(0L, cast(m div 2 + 2 as long))")).alias("frame"))
+    out = S.frame_samples(S.frame_audio(f, 60, 25.0), S.sample_blocks(s, 7), 7)
+    x = F.col("samples")
+    return out.select("clip", "frame", F.size(x).cast("long").alias("n"), F.round(F.aggregate(x, F.lit(0.0), lambda a, v: a + v), 4).alias("total"), F.try_element_at(x, F.lit(1)).alias("first"), F.try_element_at(x, F.lit(-1)).alias("last"))
+
+
 @query("SELECT user_id AS clip, event_id // 3000 AS win, min(event_id) AS first, max(event_id) AS last, count(*) AS n, 3000 - count(*) AS padding FROM events GROUP BY 1, 2")
 def fixed_windows(t: Tables) -> DataFrame:
     return S.fixed_windows(samples(t), 3000, "clip", "at").withColumnRenamed("window", "win")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,25 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.models import apply_model
+from ..sources.shared import new_path as scratch
 from ..streaming import turns as J
 from .catalog import Tables, query
 from .segments import GAP
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one that the session names; only a local master gets a temporary one instead."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="voxlake-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def finish(stream: DataFrame, name: str) -> DataFrame:
-    """Run a bounded stream to its end into a table and read that."""
+def finish(stream: DataFrame, name: str, parted_by: str | None = None) -> DataFrame:
+    """Run a bounded stream to its end into a table, with a folder for each value of a column if one is named, and read that."""
     spark, path = stream.sparkSession, scratch(stream.sparkSession, name)
-    q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start()
+    w = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-state")
+    q = (w.partitionBy(parted_by) if parted_by else w).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 
@@ -93,14 +83,14 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 @query(f"""WITH t AS (SELECT user_id AS recording, event_type AS speaker, epoch_us(ts) / 1000000.0::DOUBLE AS start_time, epoch_us(ts) / 1000000.0::DOUBLE + value AS end_time, event_id AS seq FROM events),
-m AS (SELECT *, CASE WHEN lag(speaker) OVER w IS NULL OR lag(speaker) OVER w <> speaker OR start_time - lag(end_time) OVER w > {GAP} THEN 1 ELSE 0 END AS new FROM t WINDOW w AS (PARTITION BY recording ORDER BY start_time, seq)),
+m AS (SELECT *, CASE WHEN lag(speaker) OVER w = speaker AND start_time - lag(end_time) OVER w <= {GAP} THEN 0 ELSE 1 END AS new FROM t WINDOW w AS (PARTITION BY recording ORDER BY start_time, seq)),
 i AS (SELECT *, sum(new) OVER (PARTITION BY recording ORDER BY start_time, seq) AS island FROM m),
 j AS (SELECT recording, island, min(speaker) AS speaker, min(start_time) AS start_time, arg_max(end_time, (start_time, seq)) AS end_time, count(*) AS turns, count(*) OVER (PARTITION BY recording) AS islands FROM i GROUP BY recording, island),
 k AS (SELECT *, lead(start_time) OVER (PARTITION BY recording ORDER BY island) AS next, (SELECT max(epoch_us(ts)) // 1000 - 60000 FROM events) AS mark FROM j)
-SELECT recording, speaker, round(start_time, 3) AS start_time, round(end_time, 3) AS end_time, turns FROM k
-WHERE floor((end_time + {GAP}) * 1000) + 1 <= mark OR floor(next * 1000) + 1 <= mark""")
+SELECT recording, speaker, round(start_time, 3) AS start_time, round(end_time, 3) AS end_time, turns, false AS late FROM k
+WHERE (floor((end_time + {GAP}) / {J.SLOT}) + 1) * {J.SLOT} * 1000 + 1 <= mark OR (floor(next / {J.SLOT}) + 1) * {J.SLOT} * 1000 + 1 <= mark""")
 def stream_turn_merge(t: Tables) -> DataFrame:
-    """Turn merging as a stream, one state per recording; turns come once the watermark has closed them."""
+    """Turn merging as a stream, one state per recording; turns come once the watermark has closed them. No row is late here."""
     start = F.unix_micros("ts") / F.lit(1e6)
     e = events_stream(t).select(F.col("user_id").alias("recording"), F.col("event_type").alias("speaker"), start.alias("start_time"), (start + F.col("value")).alias("end_time"), F.col("event_id").alias("seq"), "ts")
     with setting(t.spark, *J.ROCKSDB):

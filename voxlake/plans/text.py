@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators.dictionary import map_parts
 from .catalog import Tables, query
 
 #: Sentences with no lookbehind: a mark behind each end, then a split.
@@ -153,13 +154,14 @@ def fold_diacritics(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.fold_diacritics(F.lower("text")).alias("folded"))
 
 
-# A few spellings for the queries; callers bring their own table.
-SPELLINGS = {"the": "the", "colour": "color", "thon": "then", "ein": "one", "les": "the"}
-
-
-@query("SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda w: coalesce(MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in SPELLINGS.items()) + "}[w], w)), ' ') AS mapped FROM documents")
+@query("""WITH d AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS w FROM benchmark)
+SELECT doc_id, array_to_string(list_transform(string_split(text, ' '), lambda w: CASE WHEN list_contains(known, w) THEN '<' || w || '>' ELSE w END), ' ') AS mapped FROM documents, (SELECT list(w) AS known FROM d WHERE length(w) > 4)""")
 def spelling_map(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.spelling(F.col("text"), SPELLINGS).alias("mapped"))
+    """Words of documents by a dictionary that is a table: here the longer words of the benchmark, put in marks."""
+    words = t.benchmark.select(F.explode(F.split("text", " ")).alias("key")).filter(F.length("key") > 4).distinct()
+    d = t.documents.select("doc_id", F.split("text", " ").alias("words"))
+    d = map_parts(d, "words", words.select("key", F.concat(F.lit("<"), "key", F.lit(">")).alias("to")))
+    return d.select("doc_id", F.array_join("words", " ").alias("mapped"))
 
 
 @query()
@@ -221,15 +223,16 @@ def wire_text(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", w.alias("wire"), X.from_wire(w).alias("back"))
 
 
-@query(f"""WITH s AS (SELECT conv_id, turn, unnest({PARTS}) AS s, unnest(range(len({PARTS}))) AS i FROM conversations)
-SELECT conv_id, turn, string_agg(coalesce(MAP {{'The.': 'DER.', 'And.': 'UND.', 'Of.': 'VON.'}}[s], s), ' ' ORDER BY i) AS mapped FROM s GROUP BY 1, 2""")
+@query(f"""WITH s AS (SELECT conv_id, turn, unnest({PARTS}) AS s, unnest(range(len({PARTS}))) AS i FROM conversations),
+d AS (SELECT DISTINCT s AS key, 'X' || s AS tr FROM s WHERE turn = 0 AND i = 0)
+SELECT conv_id, turn, string_agg(coalesce(tr, s), ' ' ORDER BY i) AS mapped FROM s LEFT JOIN d ON key = s GROUP BY 1, 2""")
 def sentence_map(t: Tables) -> DataFrame:
-    """Map sentences by a dictionary, keep those that it doesn't have, and join them in order again."""
-    known = F.create_map(*[F.lit(x) for kv in {"The.": "DER.", "And.": "UND.", "Of.": "VON."}.items() for x in kv])
-    s = t.conversations.select("conv_id", "turn", F.posexplode(X.sentences(F.col("text"))).alias("i", "s"))
-    s = s.withColumn("s", F.coalesce(F.try_element_at(known, F.col("s")), F.col("s")))
-    g = s.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("x"))
-    return g.select("conv_id", "turn", F.array_join("x.s", " ").alias("mapped"))
+    """Map sentences by a table of translations (here of the sentences that begin a conversation), keep those that it
+    doesn't have, in order."""
+    s = t.conversations.select("conv_id", "turn", X.sentences(F.col("text")).alias("s")).filter(F.size("s") > 0)
+    known = s.filter("turn = 0").select(F.col("s")[0].alias("key")).distinct()
+    out = map_parts(s, "s", known.select("key", F.concat(F.lit("X"), "key").alias("to")))
+    return out.select("conv_id", "turn", F.array_join("s", " ").alias("mapped"))
 
 
 @query()

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEGMENT = "segment_id STRING, speaker STRING, start_time DOUBLE, end_time DOUBLE, duration DOUBLE, start_time_str STRING, end_time_str STRING, duration_str STRING, audio_file STRING, transcription STRING, language STRING, confidence DOUBLE, original_transcription STRING, translated_transcription STRING, source_language STRING, target_language STRING, target_language_code STRING"
+#: Where a record that could not be read is kept.
+BROKEN = "_broken_record"
 MEDIA = ("mp4", "avi", "mov", "mkv", "webm", "wav", "mp3", "flac", "m4a")
 
 
@@ -45,8 +48,38 @@ def pending(inputs: DataFrame, outputs: DataFrame, key: str = "path") -> DataFra
 
 
 def quarantine(rows: DataFrame, text: Column, schema: str) -> DataFrame:
-    """rows with parsed, and ok false where text is not JSON of the schema."""
-    return rows.withColumn("parsed", F.from_json(text, schema)).withColumn("ok", F.try_parse_json(text).isNotNull())
+    """rows with parsed, and ok false where text is null or is not JSON of the schema: broken JSON, JSON of another shape (a list or
+    a number for a map), or a value that does not fit its field. parsed is null where ok is false. Fields that the text
+    lacks are null, others that it has besides are passed over."""
+    kind = T._parse_datatype_string(schema)
+    record = isinstance(kind, T.StructType)
+    if record:  # only records have a place for what could not be read; a single value would be taken for a record's first field
+        kind = T.StructType([*kind.fields, T.StructField(BROKEN, T.StringType())])
+    parsed = F.from_json(text, kind, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    out = rows.withColumn("parsed", parsed)
+    begins = F.when(F.lit(isinstance(kind, T.ArrayType)), "[").otherwise("{")  # lists are not read as records, nor records as lists
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{BROKEN}"]')), "ARRAY<STRING>")  # parsers pass over what follows a value
+    ok = F.col("parsed").isNotNull() & F.ltrim(text).startswith(begins) & (F.size(alone) == 2) & (F.try_element_at(alone, F.lit(2)) == BROKEN)
+    out = out.withColumn("ok", F.coalesce(ok & F.col("parsed")[BROKEN].isNull() if record else ok, F.lit(False)))
+    return out.withColumn("parsed", F.when(F.col("ok"), F.col("parsed").dropFields(BROKEN) if record else F.col("parsed")))
+
+
+def split_quarantine(rows: DataFrame, text: Column, schema: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): both written under path in one pass, read back from there. good has parsed instead of the text's
+    failure, bad has the text itself as `broken`."""
+    checked = quarantine(rows, text, schema)
+    checked.withColumn("broken", F.when(~F.col("ok"), text)).write.mode("overwrite").partitionBy("ok").parquet(path)
+    schema = T.StructType([*checked.drop("ok").schema.fields, T.StructField("broken", T.StringType()), T.StructField("ok", T.BooleanType())])
+    both = rows.sparkSession.read.schema(schema).parquet(path)
+    return both.filter("ok").drop("broken", "ok"), both.filter("not ok").drop("parsed", "ok")
+
+
+def list_runs(spark: SparkSession, folder: str, begin: str, end: str, column: str = "run") -> DataFrame:
+    """(run, files, bytes) of the runs from begin to end, by name, of a table that is partitioned by `column`. Folders are pruned by
+    name and files only listed: no data file is opened."""
+    found = spark.read.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length LONG, content BINARY, " + f"`{column}` STRING").load(folder)
+    kept = found.filter(F.col(column).between(begin, end))
+    return kept.groupBy(column).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
 def write_segments(documents: DataFrame, path: str) -> None:

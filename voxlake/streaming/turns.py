@@ -2,78 +2,98 @@
 
 from __future__ import annotations
 
+import math
 import threading
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-OUT = "recording LONG, speaker STRING, start_time DOUBLE, end_time DOUBLE, turns LONG"
-STATE = "speaker STRING, start_time DOUBLE, end_time DOUBLE, turns LONG"
-ROWS = "start_time DOUBLE, seq LONG, speaker STRING, end_time DOUBLE"
-NAMES = ["recording", "speaker", "start_time", "end_time", "turns"]
+OUT = "recording LONG, speaker STRING, start_time DOUBLE, end_time DOUBLE, turns LONG, late BOOLEAN"
+OPEN = "speaker STRING, start_time DOUBLE, end_time DOUBLE, turns LONG"
+NAMES = ["recording", "speaker", "start_time", "end_time", "turns", "late"]
+#: Seconds of one slot of a recording's waiting rows.
+SLOT = 60.0
 #: The state store that TurnMerger needs.
 ROCKSDB = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 class TurnMerger(StatefulProcessor):
-    """Holds the rows of a recording until the watermark has passed their start, so that rows which come late, but not
-    later than the watermark allows, are merged in their place. The open turn is closed by a row of another speaker or
-    after a gap, or by the watermark once it passes the turn's end by the gap."""
+    """Rows of a recording wait in slots of SLOT seconds, a map keyed by slot, until the watermark has passed the slot's end, so
+    rows which come late, but not later than that, are merged in their place. A timer looks through the numbers of the
+    slots and reads the rows of those that are ready, each once. The open turn is closed by a row of another speaker or
+    after a gap, or once the slot is ready that the turn's end and the gap reach into. A row whose slot has been left behind
+    goes out by itself, marked late."""
 
     def __init__(self, gap: float):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", STATE)
-        self.rows = handle.getListState("rows", ROWS)
+        self.open = handle.getValueState("open", OPEN)
+        self.done = handle.getValueState("done", "slot LONG")
+        self.slots = handle.getMapState("slots", "slot LONG", "start_time ARRAY<DOUBLE>, seq ARRAY<LONG>, speaker ARRAY<STRING>, end_time ARRAY<DOUBLE>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        done = self.done.get()[0] if self.done.exists() else None
         batch = pd.concat(list(rows))[["start_time", "seq", "speaker", "end_time"]]
-        self.rows.appendList([(float(a), int(n), None if pd.isna(s) else s, float(z)) for a, n, s, z in batch.itertuples(index=False)])
-        self.handle.registerTimer(self._after(batch["start_time"].min()))
-        yield pd.DataFrame([], columns=NAMES)
+        slot = np.floor(batch["start_time"].to_numpy(float) / SLOT).astype(np.int64)
+        late = slot <= done if done is not None else np.zeros(len(slot), bool)
+        for s, own in batch[~late].groupby(slot[~late]):
+            new = [own[c].tolist() for c in ("start_time", "seq", "speaker", "end_time")]
+            new[2] = [None if pd.isna(x) else x for x in new[2]]
+            old = self.slots.getValue((int(s),)) if self.slots.containsKey((int(s),)) else ([],) * 4
+            self.slots.updateValue((int(s),), tuple(list(a) + b for a, b in zip(old, new, strict=True)))
+        if not late.all():
+            self.handle.registerTimer(_after(int(slot[~late].min())))
+        yield pd.DataFrame([(key[0], s, a, z, 1, True) for a, _, s, z in batch[late].itertuples(index=False)], columns=NAMES)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.rows.get()) if self.rows.exists() else []
-        ready = [r for r in rows if self._after(r[0]) <= mark]
+        waiting = sorted(k[0] for k in self.slots.keys())
+        ready = [k for k in waiting if _after(k) <= mark]
         held = self.open.get() if self.open.exists() else None
-        done = []
-        for start, _, speaker, end in ready:
-            if held is not None and held[0] == speaker and start - held[2] <= self.gap:
-                held = (speaker, held[1], end, held[3] + 1)
-            else:
-                done += [held] if held is not None else []
-                held = (speaker, start, end, 1)
-        if ready:
-            self.rows.put(rows[len(ready) :]) if len(ready) < len(rows) else self.rows.clear()
-        if held is not None and self._after(held[2] + self.gap) <= mark:
-            done.append(held)
-            held = None
+        out = []
+        for slot in ready:
+            for start, _, speaker, end in sorted(zip(*self.slots.getValue((slot,)), strict=True), key=lambda r: r[:2]):
+                if held is not None and speaker is not None and held[0] == speaker and start - held[2] <= self.gap:
+                    held = (speaker, held[1], end, held[3] + 1)
+                else:
+                    out += [held] if held is not None else []
+                    held = (speaker, start, end, 1)
+            self.slots.removeKey((slot,))
+        done = ready[-1:] + ([self.done.get()[0]] if self.done.exists() else [])
+        reach = math.floor((held[2] + self.gap) / SLOT) if held is not None else None
+        if held is not None and _after(reach) <= mark:  # all that could follow has been there
+            out.append(held)
+            held, done, reach = None, [*done, reach], None
+        if done:
+            self.done.update((max(done),))
+        for slot in [*waiting[len(ready) :][:1], *([reach] if held is not None else [])]:
+            self.handle.registerTimer(_after(slot))
         self.open.update(held) if held is not None else self.open.clear()
-        later = ([self._after(rows[len(ready)][0])] if len(ready) < len(rows) else []) + ([self._after(held[2] + self.gap)] if held is not None else [])
-        for t in later:
-            self.handle.registerTimer(t)
-        yield pd.DataFrame([(key[0], *t) for t in done], columns=NAMES)
-
-    @staticmethod
-    def _after(seconds: float) -> int:
-        return int(seconds * 1000) + 1
+        yield pd.DataFrame([(key[0], *t, False) for t in out], columns=NAMES)
 
     def close(self) -> None:
         pass
 
 
+def _after(slot: int) -> int:
+    """The millisecond after a slot's end."""
+    return math.ceil((slot + 1) * SLOT * 1000) + 1
+
+
 def merge_stream(turns: DataFrame, gap: float, late: str = "10 minutes") -> DataFrame:
-    """Turn merging over a stream (recording, speaker, start_time, end_time, seq, ts), where start_time is ts in seconds;
-    rows later than `late` are dropped by the watermark and counted in the query's progress. Needs the RocksDB state
+    """Turn merging over a stream (recording, speaker, start_time, end_time, seq, ts), where start_time is ts in seconds. Rows that
+    come after later ones have been merged, which the watermark of `late` allows, come out alone with late = true (write
+    the result partitioned by late to have them in a table of their own); none is dropped. Needs the RocksDB state
     store: the session must name it as spark.sql.streaming.stateStore.providerClass (ROCKSDB)."""
-    return turns.withWatermark("ts", late).groupBy("recording").transformWithStateInPandas(TurnMerger(gap), OUT, "append", "EventTime")
+    marked = turns.withWatermark("ts", late).drop("ts")  # without its time column a row is not dropped for its lateness
+    return marked.groupBy("recording").transformWithStateInPandas(TurnMerger(gap), OUT, "append", "EventTime")
 
 
 def window_stream(events: DataFrame, size: str = "30 seconds", slide: str | None = None, late: str = "1 minute") -> DataFrame:
