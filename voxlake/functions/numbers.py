@@ -210,60 +210,87 @@ def _vocabulary() -> dict[str, tuple[str, int, str]]:
 
 
 VOCABULARY = _vocabulary()
-#: All words that can belong to a number.
-NUMBER_WORDS = {*VOCABULARY, *SIGNS, *CURRENCIES, "per", "percent", "and", "double", "triple", "point"}
-
-
-class _Words:
-    """Reads words in order. The open number is an int as long as words add up (twenty one, two hundred), and a string of
-    digits once they only follow each other (one oh one, nineteen ninety)."""
-
-    def __init__(self):
-        self.out: list[str] = []
-        self.sign, self.open = "", None
-
-    def put(self, word: str | int | None = None, mark: str = "") -> None:
-        """Close with the word, or with the open number if there is one."""
-        word = self.open if word is None else word
-        if word is not None:
-            self.out.append(f"{self.sign}{word}{mark}")
-            self.sign, self.open = "", None
-
-    def follow(self, digits: str) -> None:
-        self.open = f"{self.open or ''}{digits}"
-
-    def add(self, n: int, before: str) -> None:
-        """A unit or ten behind the open number; before: kind of the word before."""
-        if self.open is None:
-            self.open = n
-        elif isinstance(self.open, str) or (n < 20 and before == "unit"):
-            self.open = f"{self.open[:-1]}{n}" if n < 10 and before == "ten" else f"{self.open}{n}"
+#: Letters of the kinds of words in PHRASE; those of ordinals and plurals are capitals.
+LETTERS_OF = {"zero": "z", "unit": "u", "ten": "t", "scale": "k"}
+#: A number phrase over such letters: sign; numeral (n, without sign and point i) or words, with "and" (a) only behind a scale; point (p) and digits; an
+#: ordinal or plural at the end; currency (c), percent (%) or per cent (rc). d: double or triple. Every part may lack.
+WORD = "(?:[zutk]|d[zu])"
+PHRASE = re.compile(rf"(?P<sign>s?)(?P<whole>(?:[ni]|{WORD})(?:(?:(?<=k)a)?{WORD})*)?(?P<part>p(?:[zuti]|d[zu]){WORD}*)?(?P<last>(?:(?<=k)a)?[ZUTK])?(?P<tail>[c%]|rc)?")
+
+
+def _letter(word: str) -> str:
+    if word in VOCABULARY:
+        kind, _, mark = VOCABULARY[word]
+        return LETTERS_OF[kind].upper() if mark else LETTERS_OF[kind]
+    other = {"and": "a", "point": "p", "per": "r", "percent": "%", "double": "d", "triple": "d"} | dict.fromkeys(SIGNS, "s") | dict.fromkeys(CURRENCIES, "c")
+    if m := NUMERAL.match(word):
+        return "n" if m[1] or "." in m[2] else "i"
+    return other.get(word, "x")
+
+
+def _below_scales(words: list[str]) -> str:
+    """Digits of words without a scale: tens take a unit, all else is written one behind the other. A numeral that ends in
+    enough zeros takes what follows."""
+    pieces, k = [], 0
+    while k < len(words):
+        n = [VOCABULARY[w][1] if w in VOCABULARY else w for w in words[k : k + 2]]
+        kinds = [VOCABULARY[w][0] if w in VOCABULARY else w for w in words[k : k + 2]]
+        if kinds[0] in ("double", "triple"):
+            pieces.append(str(n[1]) * (2 if kinds[0] == "double" else 3))
+        elif kinds[0] == "ten" and len(n) > 1 and kinds[1] == "unit" and n[1] < 10:
+            pieces.append(str(n[0] + n[1]))
         else:
-            self.open = self.open + n if self.open % (10 if n < 10 else 100) == 0 else f"{self.open}{n}"
-
-    def scale(self, n: int) -> None:
-        if self.open is None:
-            self.open = n
-        elif isinstance(self.open, int) and self.open:
-            self.open += self.open % 1000 * (n - 1)
-        else:
-            try:
-                whole = Fraction(self.open) * n
-            except ValueError:
-                whole = Fraction(1, 2)
-            if whole.denominator == 1:
-                self.open = whole.numerator
-            else:
-                self.put()
-                self.open = n
-
-    def numeral(self, sign: str, digits: str) -> None:
-        if isinstance(self.open, str) and self.open.endswith("."):
-            self.open += sign + digits
-            return
-        self.put()
-        self.sign = sign or self.sign
-        self.open = digits if Fraction(digits).denominator > 1 else int(Fraction(digits))
+            pieces.append(str(n[0]))
+            k -= 1
+        k += 2
+    first = "".join(pieces[:1])
+    if len(pieces) > 1 and words[0] not in VOCABULARY and first.isdigit() and pieces[1][0] != "0" and int(first) and int(first) % 10 ** len(pieces[1]) == 0:
+        pieces[:2] = [str(int(first) + int(pieces[1]))]
+    return "".join(pieces)
+
+
+def _phrase_digits(words: list[str]) -> str:
+    """Digits of a phrase without its sign: what stands before the largest scale times it, plus what follows if that is less."""
+    scales = [VOCABULARY[w][1] for w in words if w in VOCABULARY and VOCABULARY[w][0] == "scale"]
+    if not scales:
+        return _below_scales(words)
+    at = next(k for k, w in enumerate(words) if w in VOCABULARY and VOCABULARY[w][:2] == ("scale", max(scales)))
+    left, after = _phrase_digits(words[:at]) or "1", words[at + 1 :]
+    product = Fraction(left) * max(scales)
+    if product.denominator > 1:
+        return f"{left} {_phrase_digits(words[at:])}"
+    if len(scales) == 1:
+        return _below_scales([str(product.numerator), *after])
+    right = _phrase_digits(after)
+    if right.isdigit() and int(right) < max(scales):
+        return str(product.numerator + int(right))
+    return f"{product.numerator}{right}"
+
+
+def _spoken(words: list[str], m: re.Match) -> str:
+    """Digits, sign and mark of the phrase that m found in the letters of words."""
+    at = m.start("last") if m["last"] else m.end("part") if m["part"] else m.end("whole")
+    body = [w for w in words[m.end("sign") : at] if w != "and"]
+    sign = SIGNS[words[m.start()]] if m["sign"] else ""
+    if m["whole"] and (numeral := NUMERAL.match(body[0])):
+        sign, body[0] = numeral[1] or sign, numeral[2] if "." in numeral[2] else str(int(numeral[2]))
+    mark = ""
+    if m["last"]:
+        ordinal = words[m.end("last") - 1]
+        kind, n, mark = VOCABULARY[ordinal]
+        body.append(next(w for w, v in VOCABULARY.items() if v == (kind, n, "")))
+    if m["part"]:
+        point = body.index("point")
+        many = next((k for k, w in enumerate(body) if k > point and w in VOCABULARY and VOCABULARY[w][0] == "scale"), len(body))
+        whole, behind = _phrase_digits(body[:point]), _below_scales(body[point + 1 : many])
+        amount = _phrase_digits([f"{whole or 0}.{behind}", *body[many:]]) if many < len(body) else f"{whole}.{behind}"
+    else:
+        amount = _phrase_digits(body)
+    if m["tail"] in ("%", "rc"):
+        mark = "%"
+    elif m["tail"]:
+        sign = CURRENCIES[words[m.end() - 1]]
+    return f"{sign}{amount}{mark}"
 
 
 def digits(text: str) -> str:
@@ -274,51 +301,21 @@ def digits(text: str) -> str:
     for pattern, word in BEFORE_WORDS:
         text = re.sub(pattern, word, text)
     words = text.split()
-    kind = lambda k: VOCABULARY.get(words[k], ("", 0, ""))[0] if 0 <= k < len(words) and not VOCABULARY.get(words[k], ("", 0, ""))[2] else ""
-    numeric = lambda k: k < len(words) and words[k][0].isdigit() and NUMERAL.match(words[k]) is not None
-    r, k = _Words(), -1
-    while (k := k + 1) < len(words):
-        w, more = words[k], k + 1 < len(words) and (words[k + 1] in NUMBER_WORDS or numeric(k + 1))
-        if m := NUMERAL.match(w):
-            r.numeral(m[1], m[2])
-        elif w in VOCABULARY:
-            what, n, mark = VOCABULARY[w]
-            if what == "zero":
-                r.follow("0")
-            elif what == "scale":
-                r.scale(n)
-            else:
-                r.add(n, kind(k - 1))
-            if mark:
-                r.put(mark=mark)
-        elif w in SIGNS:
-            r.put()
-            if more:
-                r.sign = SIGNS[w]
-            else:
-                r.put(w)
-        elif r.open is not None and w in CURRENCIES:
-            r.sign = CURRENCIES[w]
-            r.put()
-        elif r.open is not None and w == "percent":
-            r.put(mark="%")
-        elif r.open is not None and w == "per" and k + 1 < len(words) and words[k + 1] == "cent":
-            r.put(mark="%")
+    letters, out, k = "".join(map(_letter, words)), [], 0
+    while k < len(words):
+        m = PHRASE.match(letters, k)
+        if not (m["whole"] or m["part"] or m["last"]):
+            out.append(words[k])
             k += 1
-        elif w == "and" and more and kind(k - 1) == "scale":
-            pass
-        elif w in ("double", "triple") and more and kind(k + 1) in ("zero", "unit"):
-            r.follow(str(VOCABULARY[words[k + 1]][1]) * (2 if w == "double" else 3))
+            continue
+        if (m["tail"] == "rc" and words[m.end() - 1] != "cent") or (m["tail"] and m["last"]):
+            m = PHRASE.match(letters, k, m.start("tail"))
+        out.append(_spoken(words, m))
+        k = m.end()
+        if letters[k - 1 : k + 2] in ("kan", "kai"):  # "3 hundred and 7" is two numbers, and neither needs the "and"
             k += 1
-        elif w == "point" and more:
-            if kind(k + 1) in ("zero", "unit", "ten") or numeric(k + 1):
-                r.follow(".")
-        else:
-            r.put()
-            r.put(w)
-    r.put()
-    out = CENTS.sub(lambda m: f"{m[1]}{m[2]}.{int(m[3]):02d}", " ".join(r.out))
-    return LONE_ONE.sub(r"one\1", ONLY_CENTS.sub(lambda m: f"¢{int(m[1])}", out))
+    said = CENTS.sub(lambda m: f"{m[1]}{m[2]}.{int(m[3]):02d}", " ".join(out))
+    return LONE_ONE.sub(r"one\1", ONLY_CENTS.sub(lambda m: f"¢{int(m[1])}", said))
 
 
 @F.pandas_udf(T.StringType())

@@ -6,6 +6,7 @@ import re
 import textwrap
 import unicodedata
 from collections.abc import Callable
+from itertools import accumulate, pairwise
 
 import pandas as pd
 from pyspark.sql import Column
@@ -131,23 +132,19 @@ def _sentences(t: str) -> list[str]:
 
 
 def _clauses(sentence: str, most: int) -> list[str]:
-    """A long sentence in chunks. Whenever a mark of , : ; - lies more than `most` behind the last cut, the text up to it
-    leaves, or of this the part before the last blank within `most`; what is left in the end leaves in two at most."""
-
-    def fitting(x: str) -> int:
-        """Characters of x up to the last blank within `most`; all where x is short or has no such blank."""
-        blank = x.rfind(" ", 0, most) if len(x) > most else -1
-        return blank if blank > 0 else len(x)
-
-    out, cut = [], 0
-    for m in re.finditer(r"[,:;\-]", sentence):
-        if m.start() - cut > most:
-            x = sentence[cut : m.start()].strip()
-            n = fitting(x)
-            out.append(x[:n].strip())
-            cut = m.start() if n == len(x) else cut + n
-    x = sentence[cut:].strip()
-    return [*out, x[: fitting(x)].strip(), x[fitting(x) :].strip()]
+    """A long sentence in chunks, by one rule over places: a chunk ends at the first mark of , : ; - that lies more than `most`
+    behind its start, or at the last blank within `most` where there is one. What the marks leave is cut once more by it."""
+
+    def end(start: int, mark: int) -> int:
+        if mark - start <= most:
+            return start
+        begin = mark - len(sentence[start:mark].lstrip())
+        blank = sentence.rfind(" ", begin + 1, begin + most) if len(sentence[begin:mark].rstrip()) > most else -1
+        return mark if blank < 0 else blank
+
+    places = [*accumulate((m.start() for m in re.finditer(r"[,:;\-]", sentence)), end, initial=0)]
+    places += [end(places[-1], len(sentence)), len(sentence)]
+    return [sentence[a:b].strip() for a, b in pairwise(places)]
 
 
 def over_texts(split: Callable[[str, int], list[str]]) -> Callable[[Column, Column], Column]:
