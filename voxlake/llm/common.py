@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import drop, new_path, shared_dir, table  # noqa: F401
+from ..sources.shared import drop, new_path, prepare, shared_dir, table  # noqa: F401
 
 #: The white space that separates words in every operator here: blank and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package. Arrow batches stay as the session has them: Spark itself ends a batch
-    with the row that passes spark.sql.execution.arrow.maxBytesPerBatch (64 MB if unset), so long texts do not add up."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
-    if root not in paths.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
-
-
 def text_key(*cols: str | Column) -> list[Column]:
     """128 bits that stand for the given columns' values: two hashes with different starts."""
     return [F.xxhash64(*cols), F.xxhash64(F.lit(7919), *cols)]
