@@ -95,12 +95,11 @@ def plain_grams(text):
     return [g for g, _ in sorted(out.items(), key=lambda x: (-x[1], x[0]))], out
 
 
-def plain_languages(docs, taught):
+def plain_languages(docs, most):
     counts = {}
     for _, text, lang in docs:
-        if lang is not None and text is not None and taught(text):
+        if lang is not None and text is not None:
             counts.setdefault(lang, Counter()).update(plain_grams(text)[1])
-    most = languages.PROFILE
     profiles = {k: {g: i for i, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:most])} for k, c in counts.items() if c}
     out = []
     for i, text, _ in docs:
@@ -113,8 +112,8 @@ def plain_languages(docs, taught):
     return sorted(out, key=repr)
 
 
-def predicted(docs, profiles):
-    out = languages.predict(docs, profiles).select("row.doc_id", "lang_pred", "score")
+def predicted(docs, profiles, size=languages.PROFILE):
+    out = languages.predict(docs, profiles, size=size).select("row.doc_id", "lang_pred", "score")
     return sorted(((r.doc_id, r.lang_pred, round(r.score, 9)) for r in out.collect()), key=repr)
 
 
@@ -122,10 +121,10 @@ def predicted(docs, profiles):
 def test_languages(spark, docs, monkeypatch, held, at_once):
     monkeypatch.setattr(languages, "HELD", held)
     monkeypatch.setattr(languages, "LANGUAGES", at_once)
-    monkeypatch.setattr(languages, "PROFILE", 60)
-    want = plain_languages([(r[0], r[1], r[2]) for r in ROWS], lambda t: True)
-    assert {"und", "en", "de"} <= {x for _, x, _ in want}
-    assert predicted(docs, languages.fit(docs)) == want
+    for size in (30, 400):
+        want = plain_languages([(r[0], r[1], r[2]) for r in ROWS], size)
+        assert {"und", "en", "de"} <= {x for _, x, _ in want}
+        assert predicted(docs, languages.fit(docs, size=size), size) == want
 
 
 def test_languages_of_odd_tables(spark, docs, none, clash):

@@ -71,14 +71,14 @@ def counted(found: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndar
     return gram, np.bincount(back, weights=times, minlength=len(gram)).astype(np.int64)
 
 
-def most_frequent(found: np.ndarray) -> np.ndarray:
-    """The PROFILE most frequent n-grams, of equal ones the first by their characters."""
+def most_frequent(found: np.ndarray, size: int) -> np.ndarray:
+    """The `size` most frequent n-grams, of equal ones the first by their characters."""
     gram, n = counted(found)
-    return gram[np.argsort(-n, kind="stable")[:PROFILE]]
+    return gram[np.argsort(-n, kind="stable")[:size]]
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", where: str | None = None) -> DataFrame:
-    """(lang, place, gram): the profiles of all languages, from all texts of docs that `where` allows; rows with a null text or
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", where: str | None = None, size: int = PROFILE) -> DataFrame:
+    """(lang, place, gram): the profiles of all languages, `size` n-grams each, from all texts of docs that `where` allows; rows with a null text or
     language teach nothing, languages whose texts have no letter get no profile. Written to the shared folder."""
     prepare(docs.sparkSession)
     some = (docs.filter(where) if where else docs).select(quoted(lang_col).alias("lang"), quoted(text_col).alias("text"))
@@ -113,16 +113,16 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", where:
 
     counts = some.filter("lang is not null and text is not null").mapInArrow(run, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")  # the least places of each task first, so PROFILE rows a task meet
-    top = counts.withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < PROFILE)
+    w = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")  # the least places of each task first, so `size` rows a task meet
+    top = counts.withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < size)
     return table(top.select("lang", "place", "gram"), "profiles")
 
 
 class Profiles:
     """Profiles of some languages as one table of places."""
 
-    def __init__(self, languages: list[str], at: np.ndarray, place: np.ndarray, gram: np.ndarray):
-        self.languages = languages
+    def __init__(self, size: int, languages: list[str], at: np.ndarray, place: np.ndarray, gram: np.ndarray):
+        self.size, self.languages = size, languages
         self.grams, row = np.unique(gram, return_inverse=True)
         self.places = np.full((len(self.grams) + 1, len(languages)), -1, np.int32)  # the last row: n-grams of no profile
         self.places[row, at] = place
@@ -132,12 +132,12 @@ class Profiles:
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
         at = np.where(self.grams[at] == own, at, len(self.grams))
         there = self.places[at]
-        return np.where(there < 0, PROFILE, np.abs(there - np.arange(len(own))[:, None])).sum(axis=0)
+        return np.where(there < 0, self.size, np.abs(there - np.arange(len(own))[:, None])).sum(axis=0)
 
 
-def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size: int = PROFILE) -> DataFrame:
     """(row, lang_pred, score): a document's columns but the text, the language of least distance (of equal ones the first by
-    name) and how much of the greatest possible distance it keeps clear of, from 0 to 1.
+    name) and how much of the greatest possible distance it keeps clear of, from 0 to 1. size: that of the profiles.
 
     Null texts and texts without a letter get UNKNOWN and 0, as do all texts if there is no profile. Texts are read whole
     and may be of any length; equal texts get equal results. Columns of docs, of any name, stay in `row`."""
@@ -150,7 +150,7 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text") -> Dat
         some = names[k : k + LANGUAGES]
         rows = profiles.filter(F.col("lang").isin(some)).toArrow() if len(names) > LANGUAGES else profiles.toArrow()
         at = {n: i for i, n in enumerate(some)}
-        shared = spark.sparkContext.broadcast(Profiles(some, np.array([at[n] for n in rows.column("lang").to_pylist()]), rows.column("place").to_numpy(), rows.column("gram").to_numpy()))
+        shared = spark.sparkContext.broadcast(Profiles(size, some, np.array([at[n] for n in rows.column("lang").to_pylist()]), rows.column("place").to_numpy(), rows.column("gram").to_numpy()))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
@@ -162,11 +162,11 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text") -> Dat
                     found, owner = grams(chars, owner)
                     ends = np.searchsorted(owner, np.arange(len(part) + 1))
                     for i in np.flatnonzero(letters).tolist():
-                        first = most_frequent(found[ends[i] : ends[i + 1]])
+                        first = most_frequent(found[ends[i] : ends[i + 1]], own.size)
                         far = own.distances(first)
                         best = int(far.argmin())
                         if least[at + i] is None or far[best] < least[at + i]:
-                            lang[at + i], least[at + i], greatest[at + i] = own.languages[best], int(far[best]), len(first) * PROFILE
+                            lang[at + i], least[at + i], greatest[at + i] = own.languages[best], int(far[best]), len(first) * own.size
                     at += len(part)
                 yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), pa.array(lang, pa.string()), pa.array(least, pa.int64()), pa.array(greatest, pa.int64())], b.schema.names)
 
