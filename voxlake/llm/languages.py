@@ -25,6 +25,8 @@ from .tokens import in_parts
 PROFILE = 400
 #: Different n-grams that a task counts before it hands its counts on, and languages compared in one pass.
 HELD, LANGUAGES = 2_000_000, 1000
+#: Bytes of texts whose n-grams are held at once (some 60 bytes for each byte of text), unless one text alone is longer.
+PART = 1 << 20
 #: What texts without a letter get.
 UNKNOWN = "und"
 BLANK = 32
@@ -94,7 +96,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", where:
         for b in batches:
             coded = b.column("lang").dictionary_encode()
             names, place, at = coded.dictionary.to_pylist(), coded.indices.to_numpy(), 0
-            for part in in_parts(b.column("text")):
+            for part in in_parts(b.column("text"), PART):
                 own = place[at : at + len(part)]
                 at += len(part)
                 found, owner = grams(*characters(part)[:2])
@@ -157,7 +159,7 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size:
             for b in batches:
                 lang, least, greatest = (b.column(c).to_pylist() for c in ("lang_pred", "least", "greatest"))
                 at = 0
-                for part in in_parts(b.column("text")):
+                for part in in_parts(b.column("text"), PART):
                     chars, owner, letters = characters(part)
                     found, owner = grams(chars, owner)
                     ends = np.searchsorted(owner, np.arange(len(part) + 1))
