@@ -292,3 +292,46 @@ def test_identifiers_in_the_documents(spark):
                 right += re.fullmatch("[0-9a-fA-F]{40}", r.text[int(a) : int(z)]) is not None
     keys = sum(len(re.findall(r"(?i)\btoken = \"[0-9a-f]{40}", r.text or "")) for r in docs.collect())
     assert found >= 10 and right >= 0.95 * found and right == keys
+
+
+def keys_found(docs, shape=None):
+    """(share of the keys in quotes behind `token =` that come out as identifiers, share of identifiers that are keys)."""
+    spans = pii.digest(pii.find(docs, shape=shape)).select("doc_id", "spans")
+    found = right = keys = 0
+    for r in docs.join(spans, "doc_id").collect():
+        want = {m.span(1) for m in re.finditer(r"(?i)\btoken = \"([0-9a-fA-F]+)", r.text or "")}
+        got = {tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("id:")}
+        found, right, keys = found + len(got), right + len(got & want), keys + len(want)
+    assert keys > 10
+    return right / keys, right / max(found, 1)
+
+
+def test_keys_of_another_shape(spark):
+    """Half of the keys are cut to 24 digits, which is no seed: the context that they share with the others finds them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    cut = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("text", r"(?i)(token = \"[0-9a-f]{24})[0-9a-f]{16}", "$1")).otherwise(F.col("text"))
+    recall, precision = keys_found(docs.withColumn("text", cut))
+    assert recall >= 0.9 and precision >= 0.95
+
+
+def test_keys_that_are_no_seeds(spark):
+    """Half of the keys, by a hash, are seeds no longer."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    recall, precision = keys_found(docs, F.rlike("value", F.lit(pii.SHAPE)) & (F.xxhash64("value") % 2 == 0))
+    assert recall >= 0.9 and precision >= 0.95
+
+
+def test_long_contexts(spark):
+    """Words beside an identifier may be of any length; only equal ones are one context."""
+    word = "w" * 5000
+    texts = [f"{word} = user{i}@mail.example.com" for i in range(5)] + [f"{word} = XK-44-77812", f"{word}x = XK-44-99999", f"{word[:64]} = XK-44-11111"]
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    assert got[5] == "id:5003:5014" and got[6] == got[7] == ""
+
+
+def test_texts_with_marks(spark):
+    """The characters that mark matches may stand in a text."""
+    texts = ["\u0001a@b.cc\u0002 \u00024111\u00011111 x 10.0.0.1\u0002", "\u0001\u0002"]
+    got = {r.doc_id: r.base_sha256 for r in pii.digest(pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == hashlib.sha256(",".join(f"{list(PATTERNS)[k]}:{a}:{z}" for a, k, z in plain_spans(t)).encode()).hexdigest()

@@ -1,14 +1,17 @@
 r"""Personal data: fixed patterns, and identifiers that bootstrapping finds in the same contexts.
 
 The fixed patterns give seed spans; tokens in the shape of a digest or access key (SHAPE) are seeds too, but no
-spans by themselves. The words before and after a seed are lexical patterns; identifier-like tokens beside the
-same words are candidate instances. Patterns and instances score each other in rounds: a pattern's confidence
-is the share of all occurrences of its word, in the whole corpus, that a trusted instance stands beside, and an
-instance's is the chance that one of its trusted patterns is right. Instances that trusted patterns find and no
-fixed pattern matches become spans of kind `id`, wherever they occur. DataFrame functions only.
-
-Spans come from regular expressions anchored with \G, so each match goes on where the last one ended and a
-text is passed over once. Repeated groups are possessive: they need no stack, however long a run is.
+spans by themselves. A pattern is the word before a token with the marks between (`token = "`), or the marks and the word
+behind it. Identifier-like tokens in the same contexts are candidate instances. Patterns and instances score each other in
+rounds: a pattern's confidence is the share of trusted instances among these and what speaks against it: its
+occurrences, in the whole corpus, with no identifier-like token beside them, and instances of a make (which classes of
+characters they have) that none of its trusted ones has. Instances not trusted yet, but of such a make, speak neither
+way: they are what is to be found. An instance's confidence is the chance that one of its trusted patterns is right; trusted
+instances count for other patterns in the next round. Those that no fixed pattern matches become spans of kind `id`,
+wherever they occur. DataFrame functions only.
+
+Texts are passed over once for each kind: matches are marked, and texts split at the marks. Repeated groups are
+possessive: they need no stack, however long a run is.
 """
 
 from __future__ import annotations
@@ -37,13 +40,35 @@ TOKEN = rf"(?<![^{BETWEEN}])(?=[^{BETWEEN}]*[0-9])[^{BETWEEN}]{{6,}}+"
 SHAPE = r"^(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})$"
 #: Rounds, least confidence that is trusted, and different trusted instances that a pattern needs.
 ROUNDS, TRUST, SEEDS = 3, 0.6, 3
-#: Longest word, in characters, that makes a pattern, and patterns whose words are broadcast (a few MB); more are joined.
-LONGEST, CONTEXTS = 64, 50_000
+#: Patterns that are broadcast to count their occurrences (16 bytes each); more are joined.
+CONTEXTS = 50_000
+#: Marks around matches while a text is split, and what stands for them where a text has them itself.
+OPEN, CLOSE, OTHER = "\u0001", "\u0002", "\u0003"
+#: Classes of characters that make up an identifier, a bit each.
+MAKE = {1: "[0-9]", 2: "[A-Fa-f]", 4: "[G-Zg-z]", 8: r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]", 16: r"[^\x00-\x7F]"}
 
 
-def left_word(gap: Column) -> Column:
-    """Last token of the text before a match, in lower case; null if there is none."""
-    return F.lower(F.nullif(F.regexp_extract(gap, rf"(?<![^{BETWEEN}])([^{BETWEEN}]++)[{BETWEEN}]*+$", 1), F.lit("")))
+def plain(c: Column) -> Column:
+    """Lower case, with one blank for any white space and one kind of quotes."""
+    return F.translate(F.lower(F.regexp_replace(c, r"\s+", " ")), "'", '"')
+
+
+def left_context(gap: Column) -> Column:
+    """Last token of the text before a match with the marks behind it, null if there is none."""
+    return F.nullif(plain(F.regexp_extract(gap, rf"([^{BETWEEN}]++[{BETWEEN}]++)$", 1)), F.lit(""))
+
+
+def right_context(gap: Column) -> Column:
+    """First token of the text behind a match with the marks before it, null if there is none."""
+    return F.nullif(plain(F.regexp_extract(gap, rf"^([{BETWEEN}]++[^{BETWEEN}]++)", 1)), F.lit(""))
+
+
+def make(value: Column) -> Column:
+    """Which classes of characters a token has."""
+    out = F.lit(0)
+    for bit, c in MAKE.items():
+        out = out + F.when(F.rlike(value, F.lit(c)), bit).otherwise(0)
+    return out
 
 
 def _digits(c: Column) -> Column:
@@ -74,24 +99,27 @@ def passes(kind: str, value: Column) -> Column:
 
 def spans_of(rows: DataFrame) -> DataFrame:
     """(row, rank, pos, skip, size, value, left, right) of seeds (rank 0 to 3, in the order of KINDS) and candidates
-    (rank 4) of rows (row, text); left and right are the words beside them. The text is read once: the matches of all
-    kinds come from one projection."""
-    patterns = [*KINDS.values(), ("[0-9]", TOKEN)]
+    (rank 4) of rows (row, text); left and right are hashes of the contexts beside them."""
+    text = F.translate("text", OPEN + CLOSE, OTHER + OTHER)  # as many characters, and no kind has any of them
     kinds = []
-    for rank, (hint, pattern) in enumerate(patterns):
-        one = F.lit(rf"\G([\s\S]*?)({pattern})(?:(?=[{BETWEEN}]*+([^{BETWEEN}]{{1,{LONGEST}}}+)))?")
-        found = F.arrays_zip(*[F.regexp_extract_all("text", one, F.lit(k)).alias(n) for k, n in ((1, "gap"), (2, "value"), (3, "right"))])
+    for rank, (hint, pattern) in enumerate([*KINDS.values(), ("[0-9]", TOKEN)]):
         ask = F.contains(F.col("text"), F.lit(hint)) if hint == "@" else F.rlike("text", F.lit(hint))
-        cut = F.transform(found, lambda x: F.struct(F.char_length(x["gap"]).alias("skip"), F.char_length(x["value"]).alias("size"), x["value"].alias("value"), left_word(x["gap"]).alias("left"), F.lower(F.nullif(x["right"], F.lit(""))).alias("right")))
-        kinds.append(F.struct(F.lit(rank).alias("rank"), F.when(ask, cut).alias("found")))
-    each = rows.select("row", F.explode(F.array(*kinds)).alias("k")).select("row", "k.rank", F.posexplode("k.found").alias("pos", "m"))
-    return each.select("row", "rank", "pos", "m.*")
-
-
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+        pieces = F.split(F.when(ask, F.regexp_replace(text, F.lit(pattern), F.lit(f"{OPEN}$0{CLOSE}"))), OPEN)
+        kinds.append(F.struct(F.lit(rank).alias("rank"), pieces.alias("pieces")))
+    each = rows.select("row", F.explode(F.array(*kinds)).alias("k")).select("row", "k.rank", "k.pieces").filter(F.size("pieces") > 1)
+    gap = lambda k: F.when(k == 0, F.col("pieces")[0]).otherwise(F.substring_index(F.get("pieces", k), CLOSE, -1))
+    left, right = (lambda k: F.xxhash64(F.lit(0), left_context(gap(k)))), (lambda k: F.xxhash64(F.lit(1), right_context(gap(k + 1))))
+    near = lambda k: F.struct(F.char_length(gap(k)).alias("skip"), F.substring_index(F.get("pieces", k + 1), CLOSE, 1).alias("value"), left(k).alias("left"), right(k).alias("right"))
+    one = each.select("row", "rank", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("pieces") - 2), near)).alias("pos", "m"))
+    no = [F.xxhash64(F.lit(k), F.lit(None).cast("string")) for k in (0, 1)]  # the hash of no context
+    return one.select("row", "rank", "pos", "m.skip", F.char_length("m.value").alias("size"), "m.value", F.nullif("m.left", no[0]).alias("left"), F.nullif("m.right", no[1]).alias("right"))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, shape: Column | None = None) -> DataFrame:
     """(doc_id, spans array<struct<start int, rank int, end int>>) of every input row, ordered by start and
     kind (rank 0 to 3: KINDS; 4: id); with keep, also `row`, all columns of docs as a struct. Positions are code
-    points, ends are exclusive.
+    points, ends are exclusive. shape: which tokens (an expression of `value`) are seeds besides the fixed kinds, SHAPE if it
+    isn't given.
 
     Null and empty texts have no spans; texts may be of any length. Rows repeated in full get the same spans. Candidates
     that overlap a fixed span are not looked at, and a candidate loses its final . ! and ?. Columns of docs may have any
@@ -125,7 +153,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     clash = (F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False)) | same.isNotNull()) & (F.col("rank") == 4)
     place = [F.col("row"), F.col("rank"), F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")]
     found = table(found.withColumn("clash", clash).filter("not clash").select(*place, "value", "left", "right"), "spans")
-    good = identifiers(found, rows.select("text"))
+    good = identifiers(found, rows.select("text"), shape)
     extra = found.filter("rank = 4").join(good, "value", "left_semi")
     spans = found.filter("rank < 4").select("row", "start", "rank", "end").union(extra.select("row", "start", "rank", "end"))
     spans = spans.groupBy(F.col("row").alias("at")).agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end"))).alias("spans"))
@@ -134,33 +162,40 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     return with_spans.union(rows.filter("not some").select(*own, none.alias("spans")))
 
 
-def occurrences(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """(word, all): how often each of the given words occurs in the whole corpus."""
-    token = texts.select(F.explode(F.split("text", f"[{BETWEEN}]+")).alias("word")).filter(F.char_length("word") <= LONGEST).select(F.lower("word").alias("word"))
-    if words.count() <= CONTEXTS:
-        token = token.join(F.broadcast(words), "word", "left_semi")
-    # counted before any join by word: frequent words then meet in a row a task, however many texts hold them
-    counts = token.groupBy("word").agg(F.count("*").alias("all"))
-    return table(counts.join(words, "word"), "context-counts")
+def occurrences(texts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(p, all): how often each of the given contexts occurs in the whole corpus."""
+    text = texts.select(plain(F.col("text")).alias("text"))
+    sides = [(0, rf"[^{BETWEEN}]++[{BETWEEN}]++"), (1, rf"[{BETWEEN}]++[^{BETWEEN}]++")]
+    found = [text.select(F.explode(F.regexp_extract_all("text", F.lit(c), F.lit(0))).alias("c")).select(F.xxhash64(F.lit(k), "c").alias("p")) for k, c in sides]
+    found = found[0].union(found[1])
+    if contexts.count() <= CONTEXTS:
+        found = found.join(F.broadcast(contexts), "p", "left_semi")
+    # counted before any join: frequent contexts then meet in a row a task, however many texts hold them
+    return table(found.groupBy("p").agg(F.count("*").alias("all")).join(contexts, "p"), "context-counts")
 
 
-def identifiers(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """(value): candidate values that the rounds of scoring trust. found: of spans_of, texts: the whole corpus."""
-    sides = F.array(*[F.struct(F.lit(k).alias("side"), F.col(k).alias("word")) for k in ("left", "right")])
-    graph = found.select("rank", "value", F.explode(sides).alias("p")).filter(F.col("p.word").isNotNull() & (F.char_length("p.word") <= LONGEST))
+def identifiers(found: DataFrame, texts: DataFrame, shape: Column | None = None) -> DataFrame:
+    """(value): candidate values that the rounds of scoring trust. found: of spans_of, texts: the whole corpus, shape: which
+    values are seeds besides those of fixed patterns (SHAPE)."""
+    shape = F.rlike("value", F.lit(SHAPE)) if shape is None else shape
+    graph = found.select("rank", "value", F.explode(F.array("left", "right")).alias("p")).filter("p is not null")
     base = F.col("rank") < len(KINDS)
-    graph = graph.groupBy("p", "value").agg(F.count("*").alias("n"), F.max(base).alias("base"), F.max(base | F.rlike("value", F.lit(SHAPE))).alias("seed"))
+    graph = graph.groupBy("p", "value").agg(F.count("*").alias("n"), F.max(base).alias("base"), F.max(base | shape).alias("seed"))
     graph = table(graph, "graph")
     # a pattern with fewer instances than it needs trusted ones can be left out at once
     enough = graph.groupBy("p").agg(F.count("*").alias("instances")).filter(F.col("instances") >= SEEDS).select("p")
-    graph = table(graph.join(enough, "p", "left_semi"), "patterns")
-    often = occurrences(texts, table(graph.select("p.word").distinct(), "contexts"))
+    graph = table(graph.join(enough, "p", "left_semi").withColumn("make", make(F.col("value"))), "patterns")
+    often = occurrences(texts, table(graph.select("p").distinct(), "contexts"))
     trusted = graph.groupBy("value").agg(F.max("base").alias("base"), F.max("seed").alias("seed")).withColumns({"s": F.lit(0.0), "c": F.col("seed").cast("double")})
     for _ in range(ROUNDS):
-        seen = graph.select("p", "value", "n").join(trusted.select("value", "c"), "value")
-        pattern = seen.groupBy("p").agg(F.sum(F.col("n") * F.col("c")).alias("hits"), F.sum((F.col("c") >= TRUST).cast("int")).alias("different"))
-        pattern = pattern.filter(F.col("different") >= SEEDS).withColumn("word", F.col("p.word")).join(often, "word")
-        pattern = pattern.select("p", F.least(F.col("hits") / F.col("all"), F.lit(0.999)).alias("c")).filter(F.col("c") >= TRUST)
+        sure = F.col("c") >= TRUST
+        seen = graph.select("p", "value", "n", "make").join(trusted.select("value", "c"), "value")
+        makes = seen.groupBy("p", "make").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(sure, F.col("n"))), F.lit(0)).alias("hits"), F.sum(sure.cast("int")).alias("different"))
+        against = F.sum(F.when(F.col("different") == 0, F.col("n")).otherwise(0))
+        pattern = makes.groupBy("p").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.sum("different").alias("different"), against.alias("against"))
+        pattern = pattern.filter(F.col("different") >= SEEDS).join(often, "p")
+        bare = F.greatest(F.col("all") - F.col("n"), F.lit(0))
+        pattern = pattern.select("p", (F.col("hits") / (F.col("hits") + F.col("against") + bare + 1)).alias("c")).filter(F.col("c") >= TRUST)
         score = graph.select("p", "value").join(pattern, "p").groupBy("value").agg((1 - F.exp(F.sum(F.log(1 - F.col("c"))))).alias("s"))
         trusted = trusted.select("value", "base", "seed").join(score, "value", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
         trusted = table(trusted.withColumn("c", F.when(F.col("seed"), 1.0).otherwise(F.col("s"))), "trusted")
