@@ -1,7 +1,7 @@
 """A quality classifier of learned subword embeddings.
 
-Every word, its character n-grams and every pair of adjacent words are hashed to rows of one embedding table. A
-document is the mean of the rows of all its words and pairs; a softmax over two classes on top is trained with it
+Every word, its character n-grams, every pair of adjacent words and the class of how often a word comes in its document (in
+powers of two, absolute and as a share) are hashed to rows of one embedding table. A document is the mean of the rows of all its words and pairs; a softmax over two classes on top is trained with it
 by stochastic gradient descent in numpy, on a bounded sample of labelled documents whose rows are hashed by tasks.
 Scoring is a map over all documents: as the model is linear in the mean, a word's part of the score is one
 number, kept for repeated words.
@@ -32,8 +32,10 @@ EPOCHS, RATE, SEED = 6, 0.5, 11
 #: Different words whose part of the score a task keeps, and their greatest length.
 CACHE, LONGEST = 500_000, 64
 THRESHOLD = 0.3
-#: The odd factor of the hashes of n-grams and pairs, and the hash of a repeat in a pair (no word has it: theirs have 32 bits).
-PRIME, REPEAT = np.uint64(0x9E3779B97F4A7C15), np.uint64(1 << 32)
+#: The odd factor of the hashes of n-grams, pairs and classes.
+PRIME = np.uint64(0x9E3779B97F4A7C15)
+#: Classes of a word's count (1, 2, 4 and so on) and of the words of its document for each time that it comes.
+TIMES, SHARES = 7, 8
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,14 +61,18 @@ def hashes(words: list[str]) -> np.ndarray:
 
 
 def pair_rows(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Rows of adjacent words, from their hashes. A pair is hashed in the form that leaves out which word repeats: all
-    pairs of a word and itself are one n-gram, `= =`, so a repeat is learned from whatever words repeat."""
-    again = first == second
-    first, second = np.where(again, REPEAT, first), np.where(again, REPEAT, second)
+    """Rows of adjacent words, from their hashes."""
     h = ((first + np.uint64(1)) * PRIME ^ second) * PRIME
     return ((h ^ h >> np.uint64(29)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def class_rows(times: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Rows of words that come so many times in documents of so many words."""
+    k = np.minimum(np.log2(times).astype(np.int64), TIMES - 1) * SHARES + np.minimum(np.log2(words / times).astype(np.int64), SHARES - 1)
+    h = (k + (1 << 33)).astype(np.uint64) * PRIME  # no word hashes to such a number
+    return ((h ^ h >> np.uint64(29)) % np.uint64(BUCKETS)).astype(np.int64)
+
+
 def document_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(different rows of a document, their counts) of its words in order."""
     if not words:
@@ -76,9 +82,9 @@ def document_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
     rows, owners = features(different)
     h = hashes(different)[place]
-    found, back = np.unique(np.concatenate([rows, pair_rows(h[:-1], h[1:])]), return_inverse=True)
-    times = np.concatenate([np.bincount(place, minlength=len(different))[owners], np.ones(len(h) - 1, np.int64)])
-    return found, np.bincount(back, weights=times).astype(np.int64)
+    times = np.bincount(place, minlength=len(different))
+    found, back = np.unique(np.concatenate([rows, pair_rows(h[:-1], h[1:]), class_rows(times, len(words))]), return_inverse=True)
+    return found, np.bincount(back, weights=np.concatenate([times[owners], np.ones(len(h) - 1, np.int64), times])).astype(np.int64)
 
 
 def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -186,6 +192,10 @@ class Scorer:
         both = np.flatnonzero(owner[:-1] == owner[1:])
         total += np.bincount(owner[both], weights=self.w[pair_rows(h[both], h[both + 1])], minlength=len(per_text))
         rows += np.bincount(owner[both], minlength=len(per_text))
+        each, times = np.unique(owner * (len(coded.dictionary) + 1) + coded.indices.to_numpy(), return_counts=True)
+        each //= len(coded.dictionary) + 1
+        total += np.bincount(each, weights=self.w[class_rows(times, per_text[each])] * times, minlength=len(per_text))
+        rows += per_text
         return self.bias + total / np.maximum(rows, 1)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
