@@ -19,7 +19,7 @@ def test_stages_keep_the_columns(spark, docs, tmp_path):
     d = f"file://{tmp_path}"
     docs.write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, 1, 0), (6, 1, 0), (7, 0, 0), (8, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "simhash_near_dedup", "source_mix", "packing"]
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "near_dedup", "source_mix", "packing"]
     cur = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
         cur = stage(spark, cur, d)
@@ -43,7 +43,7 @@ def test_names():
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in e.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in e.queries()
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
@@ -86,7 +86,7 @@ def test_every_stage_against_brute_force(spark):
     assert Counter((r.doc_id, r.text) for r in two.collect()) == Counter((i, t) for i, t, *_ in plain_lines(scored))
     rows = sorted(two.collect(), key=lambda r: r.doc_id)
     label = near_groups([r.text for r in rows])
-    three = stages["simhash_near_dedup"](spark, two, folder)
+    three = stages["near_dedup"](spark, two, folder)
     assert key(three.collect()) == key(r for k, r in enumerate(rows) if label[k] == k) and len(set(label)) < len(rows)
     kept = three.collect()
     four = stages["source_mix"](spark, three, folder)
