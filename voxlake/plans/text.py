@@ -32,22 +32,27 @@ def tts_normalize(t: Tables) -> DataFrame:
 
 # The SQL's own statement of the words for the languages of the table, not read from the library.
 SQL_SHORT = {
-    "en": "mrs misess mr mister dr doctor st saint co company jr junior maj major gen general drs doctors rev reverend lt lieutenant hon honorable sgt sergeant capt captain esq esquire ltd limited col colonel ft fort",
-    "es": "sra señora sr señor dr doctor dra doctora st santo co compañía jr junior ltd limitada",
-    "fr": "mme madame mr monsieur dr docteur st saint co compagnie jr junior ltd limitée",
-    "de": "fr frau dr doktor st sankt co firma jr junior",
+    "en": {"mrs": "misess", "mr": "mister", "dr": "doctor", "st": "saint", "co": "company", "jr": "junior", "maj": "major", "gen": "general", "drs": "doctors", "rev": "reverend", "lt": "lieutenant", "hon": "honorable", "sgt": "sergeant", "capt": "captain", "esq": "esquire", "ltd": "limited", "col": "colonel", "ft": "fort"},
+    "es": {"sra": "señora", "sr": "señor", "dr": "doctor", "dra": "doctora", "st": "santo", "co": "compañía", "jr": "junior", "ltd": "limitada"},
+    "fr": {"mme": "madame", "mr": "monsieur", "dr": "docteur", "st": "saint", "co": "compagnie", "jr": "junior", "ltd": "limitée"},
+    "de": {"fr": "frau", "dr": "doktor", "st": "sankt", "co": "firma", "jr": "junior"},
+}
+SQL_SIGNS = {
+    "en": {"&": "and", "@": "at", "%": "percent", "#": "hash", "$": "dollar", "£": "pound", "°": "degree"},
+    "es": {"&": "y", "@": "arroba", "%": "por ciento", "#": "numeral", "$": "dolar", "£": "libra", "°": "grados"},
+    "fr": {"&": "et", "@": "arobase", "%": "pour cent", "#": "dièse", "$": "dollar", "£": "livre", "°": "degrés"},
+    "de": {"&": "und", "@": "at", "%": "prozent", "#": "raute", "$": "dollar", "£": "pfund", "°": "grad"},
 }
-SQL_SIGNS = {"en": "and,at,percent,hash,dollar,pound,degree", "es": "y,arroba,por ciento,numeral,dolar,libra,grados", "fr": "et,arobase,pour cent,dièse,dollar,livre,degrés", "de": "und,at,prozent,raute,dollar,pfund,grad"}
 
 
-def _shortened(words: str, out: str) -> str:
-    for short, word in zip(words.split()[::2], words.split()[1::2], strict=True):
+def _shortened(words: dict[str, str], out: str) -> str:
+    for short, word in words.items():
         out = f"regexp_replace({out}, '(^|[^\\p{{L}}\\p{{N}}_]){short}\\.', '\\1{word}', 'gi')"
     return out
 
 
-def _signed(words: str, out: str) -> str:
-    for sign, word in zip("&@%#$£°", words.split(","), strict=True):
+def _signed(words: dict[str, str], out: str) -> str:
+    for sign, word in words.items():
         out = f"replace(replace({out}, '{sign}', ' {word} '), '  ', ' ')"
     return f"trim({out})"
 
