@@ -145,14 +145,17 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size:
     and may be of any length; equal texts get equal results. Columns of docs, of any name, stay in `row`."""
     spark = docs.sparkSession
     prepare(spark)
-    names = sorted(r["lang"] for r in profiles.select("lang").distinct().collect())
+    many = profiles.select("lang").distinct().count()
+    parts = 1 if many <= LANGUAGES else -(-many // max(1, LANGUAGES // 2))  # by hash, so about half of LANGUAGES each
     rest = docs.drop(text_col) if len(docs.columns) > 1 else docs
     out = docs.select(whole(rest), quoted(text_col).cast("string").alias("text"), F.lit(None).cast("string").alias("lang_pred"), F.lit(None).cast("long").alias("least"), F.lit(0).cast("long").alias("greatest"))
-    for k in range(0, len(names), LANGUAGES):  # one pass, or one more for every further LANGUAGES
-        some = names[k : k + LANGUAGES]
-        rows = profiles.filter(F.col("lang").isin(some)).toArrow() if len(names) > LANGUAGES else profiles.toArrow()
-        at = {n: i for i, n in enumerate(some)}
-        shared = spark.sparkContext.broadcast(Profiles(size, some, np.array([at[n] for n in rows.column("lang").to_pylist()]), rows.column("place").to_numpy(), rows.column("gram").to_numpy()))
+    for k in range(parts if many else 0):  # one pass over the texts, or one for each part of very many languages
+        rows = profiles.filter(F.pmod(F.xxhash64("lang"), F.lit(parts)) == k).toArrow()
+        names = sorted(set(rows.column("lang").to_pylist()))
+        if not names:
+            continue
+        at = {n: i for i, n in enumerate(names)}
+        shared = spark.sparkContext.broadcast(Profiles(size, names, np.array([at[n] for n in rows.column("lang").to_pylist()]), rows.column("place").to_numpy(), rows.column("gram").to_numpy()))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
@@ -167,7 +170,7 @@ def predict(docs: DataFrame, profiles: DataFrame, text_col: str = "text", size:
                         first = most_frequent(found[ends[i] : ends[i + 1]], own.size)
                         far = own.distances(first)
                         best = int(far.argmin())
-                        if least[at + i] is None or far[best] < least[at + i]:
+                        if least[at + i] is None or (far[best], own.languages[best]) < (least[at + i], lang[at + i]):
                             lang[at + i], least[at + i], greatest[at + i] = own.languages[best], int(far[best]), len(first) * own.size
                     at += len(part)
                 yield pa.RecordBatch.from_arrays([b.column("row"), b.column("text"), pa.array(lang, pa.string()), pa.array(least, pa.int64()), pa.array(greatest, pa.int64())], b.schema.names)
