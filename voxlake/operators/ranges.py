@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..sources.shared import table
+
 #: Rows of a range, about.
 SIZE = 4096
 #: Columns that in_ranges() adds: the range's number, and the rows of the group if it has several ranges.
@@ -18,10 +20,11 @@ RANGE, TOTAL = "__range", "__total"
 
 def in_ranges(rows: DataFrame, group: str, at: str, size: int | None = None) -> DataFrame:
     """rows with RANGE, which never falls as `at` (a number) rises within the group, and TOTAL. Nulls of `at` are in the
-    first range; rows without a group are one range. Reads rows once more to count them."""
+    first range; rows without a group are one range. Counts rows at once, by a job of its own."""
     size = size or SIZE
     large = rows.groupBy(F.col(group).alias("__group")).agg(F.count("*").alias(TOTAL), F.min(at).cast("double").alias("__low"), F.max(at).cast("double").alias("__high"))
-    large = large.filter(F.col(TOTAL) > size)  # at most a row for every `size` rows
+    # at most a row for every `size` rows; written, so that Spark knows whether to broadcast it and rows are not dealt out by group
+    large = table(large.filter(F.col(TOTAL) > size), "large-groups")
     many = F.ceil(F.col(TOTAL) / size)
     share = (F.col(at).cast("double") - F.col("__low")) / F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0))
     number = F.floor(F.least(share * many, many - 1.0)).cast("long")
