@@ -205,3 +205,23 @@ def test_stored_halves_merge_to_the_whole(spark, tmp_path):
     assert (both.n == 500).all() and np.allclose(both["cov"], whole["cov"], atol=1e-9, rtol=0) and np.allclose(both.mean_i, whole.mean_i, rtol=1e-15)
     assert vectors.frechet_distance(stored, df) == pytest.approx(0, abs=1e-4)
     assert vectors.feature_sums(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tile, most", [(40.0, 0.3), (100.0, 0.05), (10_000.0, 0.5)])
+def test_suppression_in_tiles(spark, tile, most):
+    """Chains of boxes over many tiles, large boxes, negative places, ties, images of one box and without sides."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(1200):
+        image, x, y = int(rng.integers(0, 3)), *(rng.integers(-400, 600, 2)).tolist()
+        w, h = (rng.integers(150, 400, 2) if k % 50 == 0 else rng.integers(10, 60, 2)).tolist()
+        rows.append((image, k, round(float(rng.random()), 1), float(x), float(y), float(x + w), float(y + h)))
+    rows += [(1, 5000 + k, 0.9 - k / 1000, 10.0 * k, 0.0, 10.0 * k + 24, 24.0) for k in range(100)]  # each depends on the one before
+    rows += [(7, 1, 0.5, 0.0, 0.0, 1.0, 1.0), (8, 1, 0.01, 0.0, 0.0, 1.0, 1.0)]
+    kind = "image long, box long, score double, x1 double, y1 double, x2 double, y2 double"
+    b = spark.createDataFrame(rows, kind).repartition(5)
+    assert sorted(map(tuple, spatial.suppress_tiles(b, most, tile=tile).collect())) == plain_suppress(rows, most, None, 10**9)
+    best = spatial.suppress_tiles(b, most, after=20, tile=tile)
+    assert sorted(map(tuple, best.collect())) == plain_suppress(rows, most, None, 20)
+    odd = spark.createDataFrame([(1, 1, 0.5, float("nan"), 0.0, 1.0, 1.0), (1, 2, 0.4, None, 0.0, 1.0, 1.0), (1, 3, 0.3, 0.0, 0.0, float("inf"), 1.0)], kind)
+    assert spatial.suppress_tiles(odd, most, tile=tile).count() == 3 and spatial.suppress_tiles(odd.limit(0), most).count() == 0

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import drop, table
+
 
 def pad(x: Column, y: Column, w: Column, h: Column, width: int, height: int, share: float = 0.3) -> Column:
     """Box with a margin of int(w * share) and int(h * share), cut to the frame, with center and area."""
@@ -187,6 +189,70 @@ def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, af
     return best.mapInPandas(run, f"image {kind}, box long, score double")  # the window leaves a task's images in order
 
 
+#: What is known of a box in suppress_tiles().
+OPEN, KEPT, GONE = 0, 1, 2
+
+
+def _judged(b: np.ndarray, known: np.ndarray, inside: np.ndarray, most_overlap: float) -> np.ndarray:
+    """What a tile can tell of its boxes, which come in falling order of score. A box goes if a kept one before it overlaps it, and
+    is kept if all that do are gone and it lies inside the tile, so that the tile has all boxes that could."""
+    out, ahead = known.copy(), []  # ahead: boxes so far that are not gone
+    for i in range(len(b)):
+        if out[i] == OPEN:
+            near = [k for k, hit in zip(ahead, _overlap(b[i], b[ahead]) > most_overlap, strict=True) if hit] if ahead else []
+            if any(out[k] == KEPT for k in near):
+                out[i] = GONE
+            elif not near and inside[i]:
+                out[i] = KEPT
+        if out[i] != GONE:
+            ahead.append(i)
+    return out
+
+
+def suppress_tiles(boxes: DataFrame, most_overlap: float = 0.3, after: int | None = None, least: float = 0.05, tile: float = 512.0) -> DataFrame:
+    """What suppress() does with all boxes of an image, for images of any number of boxes: (image, box, score) of those that stay.
+
+    An image is cut into tiles, and a tile has all boxes that touch it. Boxes inside a tile are judged with all that overlap
+    them in sight; others wait, as do those that depend on them. In the next round tiles are twice as wide and moved by half
+    of it, and what is known stays known, so rounds see ever fewer tiles with open boxes, and in the end an image is one
+    tile. A tile without open boxes is not looked at. (image, box) tells boxes apart; a null image is one image. Boxes without
+    finite sides overlap nothing and stay. tile: some boxes wide, as a box is copied to every tile that it touches."""
+    finite = F.lit(True)
+    for c in ("x1", "y1", "x2", "y2"):
+        finite = finite & F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
+    kinds = {f.name: f.dataType.simpleString() for f in boxes.schema}
+    own = ["image", "box", "score", "x1", "y1", "x2", "y2"]
+    now = table(boxes.filter(F.col("score") > least).select(*own).withColumn("known", F.when(finite, OPEN).otherwise(KEPT)), "boxes")
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(["score", "box"], ascending=[False, True])
+        b = g[["x1", "y1", "x2", "y2"]].to_numpy(float)
+        low, high = g[["low_x", "low_y"]].to_numpy(float), g[["high_x", "high_y"]].to_numpy(float)
+        inside = (b[:, :2] >= low).all(axis=1) & (b[:, 2:] < high).all(axis=1)
+        return g[["image", "box"]].assign(found=_judged(b, g["known"].to_numpy(), inside, most_overlap).astype(np.int32))
+
+    turn = 0
+    while not now.filter(F.col("known") == OPEN).isEmpty():
+        width, shift = tile * 2**turn, tile * 2**turn / 2 * (turn % 2)
+        cell = lambda c: F.floor((F.col(c) + shift) / width)
+        touched = now.filter(finite & (F.col("known") != GONE)).withColumn("gx", F.explode(F.sequence(cell("x1"), cell("x2")))).withColumn("gy", F.explode(F.sequence(cell("y1"), cell("y2"))))
+        busy = touched.filter(F.col("known") == OPEN).select(F.col("image").alias("i"), F.col("gx").alias("x"), F.col("gy").alias("y")).distinct()
+        at = F.col("image").eqNullSafe(F.col("i")) & (F.col("gx") == F.col("x")) & (F.col("gy") == F.col("y"))
+        tiles = touched.join(busy, at, "left_semi")
+        edges = {f"low_{a}": F.col(f"g{a}") * width - shift for a in "xy"} | {f"high_{a}": (F.col(f"g{a}") + 1) * width - shift for a in "xy"}
+        judged = tiles.withColumns(edges).groupBy("image", "gx", "gy").applyInPandas(run, f"image {kinds['image']}, box {kinds['box']}, found int")
+        judged = judged.filter(F.col("found") != OPEN).groupBy(F.col("image").alias("i"), F.col("box").alias("b")).agg(F.max("found").alias("found"))
+        after_turn = now.join(judged, F.col("image").eqNullSafe(F.col("i")) & (F.col("box") == F.col("b")), "left")
+        new = table(after_turn.select(*own, F.coalesce("found", "known").alias("known")), "boxes")
+        drop(now)
+        now, turn = new, turn + 1
+    out = now.filter(F.col("known") == KEPT).select("image", "box", "score")
+    if after is None:
+        return out
+    w = Window.partitionBy("image").orderBy(F.col("score").desc(), "box")
+    return out.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= after).drop("place")
+
+
 def tracks(boxes: DataFrame, gap: int = 25, least_iou: float = 0.5, longer: int = 50, larger: float = 100.0) -> DataFrame:
     """(video, shot, track, frame, box) of greedy tracks within a shot.
 

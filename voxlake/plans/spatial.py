@@ -100,6 +100,18 @@ def nms(t: Tables) -> DataFrame:
     return S.suppress(padded(t).select(F.col("frame").alias("image"), F.col("det").alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2"))
 
 
+@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT recording AS image, frame * 10000000 + det AS box, score::DOUBLE AS score, x1, y1, x2, y2, row_number() OVER (PARTITION BY recording ORDER BY score DESC, frame * 10000000 + det) AS k FROM q WHERE score > 0.05),
+r AS (SELECT DISTINCT image, 0::BIGINT AS k, []::STRUCT(box BIGINT, x1 BIGINT, y1 BIGINT, x2 BIGINT, y2 BIGINT)[] AS kept FROM s UNION ALL
+SELECT s.image, s.k, CASE WHEN len(list_filter(r.kept, lambda p: greatest(0, least(p.x2, s.x2) - greatest(p.x1, s.x1)) * greatest(0, least(p.y2, s.y2) - greatest(p.y1, s.y1)) > 0.3 * ((p.x2 - p.x1) * (p.y2 - p.y1) + (s.x2 - s.x1) * (s.y2 - s.y1) - greatest(0, least(p.x2, s.x2) - greatest(p.x1, s.x1)) * greatest(0, least(p.y2, s.y2) - greatest(p.y1, s.y1))))) = 0
+ THEN list_append(r.kept, {{'box': s.box, 'x1': s.x1, 'y1': s.y1, 'x2': s.x2, 'y2': s.y2}}) ELSE r.kept END FROM r JOIN s ON s.image = r.image AND s.k = r.k + 1),
+e AS (SELECT image, unnest(arg_max(kept, k)).box AS box FROM r GROUP BY image)
+SELECT image, box, score FROM e JOIN s USING (image, box)""")
+def nms_tiles(t: Tables) -> DataFrame:
+    """One recording is one large image: its boxes are judged in tiles of 600 pixels first."""
+    b = padded(t).select(F.col("recording").alias("image"), (F.col("frame") * 10000000 + F.col("det")).alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2")
+    return S.suppress_tiles(b, tile=600.0)
+
+
 @query("""WITH RECURSIVE e AS (SELECT user_id AS video, user_id % 3 AS shot, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k, event_id AS box, event_id % 50 * 3 AS x FROM events),
 g AS (SELECT video, shot, list(x ORDER BY k) AS xs, count(*) AS n FROM e GROUP BY 1, 2),
 r AS (SELECT video, shot, xs, n, []::BIGINT[] AS used, 0::BIGINT AS at_, -1::BIGINT AS track FROM g UNION ALL
