@@ -10,9 +10,9 @@ from math import floor, log
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import LONG, ROWS, rows
 from pyspark.sql import functions as F
 
+from tests.llm.conftest import LONG, ROWS, rows
 from voxlake.llm import hard_negatives, languages, queries, resampling
 
 VECS = "vec_id long, embedding array<double>, label int"
