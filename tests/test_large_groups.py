@@ -39,6 +39,8 @@ def test_turns_over_seams(spark, monkeypatch, size):
     t = spark.createDataFrame(x, TURN)
     got = segments.merge_turns(t, 0.3).select("recording", "speaker", "start_time", "end_time", "seq", "turns")
     assert sorted(map(tuple, got.collect())) == plain_merge(x, 0.3)
+    kept, again = (segments.number(segments.merge_turns(t, 0.3, ranged=r)) for r in (True, False))
+    assert kept.columns == again.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, again.collect()))
     y = x.sort_values(["recording", "start_time", "seq"])
     gap = (y.start_time - y.groupby("recording").end_time.shift()).where(y.recording.eq(y.recording.shift()))
     got = segments.gap_timeline(t).select("seq", "gap").toPandas().set_index("seq").gap

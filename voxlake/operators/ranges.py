@@ -20,7 +20,10 @@ RANGE, TOTAL = "__range", "__total"
 
 def in_ranges(rows: DataFrame, group: str, at: str, size: int | None = None) -> DataFrame:
     """rows with RANGE, which never falls as `at` (a number) rises within the group, and TOTAL. Nulls of `at` are in the
-    first range; rows without a group are one range. Counts rows at once, by a job of its own."""
+    first range; rows without a group are one range. Counts rows at once, by a job of its own; rows that have their ranges
+    already, from an operator before, are not counted again."""
+    if RANGE in rows.columns:
+        return rows
     size = size or SIZE
     large = rows.groupBy(F.col(group).alias("__group")).agg(F.count("*").alias(TOTAL), F.min(at).cast("double").alias("__low"), F.max(at).cast("double").alias("__high"))
     # at most a row for every `size` rows; written, so that Spark knows whether to broadcast it and rows are not dealt out by group

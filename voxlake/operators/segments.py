@@ -19,10 +19,11 @@ def min_duration(turns: DataFrame, least: float = 0.5) -> DataFrame:
     return turns.filter(F.col("duration") >= least)
 
 
-def merge_turns(turns: DataFrame, gap: float = 1.0) -> DataFrame:
+def merge_turns(turns: DataFrame, gap: float = 1.0, ranged: bool = False) -> DataFrame:
     """Consecutive turns of one speaker that are at most gap seconds apart become one. Its end is the end of
     its last turn, not the latest end. Another speaker in between always breaks a turn; turns without a speaker stand
-    alone. Ranges of a long recording are merged each by itself, then what meets at their seams."""
+    alone. Ranges of a long recording are merged each by itself, then what meets at their seams. ranged keeps the ranges'
+    columns for what comes next (number, gap_timeline), which then need not count the merged turns."""
     w = window("recording", *TIME_ORDER)
     follows = lambda before: (before("speaker") == F.col("speaker")) & (F.col("start_time") - before("end_time") <= gap)
     new = ~F.coalesce(follows(lambda c: F.lag(c).over(w)), F.lit(False))
@@ -33,7 +34,8 @@ def merge_turns(turns: DataFrame, gap: float = 1.0) -> DataFrame:
     edge = F.col(TOTAL).isNotNull() & ((F.col("island") == 1) | (F.col("island") == F.col("islands")))
     place = F.struct(RANGE, "island")
     joins = lambda before: (F.col("island") == 1) & follows(before)
-    merged = join_at_seams(parts, "recording", edge, ["island"], joins, [F.min_by("speaker", place).alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", place).alias("end_time"), F.min("seq").alias("seq"), F.sum("turns").alias("turns")])
+    merged = join_at_seams(parts, "recording", edge, ["island"], joins, [F.min_by("speaker", place).alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", place).alias("end_time"), F.min("seq").alias("seq"), F.sum("turns").alias("turns"), F.min(RANGE).alias(RANGE), F.first(TOTAL).alias(TOTAL)])
+    merged = merged if ranged else merged.drop(RANGE, TOTAL)
     return merged.withColumn("duration", F.col("end_time") - F.col("start_time"))
 
 

@@ -20,7 +20,7 @@ def turns(t: Tables) -> DataFrame:
 
 
 def merged(t: Tables) -> DataFrame:
-    return S.number(S.merge_turns(S.min_duration(turns(t)), GAP))
+    return S.number(S.merge_turns(S.min_duration(turns(t)), GAP, ranged=True))
 
 
 def seconds(c: str, digits: int = 3):
