@@ -14,7 +14,8 @@ from ..sources.shared import table
 
 #: Rows of a range, about.
 SIZE = 4096
-#: Columns that in_ranges() adds: the range's number, and the rows of the group if it has several ranges.
+#: Columns that in_ranges() adds: the range's number, and the rows of the group if it has several ranges. Without such a
+#: group there is no TOTAL, and nothing that crosses seams is planned.
 RANGE, TOTAL = "__range", "__total"
 
 
@@ -28,6 +29,8 @@ def in_ranges(rows: DataFrame, group: str, at: str, size: int | None = None) ->
     large = rows.groupBy(F.col(group).alias("__group")).agg(F.count("*").alias(TOTAL), F.min(at).cast("double").alias("__low"), F.max(at).cast("double").alias("__high"))
     # at most a row for every `size` rows; written, so that Spark knows whether to broadcast it and rows are not dealt out by group
     large = table(large.filter(F.col(TOTAL) > size), "large-groups")
+    if large.isEmpty():
+        return rows.withColumn(RANGE, F.lit(0).cast("long"))
     many = F.ceil(F.col(TOTAL) / size)
     share = (F.col(at).cast("double") - F.col("__low")) / F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0))
     number = F.floor(F.least(share * many, many - 1.0)).cast("long")
@@ -44,6 +47,8 @@ def with_seams(rows: DataFrame, group: str, **carried: tuple[Column, str]) -> Da
     """rows (in ranges) with columns carried from the ranges before: name=(aggregate over a range, "sum" or "last"), the sum over
     all ranges of the group before (0 at first) or the value of the last one (null at first). One row a range is looked up,
     and none for groups of one range."""
+    if TOTAL not in rows.columns:
+        return rows.withColumns({n: F.lit(0).cast("long") if how == "sum" else F.lit(None) for n, (_, how) in carried.items()})
     each = rows.filter(F.col(TOTAL).isNotNull()).groupBy(F.col(group).alias("__group"), F.col(RANGE).alias("__number")).agg(*[a.alias(n) for n, (a, _) in carried.items()])
     w = Window.partitionBy("__group").orderBy("__number")
     before = {n: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) if how == "sum" else F.lag(n).over(w) for n, (_, how) in carried.items()}

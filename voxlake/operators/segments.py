@@ -28,8 +28,12 @@ def merge_turns(turns: DataFrame, gap: float = 1.0, ranged: bool = False) -> Dat
     follows = lambda before: (before("speaker") == F.col("speaker")) & (F.col("start_time") - before("end_time") <= gap)
     new = ~F.coalesce(follows(lambda c: F.lag(c).over(w)), F.lit(False))
     marked = in_ranges(turns, "recording", "start_time").withColumn("island", F.sum(new.cast("int")).over(w))
+    several = [TOTAL] if TOTAL in marked.columns else []
     order = F.struct("start_time", "seq")
-    parts = marked.groupBy("recording", RANGE, "island").agg(F.first("speaker").alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", order).alias("end_time"), F.min("seq").alias("seq"), F.count("*").alias("turns"), F.first(TOTAL).alias(TOTAL))
+    parts = marked.groupBy("recording", RANGE, "island").agg(F.first("speaker").alias("speaker"), F.min("start_time").alias("start_time"), F.max_by("end_time", order).alias("end_time"), F.min("seq").alias("seq"), F.count("*").alias("turns"), *[F.first(c).alias(c) for c in several])
+    if not several:
+        merged = parts.drop("island")
+        return (merged if ranged else merged.drop(RANGE)).withColumn("duration", F.col("end_time") - F.col("start_time"))
     parts = parts.withColumn("islands", F.max("island").over(window("recording")))
     edge = F.col(TOTAL).isNotNull() & ((F.col("island") == 1) | (F.col("island") == F.col("islands")))
     place = F.struct(RANGE, "island")

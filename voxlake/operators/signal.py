@@ -16,10 +16,13 @@ def silence_islands(samples: DataFrame, level: float, least: int, group: str = "
     x = with_seams(in_ranges(samples, group, order), group, before=(F.count("*"), "sum"))
     x = x.withColumns({"i": F.row_number().over(w) - 1 + F.col("before"), "here": F.count("*").over(window(group)), "quiet": F.coalesce(F.col("value") < level, F.lit(False))})
     x = x.withColumn("loud", F.sum((~F.col("quiet")).cast("int")).over(w)).filter("quiet")
-    parts = x.groupBy(group, RANGE, "loud").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("end"), F.first("before").alias("before"), F.first("here").alias("here"), F.first(TOTAL).alias(TOTAL))
-    edge = F.col(TOTAL).isNotNull() & ((F.col("start") == F.col("before")) | (F.col("end") == F.col("before") + F.col("here")))
-    total = F.first(F.coalesce(TOTAL, "here")).alias("n")
-    runs = join_at_seams(parts, group, edge, ["loud"], lambda before: before("end") == F.col("start"), [F.min("start").alias("start"), F.max("end").alias("end"), total])
+    parts = x.groupBy(group, RANGE, "loud").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("end"), F.first("before").alias("before"), F.first("here").alias("here"), *[F.first(c).alias(c) for c in x.columns if c == TOTAL])
+    if TOTAL in x.columns:
+        edge = F.col(TOTAL).isNotNull() & ((F.col("start") == F.col("before")) | (F.col("end") == F.col("before") + F.col("here")))
+        total = F.first(F.coalesce(TOTAL, "here")).alias("n")
+        runs = join_at_seams(parts, group, edge, ["loud"], lambda before: before("end") == F.col("start"), [F.min("start").alias("start"), F.max("end").alias("end"), total])
+    else:
+        runs = parts.withColumnRenamed("here", "n")
     runs = runs.withColumn("len", F.col("end") - F.col("start")).filter(F.col("len") >= least)
     return runs.select(group, "start", "end", "len", (F.col("start") == 0).alias("leading"), (F.col("end") == F.col("n")).alias("trailing"))
 
