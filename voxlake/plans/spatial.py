@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from ..operators import spatial as S
 from .catalog import Tables, query
 
-#: A box a line: unique by (order, line, part), 40 to 240 pixels.
-BOXES = "b AS (SELECT l_orderkey % 97 AS recording, l_orderkey AS frame, l_linenumber * 1000000 + l_partkey AS det, (l_partkey * 7 % 1600)::INT AS x, (l_suppkey * 37 % 900)::INT AS y, (40 + l_quantity * 4)::INT AS w, (60 + l_partkey % 180)::INT AS h, round(l_discount * 10, 4) AS score FROM (SELECT l_orderkey, l_linenumber, l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity, min(l_discount) AS l_discount FROM lineitem GROUP BY 1, 2, 3))"
+#: A box a line: det is unique by (line, part) for parts below 10^9, 40 to 240 pixels.
+BOXES = "b AS (SELECT l_orderkey % 97 AS recording, l_orderkey AS frame, l_linenumber * 1000000000::BIGINT + l_partkey AS det, (l_partkey * 7 % 1600)::INT AS x, (l_suppkey * 37 % 900)::INT AS y, (40 + l_quantity * 4)::INT AS w, (60 + l_partkey % 180)::INT AS h, round(l_discount * 10, 4) AS score FROM (SELECT l_orderkey, l_linenumber, l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity, min(l_discount) AS l_discount FROM lineitem GROUP BY 1, 2, 3))"
+
+#: What sets a line number apart from a part in det; the SQL states it itself.
+LINE = 1_000_000_000
 
 
 def boxes(t: Tables) -> DataFrame:
     c = F.col
     one = t.lineitem.groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(*[F.min(k).alias(k) for k in ("l_suppkey", "l_quantity", "l_discount")])
-    return one.select((c("l_orderkey") % 97).alias("recording"), c("l_orderkey").alias("frame"), (c("l_linenumber") * 1000000 + c("l_partkey")).alias("det"), (c("l_partkey") * 7 % 1600).cast("int").alias("x"), (c("l_suppkey") * 37 % 900).cast("int").alias("y"), (40 + c("l_quantity") * 4).cast("int").alias("w"), (60 + c("l_partkey") % 180).cast("int").alias("h"), F.round(c("l_discount") * 10, 4).alias("score"))
+    return one.select((c("l_orderkey") % 97).alias("recording"), c("l_orderkey").alias("frame"), (c("l_linenumber").cast("long") * LINE + c("l_partkey")).alias("det"), (c("l_partkey") * 7 % 1600).cast("int").alias("x"), (c("l_suppkey") * 37 % 900).cast("int").alias("y"), (40 + c("l_quantity") * 4).cast("int").alias("w"), (60 + c("l_partkey") % 180).cast("int").alias("h"), F.round(c("l_discount") * 10, 4).alias("score"))
 
 
 PADDED = BOXES + ", p AS (SELECT *, greatest(0, x - floor(w * 0.3::DOUBLE)::BIGINT) AS x1, greatest(0, y - floor(h * 0.3::DOUBLE)::BIGINT) AS y1, least(1920, x + w + floor(w * 0.3::DOUBLE)::BIGINT) AS x2, least(1080, y + h + floor(h * 0.3::DOUBLE)::BIGINT) AS y2 FROM b), q AS (SELECT *, (x1 + x2) / 2 AS center_x, (y1 + y2) / 2 AS center_y, (x2 - x1) * (y2 - y1) AS area FROM p)"
@@ -72,20 +75,20 @@ def box_containment(t: Tables) -> DataFrame:
     return S.contained(padded(t).select("recording", "frame", "det", "center_x", "center_y"), c).select("det", "frame", "cluster")
 
 
-@query(f"WITH {PADDED} SELECT recording, (det // 1000000)::INT AS cluster, count(*) AS face_count, round(avg(center_x), 6) AS center_x, round(avg(area), 4) AS avg_area, min(x1) AS x_low, max(x2) AS x_high, 'SPEAKER_' || lpad((det // 1000000)::VARCHAR, 2, '0') AS cluster_id FROM q GROUP BY recording, det // 1000000 HAVING count(*) >= 90")
+@query(f"WITH {PADDED} SELECT recording, (det // 1000000000)::INT AS cluster, count(*) AS face_count, round(avg(center_x), 6) AS center_x, round(avg(area), 4) AS avg_area, min(x1) AS x_low, max(x2) AS x_high, 'SPEAKER_' || lpad((det // 1000000000)::VARCHAR, 2, '0') AS cluster_id FROM q GROUP BY recording, det // 1000000000 HAVING count(*) >= 90")
 def cluster_stats(t: Tables) -> DataFrame:
-    f = padded(t).withColumns({"cluster": F.floor(F.col("det") / 1000000).cast("int"), "time": F.col("frame") / 25})
+    f = padded(t).withColumns({"cluster": F.floor(F.col("det") / LINE).cast("int"), "time": F.col("frame") / 25})
     return S.cluster_stats(f, 90).select("recording", "cluster", "face_count", F.round("center_x", 6).alias("center_x"), F.round("avg_area", 4).alias("avg_area"), "x_low", "x_high", "cluster_id")
 
 
-@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT l.recording, q.det, q.center_x, q.center_y, row_number() OVER (PARTITION BY l.recording ORDER BY q.frame, q.det) AS k FROM q JOIN (SELECT l_orderkey AS frame, l_linenumber * 1000000 + l_partkey AS det, min(l_suppkey) AS recording FROM lineitem GROUP BY 1, 2) l ON l.frame = q.frame AND l.det = q.det),
+@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT l.recording, q.det, q.center_x, q.center_y, row_number() OVER (PARTITION BY l.recording ORDER BY q.frame, q.det) AS k FROM q JOIN (SELECT l_orderkey AS frame, l_linenumber * 1000000000::BIGINT + l_partkey AS det, min(l_suppkey) AS recording FROM lineitem GROUP BY 1, 2) l ON l.frame = q.frame AND l.det = q.det),
 r AS (SELECT DISTINCT recording, 0::BIGINT AS k, 0::BIGINT AS det, 0::INT AS cluster, []::STRUCT(x DOUBLE, y DOUBLE, n BIGINT)[] AS c FROM s UNION ALL
 SELECT recording, k, det, cluster, CASE WHEN cluster < len(c) THEN list_transform(c, lambda z, i: CASE WHEN i = cluster + 1 THEN {{'x': z.x + center_x, 'y': z.y + center_y, 'n': z.n + 1}} ELSE z END) ELSE list_append(c, {{'x': center_x, 'y': center_y, 'n': 1}}) END
 FROM (SELECT s.recording, s.k, s.det, s.center_x, s.center_y, r.c, (coalesce(list_position(list_transform(r.c, lambda z: sqrt(pow(z.x / z.n - s.center_x, 2) + pow(z.y / z.n - s.center_y, 2)) < 108), true), len(r.c) + 1) - 1)::INT AS cluster FROM r JOIN s ON s.recording = r.recording AND s.k = r.k + 1))
 SELECT recording, det, cluster FROM r WHERE k > 0""")
 def leader_cluster(t: Tables) -> DataFrame:
     """One supplier is one recording, so recordings grow in number with the table."""
-    own = t.lineitem.groupBy(F.col("l_orderkey").alias("frame"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("det")).agg(F.min("l_suppkey").alias("recording"))
+    own = t.lineitem.groupBy(F.col("l_orderkey").alias("frame"), (F.col("l_linenumber").cast("long") * LINE + F.col("l_partkey")).alias("det")).agg(F.min("l_suppkey").alias("recording"))
     return S.leader_clusters(padded(t).drop("recording").join(own, ["frame", "det"]), 108.0)
 
 
@@ -100,7 +103,7 @@ def nms(t: Tables) -> DataFrame:
     return S.suppress(padded(t).select(F.col("frame").alias("image"), F.col("det").alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2"))
 
 
-@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT recording AS image, frame * 10000000 + det AS box, score::DOUBLE AS score, x1, y1, x2, y2, row_number() OVER (PARTITION BY recording ORDER BY score DESC, frame * 10000000 + det) AS k FROM q WHERE score > 0.05),
+@query(f"""WITH RECURSIVE {PADDED}, s AS (SELECT recording AS image, frame * 10000000000 + det AS box, score::DOUBLE AS score, x1, y1, x2, y2, row_number() OVER (PARTITION BY recording ORDER BY score DESC, frame * 10000000000 + det) AS k FROM q WHERE score > 0.05),
 r AS (SELECT DISTINCT image, 0::BIGINT AS k, []::STRUCT(box BIGINT, x1 BIGINT, y1 BIGINT, x2 BIGINT, y2 BIGINT)[] AS kept FROM s UNION ALL
 SELECT s.image, s.k, CASE WHEN len(list_filter(r.kept, lambda p: greatest(0, least(p.x2, s.x2) - greatest(p.x1, s.x1)) * greatest(0, least(p.y2, s.y2) - greatest(p.y1, s.y1)) > 0.3 * ((p.x2 - p.x1) * (p.y2 - p.y1) + (s.x2 - s.x1) * (s.y2 - s.y1) - greatest(0, least(p.x2, s.x2) - greatest(p.x1, s.x1)) * greatest(0, least(p.y2, s.y2) - greatest(p.y1, s.y1))))) = 0
  THEN list_append(r.kept, {{'box': s.box, 'x1': s.x1, 'y1': s.y1, 'x2': s.x2, 'y2': s.y2}}) ELSE r.kept END FROM r JOIN s ON s.image = r.image AND s.k = r.k + 1),
@@ -108,7 +111,7 @@ e AS (SELECT image, unnest(arg_max(kept, k)).box AS box FROM r GROUP BY image)
 SELECT image, box, score FROM e JOIN s USING (image, box)""")
 def nms_tiles(t: Tables) -> DataFrame:
     """One recording is one large image: its boxes are judged in tiles of 600 pixels first."""
-    b = padded(t).select(F.col("recording").alias("image"), (F.col("frame") * 10000000 + F.col("det")).alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2")
+    b = padded(t).select(F.col("recording").alias("image"), (F.col("frame") * (10 * LINE) + F.col("det")).alias("box"), F.col("score").cast("double").alias("score"), "x1", "y1", "x2", "y2")
     return S.suppress_tiles(b, tile=600.0)
 
 
