@@ -227,3 +227,19 @@ def test_suppression_in_tiles(spark, tile, most):
     assert sorted(map(tuple, best.collect())) == plain_suppress(rows, most, None, 20)
     odd = spark.createDataFrame([(1, 1, 0.5, float("nan"), 0.0, 1.0, 1.0), (1, 2, 0.4, None, 0.0, 1.0, 1.0), (1, 3, 0.3, 0.0, 0.0, float("inf"), 1.0)], kind)
     assert spatial.suppress_tiles(odd, most, tile=tile).count() == 3 and spatial.suppress_tiles(odd.limit(0), most).count() == 0
+
+
+def test_dense_images_shrink_by_rounds(spark, monkeypatch):
+    """Many boxes on few places: what the best boxes overlap goes at once, so rounds write fewer and fewer."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(6000):
+        x, y, w, h = *rng.integers(0, 400, 2).tolist(), *rng.integers(40, 200, 2).tolist()
+        rows.append((k % 2, k, round(float(rng.random()), 1), float(x), float(y), float(x + w), float(y + h)))
+    b = spark.createDataFrame(rows, "image long, box long, score double, x1 double, y1 double, x2 double, y2 double").repartition(3)
+    written = []
+    monkeypatch.setattr(spatial, "table", lambda df, name, own=spatial.table: written.append(own(df, name)) or written[-1])
+    monkeypatch.setattr(spatial, "drop", lambda df: None)
+    got = spatial.suppress_tiles(b, 0.3, tile=600.0)
+    assert sorted(map(tuple, got.collect())) == plain_suppress(rows, 0.3, None, 10**9)
+    assert sum(t.count() for t in written) < 1.5 * len(rows)

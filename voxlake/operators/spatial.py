@@ -7,7 +7,8 @@ group in applyInPandas: a recording, an image, or a shot of a video.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -189,68 +190,97 @@ def suppress(boxes: DataFrame, most_overlap: float = 0.3, before: int = 5000, af
     return best.mapInPandas(run, f"image {kind}, box long, score double")  # the window leaves a task's images in order
 
 
-#: What is known of a box in suppress_tiles().
-OPEN, KEPT, GONE = 0, 1, 2
+#: Boxes of an image or a tile that are judged in a round of suppress_tiles(), the best first. Spark limits groups of up to as
+#: many rows before the shuffle by itself.
+BEST = 1000
 
 
-def _judged(b: np.ndarray, known: np.ndarray, inside: np.ndarray, most_overlap: float) -> np.ndarray:
-    """What a tile can tell of its boxes, which come in falling order of score. A box goes if a kept one before it overlaps it, and
+def _kept(b: np.ndarray, inside: np.ndarray, most_overlap: float) -> list[int]:
+    """Rows of a tile that stay for sure; boxes come in falling order of score. A box goes if a kept one before it overlaps it, and
     is kept if all that do are gone and it lies inside the tile, so that the tile has all boxes that could."""
-    out, ahead = known.copy(), []  # ahead: boxes so far that are not gone
+    gone, waits, out = np.zeros(len(b), bool), ~inside, []
     for i in range(len(b)):
-        if out[i] == OPEN:
-            near = [k for k, hit in zip(ahead, _overlap(b[i], b[ahead]) > most_overlap, strict=True) if hit] if ahead else []
-            if any(out[k] == KEPT for k in near):
-                out[i] = GONE
-            elif not near and inside[i]:
-                out[i] = KEPT
-        if out[i] != GONE:
-            ahead.append(i)
+        if gone[i]:
+            continue
+        hit = _overlap(b[i], b[i + 1 :]) > most_overlap
+        if waits[i]:
+            waits[i + 1 :] |= hit
+        else:
+            out.append(i)
+            gone[i + 1 :] |= hit
     return out
 
 
+def _without(left: DataFrame, kept: DataFrame, most_overlap: float, cell: float, most_w: float, most_h: float) -> DataFrame:
+    """The boxes of left that are not in kept and that no box of kept overlaps. A box lies in the cell of its first corner, and a
+    kept one is laid on all cells where boxes can begin that overlap it enough: those to the left of it by d share
+    at most w / (d + w) with it."""
+    k = kept.select(*[F.col(c).alias(f"k{c}") for c in ("image", "box", "x1", "y1", "x2", "y2")])
+    share = (1 - most_overlap) / most_overlap + 1e-6 if most_overlap > 0 else math.inf
+
+    def cells(lo: str, hi: str, most: float) -> Column:
+        reach = F.greatest(F.lit(0.0), F.least((F.col(hi) - F.col(lo)) * share, F.lit(most)))
+        return F.sequence(F.floor((F.col(lo) - reach) / cell), F.floor(F.col(hi) / cell))
+
+    k = k.withColumn("kgx", F.explode(cells("kx1", "kx2", most_w))).withColumn("kgy", F.explode(cells("ky1", "ky2", most_h)))
+    near = F.col("image").eqNullSafe(F.col("kimage")) & (F.floor(F.col("x1") / cell) == F.col("kgx")) & (F.floor(F.col("y1") / cell) == F.col("kgy"))
+    return left.join(k, near & ((F.col("box") == F.col("kbox")) | (iou("", "k") > most_overlap)), "left_anti")
+
+
 def suppress_tiles(boxes: DataFrame, most_overlap: float = 0.3, after: int | None = None, least: float = 0.05, tile: float = 512.0) -> DataFrame:
     """What suppress() does with all boxes of an image, for images of any number of boxes: (image, box, score) of those that stay.
 
-    An image is cut into tiles, and a tile has all boxes that touch it. Boxes inside a tile are judged with all that overlap
-    them in sight; others wait, as do those that depend on them. In the next round tiles are twice as wide and moved by half
-    of it, and what is known stays known, so rounds see ever fewer tiles with open boxes, and in the end an image is one
-    tile. A tile without open boxes is not looked at. (image, box) tells boxes apart; a null image is one image. Boxes without
-    finite sides overlap nothing and stay. tile: some boxes wide, as a box is copied to every tile that it touches."""
-    finite = F.lit(True)
-    for c in ("x1", "y1", "x2", "y2"):
-        finite = finite & F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
-    kinds = {f.name: f.dataType.simpleString() for f in boxes.schema}
-    own = ["image", "box", "score", "x1", "y1", "x2", "y2"]
-    now = table(boxes.filter(F.col("score") > least).select(*own).withColumn("known", F.when(finite, OPEN).otherwise(KEPT)), "boxes")
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["score", "box"], ascending=[False, True])
-        b = g[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        low, high = g[["low_x", "low_y"]].to_numpy(float), g[["high_x", "high_y"]].to_numpy(float)
-        inside = (b[:, :2] >= low).all(axis=1) & (b[:, 2:] < high).all(axis=1)
-        return g[["image", "box"]].assign(found=_judged(b, g["known"].to_numpy(), inside, most_overlap).astype(np.int32))
-
-    turn = 0
-    while not now.filter(F.col("known") == OPEN).isEmpty():
-        width, shift = tile * 2**turn, tile * 2**turn / 2 * (turn % 2)
-        cell = lambda c: F.floor((F.col(c) + shift) / width)
-        touched = now.filter(finite & (F.col("known") != GONE)).withColumn("gx", F.explode(F.sequence(cell("x1"), cell("x2")))).withColumn("gy", F.explode(F.sequence(cell("y1"), cell("y2"))))
-        busy = touched.filter(F.col("known") == OPEN).select(F.col("image").alias("i"), F.col("gx").alias("x"), F.col("gy").alias("y")).distinct()
-        at = F.col("image").eqNullSafe(F.col("i")) & (F.col("gx") == F.col("x")) & (F.col("gy") == F.col("y"))
-        tiles = touched.join(busy, at, "left_semi")
-        edges = {f"low_{a}": F.col(f"g{a}") * width - shift for a in "xy"} | {f"high_{a}": (F.col(f"g{a}") + 1) * width - shift for a in "xy"}
-        judged = tiles.withColumns(edges).groupBy("image", "gx", "gy").applyInPandas(run, f"image {kinds['image']}, box {kinds['box']}, found int")
-        judged = judged.filter(F.col("found") != OPEN).groupBy(F.col("image").alias("i"), F.col("box").alias("b")).agg(F.max("found").alias("found"))
-        after_turn = now.join(judged, F.col("image").eqNullSafe(F.col("i")) & (F.col("box") == F.col("b")), "left")
-        new = table(after_turn.select(*own, F.coalesce("found", "known").alias("known")), "boxes")
-        drop(now)
+    In a round the best BEST boxes of each image are judged, and all boxes that the kept ones overlap go, by a join over cells;
+    where boxes are dense few are left. Once that settles less than half of the boxes, images are cut into tiles, and a tile has
+    the best BEST of all boxes that touch it. Boxes inside a tile are judged with all better ones that overlap them in sight; others wait, as do those that
+    depend on them. Every other round tiles are moved by half their width, and they double when a round has settled less than half
+    of the boxes, so in the end an image is one tile, whose best box is settled in any case. (image, box) tells boxes apart; a
+    null image is one image. Boxes without finite sides or without an area overlap nothing and stay. tile: some boxes
+    wide, as a box is copied to every tile that it touches."""
+    sides = ("x1", "y1", "x2", "y2")
+    sound = (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
+    for c in sides:
+        sound = sound & (F.abs(F.col(c)) < float("inf"))
+    rows = boxes.filter(F.col("score") > least).select("image", "box", "score", *[F.col(c).cast("double").alias(c) for c in sides])
+    own = table(rows.withColumn("sound", F.coalesce(sound, F.lit(False))), "boxes")
+    schema = rows.schema
+    out = [own.filter("not sound").select("image", "box", "score")]
+    now = own.filter("sound").drop("sound")
+    left, most_w, most_h = now.agg(F.count("*"), F.max(F.col("x2") - F.col("x1")), F.max(F.col("y2") - F.col("y1"))).first()
+
+    def judge(whole: bool, width: float, shift: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(g: pd.DataFrame) -> pd.DataFrame:
+            g = g.sort_values("place")
+            b, low = g[list(sides)].to_numpy(float), g[["gx", "gy"]].to_numpy(float) * width - shift
+            inside = whole | ((b[:, :2] >= low).all(axis=1) & (b[:, 2:] < low + width).all(axis=1))
+            return g.iloc[_kept(b, inside, most_overlap)][schema.names]
+
+        return run
+
+    whole, turn, width, shift = True, 0, tile, 0.0
+    while left:
+        if not whole:
+            cell = lambda c: F.floor((F.col(c) + shift) / width)  # noqa: B023, E731
+            tiles = now.withColumn("gx", F.explode(F.sequence(cell("x1"), cell("x2")))).withColumn("gy", F.explode(F.sequence(cell("y1"), cell("y2"))))
+        else:
+            tiles = now.withColumns({"gx": F.lit(0).cast("long"), "gy": F.lit(0).cast("long")})
+        w = Window.partitionBy("image", "gx", "gy").orderBy(F.col("score").desc(), "box")
+        best = tiles.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= BEST)
+        kept = table(best.groupBy("image", "gx", "gy").applyInPandas(judge(whole, width, shift), schema), "kept-boxes")
+        out.append(kept.select("image", "box", "score"))
+        new = table(_without(now, kept, most_overlap, tile / 2, most_w, most_h), "boxes")
+        if turn:
+            drop(now)
+        before, left = left, new.count()
+        if left > before / 2:
+            whole, width = False, width if whole else width * 2
         now, turn = new, turn + 1
-    out = now.filter(F.col("known") == KEPT).select("image", "box", "score")
+        shift = width / 2 * (turn % 2)
+    stay = reduce(DataFrame.union, out)
     if after is None:
-        return out
+        return stay
     w = Window.partitionBy("image").orderBy(F.col("score").desc(), "box")
-    return out.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= after).drop("place")
+    return stay.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= after).drop("place")
 
 
 def tracks(boxes: DataFrame, gap: int = 25, least_iou: float = 0.5, longer: int = 50, larger: float = 100.0) -> DataFrame:
