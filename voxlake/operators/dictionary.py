@@ -14,6 +14,8 @@ from ..sources.shared import table
 
 #: Entries of a dictionary that is broadcast at most, and their characters together.
 ENTRIES, CHARACTERS = 200_000, 16_000_000
+#: Rows whose parts are replaced at once.
+SLICE = 1024
 
 
 def _fits(entries: DataFrame) -> bool:
@@ -51,9 +53,16 @@ def _replaced(lists: pa.ListArray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, values, mask=lists.is_null() if lists.null_count else None)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most SLICE a batch: what is made of a batch is let go before the next."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 def _by_lookup(parts: str, known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             at = b.schema.get_field_index(parts)
             coded = b.column(at).flatten().dictionary_encode()
             new = pa.array([known.value.get(w, w) for w in coded.dictionary.to_pylist()], pa.string())
@@ -64,7 +73,7 @@ def _by_lookup(parts: str, known):
 
 def _by_own_entries(parts: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             at, n = b.schema.get_field_index(parts), b.num_columns - 2
             out = []
             for words, keys, tos in zip(b.column(at).to_pylist(), b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True):
