@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import textwrap
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import accumulate, pairwise
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,12 +148,20 @@ def _clauses(sentence: str, most: int) -> list[str]:
     return [sentence[a:b].strip() for a, b in pairwise(places)]
 
 
+#: Texts that are Python's own strings at once.
+SLICE = 256
+
+
 def over_texts(split: Callable[[str, int], list[str]]) -> Callable[[Column, Column], Column]:
-    """split(text, limit) as a function of columns: one map over batches of whole texts; null stays null."""
+    """split(text, limit) as a function of columns: one map over batches of whole texts, handed on by SLICE of them, so that
+    neither a batch's strings nor its results are held together; null stays null."""
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(texts: pd.Series, limits: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else split(t, int(n)) for t, n in zip(texts, limits, strict=True)], dtype="object")
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, limits in batches:
+            for at in range(0, len(texts), SLICE):
+                pairs = zip(texts.slice(at, SLICE).to_pylist(), limits.slice(at, SLICE).to_pylist(), strict=True)
+                yield pa.array([None if t is None else split(t, n) for t, n in pairs], pa.list_(pa.string()))
 
     return run
 
@@ -245,12 +254,13 @@ def similarity_pct(a: Column, b: Column) -> Column:
     return F.when((F.coalesce(x, F.lit("")) == "") | (F.coalesce(y, F.lit("")) == ""), 0.0).otherwise(0.7 * sequence_ratio(x, y) + 30 * word_jaccard(words(a), words(b)))
 
 
-@F.pandas_udf(T.DoubleType())
-def compression_ratio(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.DoubleType())
+def compression_ratio(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Characters of the text over bytes of its zlib form; high values mean repetition."""
     import zlib
 
-    return texts.map(lambda t: None if t is None else len(t) / len(zlib.compress(t.encode())))
+    for texts in batches:
+        yield pa.array((None if t is None else len(t) / len(zlib.compress(t.encode())) for t in (x.as_py() for x in texts)), pa.float64(), size=len(texts))
 
 
 def decoding_failed(ratio: Column, avg_logprob: Column, no_speech: Column) -> Column:
